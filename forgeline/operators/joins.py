@@ -74,7 +74,8 @@ def price_lookup_table(prices: DataFrame, window_days: int = PRICE_WINDOW_DAYS,
 def price_at_date(df: DataFrame, prices: DataFrame | None, date_col: str = "order_date",
                   material_col: str = "material_code", out_col: str = "material_price_per_kg",
                   fallback: dict = PIPELINE_FALLBACK_PRICES, window_days: int = PRICE_WINDOW_DAYS,
-                  direction: str = "latest", keep_source: bool = False) -> DataFrame:
+                  direction: str = "latest", keep_source: bool = False,
+                  keep_date: bool = False) -> DataFrame:
     """Price of the row's material at its date, archive first, then fallback table.
 
     Unknown materials get NULL (pipeline table).  Without an archive every row
@@ -83,10 +84,13 @@ def price_at_date(df: DataFrame, prices: DataFrame | None, date_col: str = "orde
     fb = lookup(fallback, F.col(material_col))
     if prices is None:
         out = df.withColumn(out_col, fb)
+        if keep_date:
+            out = out.withColumn("price_date", F.lit(None).cast("date"))
         return out.withColumn("price_source", F.lit("fallback")) if keep_source else out
     table = price_lookup_table(prices, window_days, direction).withColumnRenamed("price", "__price")
     table = (table.withColumnRenamed("material_code", "__mat")
-             .withColumnRenamed("target_date", "__tdate").drop("price_date"))
+             .withColumnRenamed("target_date", "__tdate"))
+    table = table.withColumnRenamed("price_date", "price_date") if keep_date else table.drop("price_date")
     j = df.join(table, (F.col(material_col) == F.col("__mat")) & (F.col(date_col) == F.col("__tdate")), "left")
     j = j.withColumn(out_col, F.coalesce(F.col("__price"), fb))
     if keep_source:
