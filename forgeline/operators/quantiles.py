@@ -92,6 +92,32 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str,
     return out.drop(G0) if not group_cols else out
 
 
+def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str, probs: list[float],
+                      names: list[str], buckets: int = 128) -> DataFrame:
+    """Exact interpolated percentiles per group (same rule as SQL ``percentile_cont``)."""
+    d, gcols = _groups(df.select(*group_cols, value_col), group_cols)
+    vc = value_counts(d, gcols, value_col)
+    cum = running_totals(vc, gcols, value_col, ["__n"], buckets)
+    first_rank = F.col("cum___n") - F.col("__n")
+    last_rank = F.col("cum___n") - 1
+    conds, aggs = [], []
+    for p, name in zip(probs, names):
+        pos = (F.col("__n_total") - 1) * F.lit(float(p))
+        for side, r in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            cov = (first_rank <= r) & (r <= last_rank)
+            conds.append(cov)
+            aggs.append(F.max(F.when(cov, F.col(value_col))).alias(f"__{name}_{side}"))
+        aggs.append(F.first(pos - F.floor(pos)).alias(f"__{name}_frac"))
+    keep = conds[0]
+    for c in conds[1:]:
+        keep = keep | c
+    picked = cum.where(keep).groupBy(*gcols).agg(*aggs)
+    out = picked.select(*gcols, *[
+        (F.col(f"__{n}_lo") + (F.col(f"__{n}_hi") - F.col(f"__{n}_lo")) * F.col(f"__{n}_frac")).alias(n)
+        for n in names])
+    return out.drop(G0) if not group_cols else out
+
+
 def exact_medians(df: DataFrame, group_cols: list[str], value_cols: list[str],
                   buckets: int = 128) -> DataFrame:
     """Exact medians of several columns in one pass (long form, then pivot back).
