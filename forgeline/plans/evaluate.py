@@ -9,7 +9,7 @@ explode), and the per-class metrics come from the small confusion table
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgeline.constants import MAPE_MIN_TRUE, PROCESS_CLASSES, TOP1_CONFIDENCE_SPLIT
@@ -74,25 +74,32 @@ def confusion(scores: DataFrame) -> DataFrame:
 
 def confusion_normalized(scores: DataFrame) -> DataFrame:
     """Confusion counts with the row share (fraction of the true class)."""
-    c = confusion(scores)
-    rows = c.groupBy("true_idx").agg(F.sum("n").alias("__row"))
-    return c.join(rows, "true_idx").select("true_idx", "pred_idx", "n",
-                                           (F.col("n") / F.col("__row")).alias("row_share"))
+    c = confusion(scores)   # <= classes^2 rows: the window runs on the small aggregate
+    return c.select("true_idx", "pred_idx", "n",
+                    (F.col("n") / F.sum("n").over(Window.partitionBy("true_idx"))).alias("row_share"))
 
 
 def class_table(spark: SparkSession) -> DataFrame:
-    """The 18 classes as a literal table (fixed size)."""
-    return spark.createDataFrame([(i, p) for i, p in enumerate(PROCESS_CLASSES)], "class_idx int, process string")
+    """The 18 classes as a literal table (fixed size, built JVM-side)."""
+    names = F.array(*[F.lit(p) for p in PROCESS_CLASSES])
+    return spark.range(len(PROCESS_CLASSES)).select(
+        F.col("id").cast("int").alias("class_idx"), F.element_at(names, F.col("id").cast("int") + 1).alias("process"))
 
 
 def per_class_counts(scores: DataFrame) -> DataFrame:
     """tp / fp / fn / support per class over the full label list."""
     c = confusion(scores)
-    t = c.groupBy(F.col("true_idx").alias("class_idx")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("true_idx") == F.col("pred_idx"), F.col("n"))).alias("tp"))
-    p = c.groupBy(F.col("pred_idx").alias("class_idx")).agg(F.sum("n").alias("predicted"))
-    classes = F.broadcast(class_table(scores.sparkSession))
-    out = classes.join(t, "class_idx", "left").join(p, "class_idx", "left")
+    # each confusion cell counts once for its true class and once for its predicted class
+    zero = F.lit(0).cast("long")
+    both = c.select(F.explode(F.array(
+        F.struct(F.col("true_idx").alias("class_idx"), F.col("n").alias("support"),
+                 F.when(F.col("true_idx") == F.col("pred_idx"), F.col("n")).otherwise(zero).alias("tp"),
+                 zero.alias("predicted")),
+        F.struct(F.col("pred_idx").alias("class_idx"), zero.alias("support"), zero.alias("tp"),
+                 F.col("n").alias("predicted")))).alias("s")).select("s.*")
+    per = both.groupBy("class_idx").agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                                         F.sum("predicted").alias("predicted"))
+    out = class_table(scores.sparkSession).join(per, "class_idx", "left")
     return out.select("class_idx", "process",
                       F.coalesce("tp", F.lit(0)).alias("tp"),
                       F.coalesce("predicted", F.lit(0)).alias("predicted"),
@@ -127,15 +134,14 @@ def confusion_pairs(scores: DataFrame) -> DataFrame:
     c = confusion(scores).where(F.col("true_idx") != F.col("pred_idx"))
     pairs = c.groupBy(F.least("true_idx", "pred_idx").alias("class_a"),
                       F.greatest("true_idx", "pred_idx").alias("class_b")).agg(F.sum("n").alias("n"))
-    tot = pairs.agg(F.sum("n").alias("__t"))
-    return attach_row(pairs, tot).select("class_a", "class_b", "n", (F.col("n") / F.col("__t")).alias("error_share"))
+    return pairs.select("class_a", "class_b", "n",
+                        (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("error_share"))
 
 
 def class_distribution(df: DataFrame, label_col: str = "process_code", small: int = 100) -> DataFrame:
     """Class counts (desc), share and a below-``small`` flag."""
-    c = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    tot = c.agg(F.sum("n").alias("__t"))
-    return attach_row(c, tot).select(label_col, "n", (F.col("n") / F.col("__t")).alias("share"),
+    c = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))   # one row per class
+    return c.select(label_col, "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"),
                                      (F.col("n") < small).alias("below_min")).orderBy(F.desc("n"), label_col)
 
 
