@@ -102,21 +102,29 @@ def flag_duplicates(df: DataFrame, key=DUPLICATE_KEY, order=("completion_date",
 def annotate(df: DataFrame, rules=VALIDATION_RULES, dedupe: bool = True,
              dedupe_after_rules: bool = False) -> DataFrame:
     """V2-V7: filled frame plus ``reject_bucket`` / ``reject_column`` / ``reject_reason``
-    (NULL for clean rows) and ``reject_reasons`` (every failing rule's text)."""
+    (NULL for clean rows) and ``reject_reasons`` (every failing rule's text).
+
+    Order of work: fills and casts (one projection), duplicate flag on the
+    plain columns, then the failure array is evaluated once at the end, so
+    the large rule expression never enters the dedupe signature or a union.
+    """
     check_required_columns(df, rules)
-    out, failures = apply_rules(df, rules)
-    arr = F.array_compact(F.array(*failures)) if failures else F.array()
-    out = out.withColumn("__fails", arr)
-    if dedupe and all(k in out.columns for k in DUPLICATE_KEY):
+    filled, failures = apply_rules(df, rules)
+    if dedupe and all(k in filled.columns for k in DUPLICATE_KEY):
         if dedupe_after_rules:
-            valid = out.where(F.size("__fails") == 0)
-            dups = flag_duplicates(valid)
-            out = dups.unionByName(out.where(F.size("__fails") > 0).withColumn("__dup", F.lit(False)))
+            bad = F.lit(False)
+            for f in failures:
+                bad = bad | f.isNotNull()
+            marked = filled.withColumn("__bad", bad)
+            good = flag_duplicates(marked.where(~F.col("__bad")).drop("__bad"))
+            rest = marked.where(F.col("__bad")).drop("__bad").withColumn("__dup", F.lit(False))
+            filled = good.unionByName(rest)
         else:
-            out = flag_duplicates(out)
-        dup = _failure(F.lit(DUPLICATE_REASON), DUPLICATE_REASON, None, F.col("__dup"))
-        out = out.withColumn("__fails", F.when(F.col("__dup"), F.concat(F.col("__fails"), F.array(dup)))
-                             .otherwise(F.col("__fails"))).drop("__dup")
+            filled = flag_duplicates(filled)
+    else:
+        filled = filled.withColumn("__dup", F.lit(False))
+    dup = _failure(F.lit(DUPLICATE_REASON), DUPLICATE_REASON, None, F.col("__dup"))
+    out = filled.withColumn("__fails", F.array_compact(F.array(*failures, dup))).drop("__dup")
     last = F.element_at(F.col("__fails"), -1)
     return (out.withColumn("reject_bucket", F.when(F.size("__fails") > 0, last["bucket"]))
             .withColumn("reject_column", F.when(F.size("__fails") > 0, last["column"]))

@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # the validation rules form large boolean expressions over many aliases; inferring
+    # constraints from them grows without bound in the optimizer, and nothing here needs it
+    "spark.sql.constraintPropagation.enabled": "false",
     # dimension tables derived from data are broadcast only when AQE measures
     # them below this size; above it Spark falls back to a shuffle join
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -55,6 +58,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def configure_session(spark: SparkSession) -> None:
+    """Runtime SQL settings the plans rely on, applied to a session built elsewhere."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    ensure_checkpoint_dir(spark)
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for lineage-cutting tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
