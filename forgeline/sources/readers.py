@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgeline.constants import TRACKED_MATERIALS
-from forgeline.schemas import EQUIPMENT_LOG_SCHEMA, GEOMETRY_COLUMNS, PRICE_ARCHIVE_SCHEMA
+from forgeline.schemas import EQUIPMENT_LOG_SCHEMA, GEOMETRY_COLUMNS, PRICE_ARCHIVE_SCHEMA  # noqa: F401
 
 ORDER_COLUMNS = ["order_id", "part_id", "process_code", "material_code", "quantity", "batch_size",
                  "surface_finish_ra", "tolerance_band", "order_date", "completion_date", "facility_id"]
