@@ -58,7 +58,7 @@ def spark_callable(q: Query) -> Callable[[SparkSession, str], DataFrame]:
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries."""
     from forgeline.plans import queries_etl  # noqa: F401
-    for mod in ("queries_quality", "queries_eval", "queries_scoring", "queries_ml", "queries_stream", "queries_io"):
+    for mod in ("queries_quality", "queries_eval", "queries_scoring", "queries_ml", "queries_stream", "queries_io", "queries_analytics"):
         try:
             __import__(f"forgeline.plans.{mod}")
         except ModuleNotFoundError as e:  # modules land incrementally
