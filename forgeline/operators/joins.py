@@ -126,15 +126,17 @@ def rate_calendar(equipment: DataFrame, first_day: _dt.date, last_day: _dt.date)
 
 def rate_as_of(df: DataFrame, equipment: DataFrame, date_col: str = "order_date",
                process_col: str = "process_code", facility_col: str = "facility_id",
-               out_col: str = "effective_hourly_rate") -> DataFrame:
+               out_col: str = "effective_hourly_rate", date_bounds: DataFrame | None = None) -> DataFrame:
     """Machine rate of the latest log week starting on or before the row's date.
 
     Same process and facility; no age limit; no earlier week -> NULL.  The
     lookup is an equi-join on (process, facility, day) against the calendar
     expansion of the log, restricted to the dates present in ``df`` (two
-    scalars read from the data).
+    scalars read from the data; ``date_bounds`` may name a cheaper frame
+    whose dates cover ``df``'s, e.g. the pruned source scan).
     """
-    bounds = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
+    src = date_bounds if date_bounds is not None else df
+    bounds = src.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
         return df.withColumn(out_col, F.lit(None).cast("double"))
     cal = rate_calendar(equipment, bounds["lo"], bounds["hi"])

@@ -49,7 +49,8 @@ def enriched_orders(d: Domain, start_date=None, end_date=None, facility_ids=None
         from forgeline.operators.normalize import clean_codes
         ex = clean_codes(ex)
     j = join_geometry(ex, d.geometry)
-    j = rate_as_of(j, d.equipment)
+    # date range for the rate calendar from a pruned scan of the orders (covers ex)
+    j = rate_as_of(j, d.equipment, date_bounds=d.orders.select("order_date"))
     return price_at_date(j, d.prices)
 
 
@@ -57,8 +58,8 @@ def training_rows(d: Domain, barriers: bool = True, **kw) -> DataFrame:
     """Normalised and labelled rows before validation.
 
     With ``barriers`` the enriched orders are checkpointed (reliable checkpoint
-    in ``spark.checkpoint.dir``) before normalising: the median and mean
-    tables and the main projection all read that one materialised copy
+    into ``spark.checkpoint.dir``, partitioning kept) before normalising: the
+    median and mean tables and the main projection all read that one copy
     instead of re-running the extract and the three joins.
     """
     enriched = enriched_orders(d, **kw)

@@ -64,6 +64,19 @@ def configure_session(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Columnar and compressed (cheaper than an RDD checkpoint); a lost executor
+    re-reads the files instead of re-running the upstream plan.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = shared_path(spark, name, uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for lineage-cutting tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
