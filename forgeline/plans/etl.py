@@ -110,3 +110,13 @@ def rows_by_process(clean: DataFrame) -> DataFrame:
     return clean.groupBy("process_code").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.round(F.avg("cost_total"), 6).alias("avg_cost_total"))
+
+
+def annotate_order_batch(d: Domain, orders_batch: DataFrame) -> DataFrame:
+    """T-S6 micro-batch body: the ETL on a batch of new completed orders (lines with invoices)."""
+    from forgeline.sources.readers import extract_completed
+    ex = extract_completed(orders_batch, d.invoices)
+    j = join_geometry(ex, d.geometry)
+    j = rate_as_of(j, d.equipment)
+    j = price_at_date(j, d.prices)
+    return annotate(build_labels(normalize(j.checkpoint())))

@@ -128,3 +128,33 @@ def price_feed_stream(prices: DataFrame, archive_path: str, checkpoint: str,
          .trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     return q
+
+
+def drift_flag_alerts(drift_runs: DataFrame, hold_seconds: int = 3600, step_seconds: int = 3600) -> DataFrame:
+    """T-S4: drift verdicts per run (``run_ts``, ``drift_detected``) held for an hour before alerting."""
+    m = drift_runs.select(F.col("run_ts").alias("window_start"), F.col("drift_detected"))
+    return held_alerts(m, "drift_detected", step_seconds, hold_seconds)
+
+
+def order_intake_stream(orders: DataFrame, build_batch, out_path: str, rejects_path: str, checkpoint: str,
+                        timeout_s: int = 900) -> StreamingQuery:
+    """T-S6: incremental order intake.  Each micro-batch of new order rows is enriched,
+    normalised, labelled and validated by ``build_batch(batch_df) -> annotated_df``
+    (stream-static joins against geometry, prices and the equipment log happen inside),
+    then clean rows and rejects are appended to their tables.  Imputation medians are
+    those of the batch (a stream has no global view), unlike the full batch run.
+    """
+    from forgeline.operators.validate import split_valid
+
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        annotated = build_batch(batch).checkpoint()
+        clean, rejected = split_valid(annotated)
+        clean.withColumn("intake_epoch", F.lit(epoch_id)).write.mode("append").parquet(out_path)
+        rejected.withColumn("intake_epoch", F.lit(epoch_id)).write.mode("append").parquet(rejects_path)
+
+    q = (orders.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    return q
