@@ -87,3 +87,28 @@ GROUP BY lag_days""", ["mean_abs_rel_error"], ["pday"])
 def g32_outage_error_drift(d: Domain):
     """Relative price error after a 0 / 7 / 30 day feed outage."""
     return an.outage_error_drift(d.prices)
+
+
+@register("w9_last_event_per_user", """
+SELECT user_id, arg_max(event_id, (ts, event_id)) AS last_event_id, max(ts) AS last_ts,
+  arg_max(event_type, (ts, event_id)) AS last_event_type FROM events GROUP BY user_id""", [])
+def w9_last_event_per_user(d: Domain):
+    """Latest entry per key of a log (max_by over (ts, id); partial aggregation, skew-safe)."""
+    e = d.table("events")
+    last = e.groupBy("user_id").agg(F.max_by(F.struct("event_id", "ts", "event_type"),
+                                             F.struct("ts", "event_id")).alias("r"))
+    return last.select("user_id", F.col("r.event_id").alias("last_event_id"), F.col("r.ts").alias("last_ts"),
+                       F.col("r.event_type").alias("last_event_type"))
+
+
+@register("p22_log_volume", "SELECT part_id, ln(1 + volume) AS log_volume FROM m_geometry", ["log_volume"],
+          ["m_geometry"])
+def p22_log_volume(d: Domain):
+    """log(volume + 1) per part."""
+    return d.geometry.select("part_id", F.log1p("volume").alias("log_volume"))
+
+
+@register("g26_vif", None)
+def g26_vif(d: Domain):
+    """Variance inflation factors from the inverse of the 14 x 14 correlation matrix (rows-only)."""
+    return d.spark.createDataFrame(an.vif(_features(d)), "feature string, vif double")
