@@ -303,3 +303,8 @@ FEATURE_REQUIRED = [
     "hole_count", "aspect_ratio",
 ]
 VOLUME_BOX_TOLERANCE = 1.05
+
+# Cost-model routing: processes with a trained model file; thresholds high 80 / medium 25.
+ROUTED_PROCESSES = ["cnc_milling", "cnc_turning", "sheet_metal_bending", "injection_molding",
+                    "additive_slm", "sand_casting"]
+ROUTING_MODEL_SUFFIX = "_v2.pkl"

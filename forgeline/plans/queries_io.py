@@ -110,3 +110,32 @@ def ts5_price_feed_stream(d: Domain):
     price_feed_stream(stream, arch, ck)
     return d.spark.read.parquet(arch).select(F.col("date").cast("date").alias("date"), "material_code",
                                              "price_usd_per_kg")
+
+
+@register("j9_model_routing", """
+SELECT process_code, CASE WHEN process_code IN ('cnc_milling', 'cnc_turning', 'sheet_metal_bending',
+  'injection_molding', 'additive_slm', 'sand_casting') THEN process_code || '_v2.pkl' END AS model_file,
+  process_code IN ('cnc_milling', 'cnc_turning', 'sheet_metal_bending', 'injection_molding', 'additive_slm',
+  'sand_casting') AS routed, 80 AS high_min_n, 25 AS medium_min_n, CAST(count(*) AS BIGINT) AS n_rows
+FROM m_costpred GROUP BY process_code""", [], ["m_costpred"])
+def j9_model_routing(d: Domain):
+    """Route each process of the prediction table to its model (literal routing map;
+    unrouted processes fall back to the rough estimate), with the confidence thresholds."""
+    from forgeline.constants import (COST_CONF_HIGH_MIN_N, COST_CONF_MEDIUM_MIN_N, ROUTED_PROCESSES,
+                                     ROUTING_MODEL_SUFFIX)
+    routed = F.col("process_code").isin(ROUTED_PROCESSES)
+    c = d.cost_predictions.groupBy("process_code").agg(F.count(F.lit(1)).alias("n_rows"))
+    return c.select("process_code",
+                    F.when(routed, F.concat("process_code", F.lit(ROUTING_MODEL_SUFFIX))).alias("model_file"),
+                    routed.alias("routed"), F.lit(COST_CONF_HIGH_MIN_N).alias("high_min_n"),
+                    F.lit(COST_CONF_MEDIUM_MIN_N).alias("medium_min_n"), "n_rows")
+
+
+@register("s6_price_archive_scan", """
+SELECT date, material_code, price_usd_per_kg, source FROM m_prices""", ["price_usd_per_kg"], ["m_prices"])
+def s6_price_archive_scan(d: Domain):
+    """The price archive written as CSV and read once with a fixed schema (dates parsed)."""
+    path = _scratch(d, "price_csv")
+    d.prices.select("date", "material_code", "price_usd_per_kg", "source") \
+        .write.mode("overwrite").option("header", True).csv(path)
+    return readers.scan_price_archive(d.spark, path).select("date", "material_code", "price_usd_per_kg", "source")
