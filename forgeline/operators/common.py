@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CONST_KEY = "__k"
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -31,13 +30,16 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row of ``df``.
 
-    The one-row side has a proven size (a global aggregate), so it is
-    broadcast; the join is an equi-join on a constant key (hash join), so
-    the large side is never shuffled.
+    The aggregate is used as an uncorrelated scalar subquery (computed once,
+    its value inlined into the projection), so there is no join at all; an
+    empty aggregate yields NULLs, like a left join would.
     """
-    left = df.withColumn(CONST_KEY, F.lit(0))
-    right = F.broadcast(one_row.withColumn(CONST_KEY, F.lit(0)))
-    return left.join(right, CONST_KEY, "left").drop(CONST_KEY)
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*[F.col(c) for c in cols]).alias("__s")).scalar()
+    out = df.withColumn("__s", packed)
+    for c in cols:
+        out = out.withColumn(c, F.col("__s").getField(c))
+    return out.drop("__s")
 
 
 def literal_map(mapping: dict) -> Column:

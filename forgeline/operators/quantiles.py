@@ -27,9 +27,9 @@ G0 = "__g0"
 
 
 def _groups(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[str]]:
-    if group_cols:
-        return df, list(group_cols)
-    return df.withColumn(G0, F.lit(0)), [G0]
+    """Ungrouped input stays ungrouped (no constant key: a join on a literal key would
+    be folded into a nested-loop join; one-row attaches use a scalar subquery)."""
+    return df, list(group_cols)
 
 
 def running_totals(vc: DataFrame, group_cols: list[str], order_col: str,
