@@ -166,3 +166,17 @@ def test_wall_imputation_groups(spark):
     assert ("a", 2.0, 1) in vals                         # own-process median
     assert ("b", 3.0, 1) in vals                         # overall median of 1, 3, 10
     assert (None, 10.0, 1) in vals                       # NULL process forms its own group
+
+
+def test_dedupe_with_hot_key_and_identical_copies(spark):
+    # one (part, process) key holds most rows, including two identical copies of its first row
+    base = dt.date(2026, 1, 1)
+    rows = [("HOT", "cnc_milling", base + dt.timedelta(days=i % 50), f"O{i:05d}", 1.0) for i in range(2000)]
+    rows += [("HOT", "cnc_milling", base, "O00000", 1.0)]                # identical copy of the first row
+    rows += [("P1", "cnc_milling", base, "X1", 2.0), ("P2", None, base, "X2", 3.0), ("P2", None, base, "X3", 3.0)]
+    df = spark.createDataFrame(rows, "part_id string, process_code string, completion_date date, order_id string, "
+                                     "v double")
+    flagged = validate.flag_duplicates(df, spread=16)
+    kept = [(r.part_id, r.order_id) for r in flagged.where("NOT __dup").collect()]
+    assert sorted(kept) == [("HOT", "O00000"), ("P1", "X1"), ("P2", "X2")]
+    assert flagged.count() == len(rows)
