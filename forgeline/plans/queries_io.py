@@ -139,3 +139,82 @@ def s6_price_archive_scan(d: Domain):
     d.prices.select("date", "material_code", "price_usd_per_kg", "source") \
         .write.mode("overwrite").option("header", True).csv(path)
     return readers.scan_price_archive(d.spark, path).select("date", "material_code", "price_usd_per_kg", "source")
+
+
+@register("s16_validate_only_metrics", """
+SELECT CAST((SELECT count(*) FROM ex) AS BIGINT) AS extracted_rows,
+  CAST(count(*) AS BIGINT) AS joined_rows,
+  CAST(count(*) FILTER (WHERE reject_bucket IS NULL) AS BIGINT) AS clean_rows,
+  CAST(count(*) FILTER (WHERE reject_bucket IS NOT NULL) AS BIGINT) AS rejected_rows
+FROM ann""", [], ["ex", "ann"])
+def s16_validate_only_metrics(d: Domain):
+    """Validate-only run: every stage computed, counts reported, nothing written."""
+    from forgeline.plans import etl
+    ex = readers.extract_completed(d.orders, d.invoices).agg(F.count(F.lit(1)).alias("extracted_rows"))
+    a = etl.annotated_training_rows(d).agg(
+        F.count(F.lit(1)).alias("joined_rows"),
+        F.count_if(F.col("reject_bucket").isNull()).alias("clean_rows"),
+        F.count_if(F.col("reject_bucket").isNotNull()).alias("rejected_rows"))
+    from forgeline.operators.common import attach_row
+    return attach_row(ex, a)
+
+
+@register("a8_run_metrics", """
+SELECT 'extract' AS stage, 'rows' AS key, CAST(count(*) AS DOUBLE) AS value FROM ex
+UNION ALL SELECT 'join', 'rows', CAST(count(*) AS DOUBLE) FROM j1
+UNION ALL SELECT 'validate', 'clean_rows', CAST(count(*) FILTER (WHERE reject_bucket IS NULL) AS DOUBLE) FROM ann
+UNION ALL SELECT 'validate', 'pass_rate_pct', round(count(*) FILTER (WHERE reject_bucket IS NULL) * 100.0e0
+  / greatest(count(*), 1), 1) FROM ann""", ["value"], ["ex", "j1", "ann"])
+def a8_run_metrics(d: Domain):
+    """Run metrics as a long (stage, key, value) table, exportable with to_json."""
+    from forgeline.plans import etl
+    from forgeline.operators.joins import join_geometry
+    ex = readers.extract_completed(d.orders, d.invoices)
+    j1 = join_geometry(ex, d.geometry)
+    a = etl.annotated_training_rows(d)
+    m1 = ex.agg(F.lit("extract").alias("stage"), F.lit("rows").alias("key"), F.count(F.lit(1)).cast("double").alias("value"))
+    m2 = j1.agg(F.lit("join").alias("stage"), F.lit("rows").alias("key"), F.count(F.lit(1)).cast("double").alias("value"))
+    c = a.agg(F.count_if(F.col("reject_bucket").isNull()).alias("k"), F.count(F.lit(1)).alias("n"))
+    m3 = c.select(F.lit("validate").alias("stage"), F.lit("clean_rows").alias("key"), F.col("k").cast("double").alias("value"))
+    m4 = c.select(F.lit("validate").alias("stage"), F.lit("pass_rate_pct").alias("key"),
+                  F.round(F.col("k") * 100.0 / F.greatest(F.col("n"), F.lit(1)), 1).alias("value"))
+    return m1.unionByName(m2).unionByName(m3).unionByName(m4)
+
+
+@register("s13_fan_out", """
+SELECT 1 AS copy, CAST(count(*) AS BIGINT) AS row_count FROM m_geometry
+UNION ALL SELECT 2, CAST(count(*) AS BIGINT) FROM m_geometry""", [], ["m_geometry"])
+def s13_fan_out(d: Domain):
+    """One materialised dataset written to two consumer locations; rows read back per copy."""
+    a, b = _scratch(d, "copy_a"), _scratch(d, "copy_b")
+    ok = sinks.fan_out(d.geometry, [a, b])
+    assert all(ok.values())
+    return d.spark.read.parquet(a).agg(F.lit(1).alias("copy"), F.count(F.lit(1)).alias("row_count")).unionByName(
+        d.spark.read.parquet(b).agg(F.lit(2).alias("copy"), F.count(F.lit(1)).alias("row_count")))
+
+
+@register("s17_prediction_export", """
+SELECT r.row_id, CAST(r.rnk AS INTEGER) AS rank, c.process AS process_code, 'v2' AS model_version
+FROM m_ranked r JOIN classes c ON c.class_idx = r.class_idx WHERE r.rnk <= 3""", [], ["m_ranked", "classes"])
+def s17_prediction_export(d: Domain):
+    """Top-3 predictions exported partitioned by model version and read back."""
+    from forgeline.plans import scoring
+    path = _scratch(d, "predictions")
+    sinks.export_predictions(scoring.top_k_predictions(d.scores, 3).select("row_id", "rank", "process_code"),
+                             path, "v2")
+    return d.spark.read.parquet(path).select("row_id", "rank", "process_code", "model_version")
+
+
+@register("m10_supported_processes", """
+SELECT DISTINCT process_code FROM (
+  SELECT process_code, count(*) AS n,
+    greatest(count(*) FILTER (WHERE cost_machine_time > 0.01e0), count(*) FILTER (WHERE cost_setup > 0.01e0),
+             count(*) FILTER (WHERE cost_tooling > 0.01e0), count(*) FILTER (WHERE cost_raw_material > 0.01e0),
+             count(*) FILTER (WHERE cost_finishing > 0.01e0)) AS best
+  FROM clean_rows WHERE cost_label_source <> 'estimated' OR cost_label_source IS NULL GROUP BY process_code) e
+WHERE n >= 20 AND best >= 10""", [], ["clean_rows"])
+def m10_supported_processes(d: Domain):
+    """Processes with at least one trained cost model (from the eligibility table)."""
+    from forgeline.plans import etl, ml
+    el = ml.cost_eligibility(readers.training_rows_without_estimated(etl.clean_training_rows(d)))
+    return el.where("trained").select("process_code").distinct()
