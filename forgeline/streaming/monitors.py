@@ -47,10 +47,14 @@ def held_alerts(metrics: DataFrame, flag_col: str, step_seconds: int, hold_secon
                 time_col: str = "window_start") -> DataFrame:
     """T-S3 batch twin: runs of consecutive flagged windows (gaps and islands); an alert
     fires once a run has lasted ``hold_seconds``.  Runs over the per-window table only."""
+    from forgeline.operators.quantiles import running_totals
     f = metrics.where(F.col(flag_col)).select(time_col)
     slot = (F.unix_timestamp(time_col) / step_seconds).cast("long")
-    w = Window.orderBy(time_col)
-    runs = f.withColumn("__grp", slot - F.row_number().over(w)) \
+    # rank of each flagged window in time order from distributed running counts
+    # (no single-partition window); consecutive windows share slot - rank
+    vc = f.select(time_col, slot.alias("__slot")).groupBy(time_col, "__slot").agg(F.count(F.lit(1)).alias("__one"))
+    ranked = running_totals(vc, [], "__slot", ["__one"], total_suffix=None)
+    runs = ranked.withColumn("__grp", F.col("__slot") - F.col("cum___one")) \
         .groupBy("__grp").agg(F.min(time_col).alias("run_start"), F.max(time_col).alias("run_last"),
                               F.count(F.lit(1)).alias("windows"))
     runs = runs.withColumn("duration_s", F.col("windows") * step_seconds)
