@@ -311,3 +311,39 @@ def m15_explanations(d: Domain):
                     F.try_element_at("top_reasons", F.lit(1))["feature_name"].alias("reason_1"),
                     F.try_element_at("top_reasons", F.lit(2))["feature_name"].alias("reason_2"),
                     F.size("top_reasons").alias("n_reasons"))
+
+
+@register("m18_cost_metrics_non_estimated", """
+SELECT avg(CASE WHEN y_true >= 1.0e0 THEN abs((y_true - y_pred) / y_true) END) * 100 AS mape,
+  avg(abs(y_true - y_pred)) AS mae, CAST(count(*) AS BIGINT) AS n_rows
+FROM m_costpred c LEFT JOIN m_invoices i ON i.order_id = c.row_id
+WHERE i.label_source <> 'estimated' OR i.label_source IS NULL""", ["mape", "mae"], ["m_costpred", "m_invoices"])
+def m18_cost_metrics_non_estimated(d: Domain):
+    """Cost-model error metrics over rows whose label is not estimated (NULL source kept)."""
+    from forgeline.plans import evaluate as ev
+    from forgeline.sources.readers import training_rows_without_estimated
+    lbl = d.invoices.select(F.col("order_id").alias("row_id"), F.col("label_source").alias("cost_label_source"))
+    rows = training_rows_without_estimated(d.cost_predictions.join(lbl, "row_id", "left"))
+    m = ev.cost_metrics(rows, [])
+    return m.select("mape", "mae", rows.agg(F.count(F.lit(1))).scalar().alias("n_rows"))
+
+
+@register("p24_review_queue", """
+WITH sup AS (SELECT true_idx AS cls, count(*) AS support FROM m_pred GROUP BY true_idx),
+v9 AS (""" + _v9_sql() + """)
+SELECT p.row_id,
+  (p.top1_p < 0.25e0) OR (v.part_id IS NULL OR v.feature_error IS NOT NULL) OR COALESCE(s.support, 0) < 30 AS review
+FROM m_pred p LEFT JOIN v9 v ON v.part_id = 'PART-' || split_part(p.row_id, '-', 3)
+LEFT JOIN sup s ON s.cls = p.pred_idx""", [], ["m_pred", "a1"])
+def p24_review_queue(d: Domain):
+    """Route predictions to manual review: low tier, malformed or missing geometry, or a
+    predicted class with fewer than 30 true examples."""
+    from forgeline.plans import evaluate as ev
+    r = ev.with_ranks(d.scores).withColumn("part_id", F.concat(F.lit("PART-"), F.split("row_id", "-").getItem(2)))
+    v9 = validate.feature_vector_errors(fx.training_features(d.nested_geometry)) \
+        .select("part_id", "feature_error", F.lit(True).alias("__has_geo"))
+    sup = d.scores.groupBy(F.col("true_idx").alias("pred_idx")).agg(F.count(F.lit(1)).alias("support"))
+    j = r.join(v9, "part_id", "left").join(sup, "pred_idx", "left")
+    bad_geo = F.col("__has_geo").isNull() | F.col("feature_error").isNotNull()
+    return j.select("row_id", rules.review_queue_flag(rules.probability_tier(F.col("top1_p")), bad_geo,
+                                                      F.col("support")).alias("review"))
