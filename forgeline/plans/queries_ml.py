@@ -128,3 +128,22 @@ def m21_unified_cost_model(d: Domain):
     scored = model.transform(test.select(*[F.col(c).cast("double").alias(c) for c in feats], "cost_total"))
     pred = scored.select(F.col("cost_total").alias("y_true"), F.expm1("prediction").alias("y_pred"))
     return ev.cost_metrics(pred, [])
+
+
+@register("m4_platt_brier", None)
+def m4_platt_brier(d: Domain):
+    """Per-class Platt (sigmoid) calibration of the class-probability table, renormalised;
+    Brier score before and after (rows-only: model fits)."""
+    scores = d.scores.checkpoint()
+    _, cal = ml.calibrate_platt(scores)
+    before = ev.brier_score(scores).withColumnRenamed("brier", "brier_raw")
+    after = ev.brier_score(cal).withColumnRenamed("brier", "brier_calibrated")
+    return before.select("brier_raw", after.select("brier_calibrated").scalar().alias("brier_calibrated"))
+
+
+@register("m17_ablation", None)
+def m17_ablation(d: Domain):
+    """Top-3 accuracy of the classifier with all features vs without curvature_complexity."""
+    s = ml.prepare_classifier_rows(_split_clean(d))
+    return ml.ablation(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"),
+                       ["curvature_complexity"], "order_id")
