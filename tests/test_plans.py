@@ -7,7 +7,7 @@ from conftest import SMALL
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
              "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"]
 SLOW = {"m2_classifier_holdout", "m20_feature_importance", "m6_cost_models_holdout", "m21_unified_cost_model",
-        "ts6_incremental_intake", "g26_vif"}
+        "ts6_incremental_intake", "g26_vif", "m4_platt_brier", "m17_ablation"}
 
 
 def _names():
