@@ -36,3 +36,20 @@ def test_platt_calibration_normalises(spark):
     assert len(models) == 3
     sums = [r.s for r in cal.select(F.aggregate("proba", F.lit(0.0), lambda a, b: a + b).alias("s")).collect()]
     assert all(abs(s - 1.0) < 1e-9 for s in sums)
+
+
+def test_reference_part_check(spark):
+    from forgeline.constants import FEATURE_COLUMNS
+    base = {c: 1.0 for c in FEATURE_COLUMNS}
+    rows = []
+    for i in range(40):
+        r = dict(base, bounding_box_x=10.0 + i % 3, bounding_box_y=10.0, bounding_box_z=10.0,
+                 volume=100.0 if i % 2 else 900.0, aspect_ratio=2.0,
+                 thin_wall_flag=0.0, wall_thickness_min=2.0)
+        rows.append((f"P{i}", "cnc_milling" if i % 2 else "sand_casting", *[float(r[c]) for c in FEATURE_COLUMNS]))
+    cols = "part_id string, expected_process string, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+    parts = spark.createDataFrame(rows, cols)
+    train = ml.prepare_classifier_rows(parts.withColumn("process_code", F.col("expected_process")))
+    model = ml.classifier_pipeline(num_trees=5, max_depth=3).fit(train)
+    r = ml.reference_part_check(model, parts).first()
+    assert r.top_1_accuracy == 1.0 and r.n_invalid == 0
