@@ -275,3 +275,12 @@ FROM m_invoices""", ["components_sum"], ["m_invoices"])
 def l3_components_sum_check(d: Domain):
     """L3: invoice components vs total cross-check."""
     return labels.components_sum_check(d.invoices).select("order_id", "components_sum", "components_match_total")
+
+
+@register("j12_enrich_extra_source", """
+SELECT o.order_id, o.part_id, o.facility_id, i.label_source, i.cost_total AS invoice_total
+FROM m_orders o LEFT JOIN m_invoices i ON i.order_id = o.order_id""", ["invoice_total"], ["m_orders", "m_invoices"])
+def j12_enrich_extra_source(d: Domain):
+    """The documented extension recipe: attach an extra source to the orders by order_id (left)."""
+    extra = d.invoices.select("order_id", "label_source", F.col("cost_total").alias("invoice_total"))
+    return joins.enrich(d.orders.select("order_id", "part_id", "facility_id"), extra, ["order_id"])
