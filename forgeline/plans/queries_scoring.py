@@ -347,3 +347,27 @@ def p24_review_queue(d: Domain):
     bad_geo = F.col("__has_geo").isNull() | F.col("feature_error").isNotNull()
     return j.select("row_id", rules.review_queue_flag(rules.probability_tier(F.col("top1_p")), bad_geo,
                                                       F.col("support")).alias("review"))
+
+
+@register("p20_ranking_overrides", """
+WITH r AS (SELECT row_id, list(process_code ORDER BY rnk) AS ranked, any_value(volume) AS volume
+           FROM m_req WHERE rnk <= 6 GROUP BY row_id),
+g AS (SELECT r.row_id, r.ranked, m.wall_thickness_min AS wmin, m.curvature_complexity AS curv, m.volume
+      FROM r JOIN m_geometry m ON m.part_id = 'PART-' || split_part(r.row_id, '-', 3)),
+ic AS (SELECT row_id, wmin, CASE WHEN curv > 0.7e0 AND wmin < 2 AND volume > 1000
+                 AND NOT list_contains(list_slice(ranked, 1, 3), 'investment_casting')
+               THEN list_concat(list_slice(ranked, 1, 2), ['investment_casting'],
+                                list_filter(list_slice(ranked, 3, 100), lambda x: x <> 'investment_casting'))
+               ELSE ranked END AS ranked FROM g)
+SELECT row_id, array_to_string(CASE WHEN wmin < 0.8e0
+    THEN list_concat(['additive_slm'], list_filter(ranked, lambda x: x <> 'additive_slm')) ELSE ranked END, ',')
+  AS ranked_codes FROM ic""", [], ["m_req", "m_geometry"])
+def p20_ranking_overrides(d: Domain):
+    """P20 (documented, enabled here): investment casting forced into the top 3 for organic thin parts,
+    additive_slm first for walls < 0.8, applied to the model's top-6 ranking."""
+    req = _score_requests(d).drop("wall_thickness_min", "curvature_complexity", "volume") \
+        .join(d.geometry.select("part_id", "wall_thickness_min", "curvature_complexity", "volume"), "part_id")
+    ranked = F.transform(scoring.ranked_codes(F.col("proba"), 6), lambda s: s["process_code"])
+    out = req.select("row_id", "wall_thickness_min", "curvature_complexity", "volume", ranked.alias("ranked"))
+    return out.select("row_id", F.array_join(rules.ranking_overrides(F.col("ranked"), enabled=True), ",")
+                      .alias("ranked_codes"))
