@@ -371,3 +371,16 @@ def p20_ranking_overrides(d: Domain):
     out = req.select("row_id", "wall_thickness_min", "curvature_complexity", "volume", ranked.alias("ranked"))
     return out.select("row_id", F.array_join(rules.ranking_overrides(F.col("ranked"), enabled=True), ",")
                       .alias("ranked_codes"))
+
+
+@register("p23_suppress_low_confidence_cost", f"""
+SELECT row_id, CAST(rnk AS INTEGER) AS rank, process_code,
+  CASE WHEN p >= 0.25e0 THEN {r2('volume / 1e6 * 2.7e0 * 5.0e0 * 3.5e0')} END AS total_cost
+FROM m_kept WHERE pos <= 3""", [], ["m_kept"])
+def p23_suppress_low_confidence_cost(d: Domain):
+    """P23 (documented, enabled here): recommendations keep no cost estimate when their tier is low."""
+    rec = scoring.recommend(_score_requests(d), 3)
+    e = rec.select("row_id", F.explode("recommendations").alias("r"))
+    cost = rules.suppress_low_confidence_cost(F.col("r.cost_estimate"), F.col("r.confidence"), enabled=True)
+    return e.select("row_id", F.col("r.rank").alias("rank"), F.col("r.process_code").alias("process_code"),
+                    cost["total_cost"].alias("total_cost"))
