@@ -218,3 +218,25 @@ def m10_supported_processes(d: Domain):
     from forgeline.plans import etl, ml
     el = ml.cost_eligibility(readers.training_rows_without_estimated(etl.clean_training_rows(d)))
     return el.where("trained").select("process_code").distinct()
+
+
+@register("s8_price_batches", """
+SELECT DATE '2024-01-15' AS date, material_code, arg_min(price_usd_per_kg, seq) AS price_usd_per_kg, 'live' AS source
+FROM m_prices WHERE date = DATE '2024-01-15' GROUP BY material_code
+UNION ALL
+SELECT DATE '2024-03-01', fb_mat, fb_price, 'fallback' FROM fb_pipeline""", ["price_usd_per_kg"],
+          ["m_prices", "fb_pipeline"])
+def s8_price_batches(d: Domain):
+    """The daily batch for a day with archived prices (live rows, first per material) and for a
+    day without any (the whole fallback table)."""
+    import datetime as _dt
+    from forgeline.constants import PIPELINE_FALLBACK_PRICES
+    out = None
+    for day in (_dt.date(2024, 1, 15), _dt.date(2024, 3, 1)):
+        live = d.prices.where(F.col("date") == F.lit(day)).groupBy("material_code") \
+            .agg(F.min_by("price_usd_per_kg", "seq").alias("price_usd_per_kg"))
+        has_live = live.limit(1).count() > 0        # one-row probe decides live vs fallback
+        b = readers.price_batch(d.spark, live if has_live else None, PIPELINE_FALLBACK_PRICES, day)
+        b = b.select("date", "material_code", "price_usd_per_kg", "source")
+        out = b if out is None else out.unionByName(b)
+    return out
