@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from forgeline.constants import FEATURE_COLUMNS, FETCHER_FALLBACK_PRICES
+from forgeline.constants import FEATURE_COLUMNS, FETCHER_FALLBACK_PRICES, PROCESS_CLASSES
 from forgeline.operators.common import lookup
 from forgeline.operators.joins import join_geometry
 from forgeline.operators.normalize import clean_process
@@ -112,3 +112,16 @@ def p22_log_volume(d: Domain):
 def g26_vif(d: Domain):
     """Variance inflation factors from the inverse of the 14 x 14 correlation matrix (rows-only)."""
     return d.spark.createDataFrame(an.vif(_features(d)), "feature string, vif double")
+
+
+@register("s10_feature_table", "SELECT order_id, " + ", ".join(FEATURE_COLUMNS) + ", process_code, CAST("
+          + "CASE process_code " + " ".join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(PROCESS_CLASSES))
+          + " END AS INTEGER) AS label "
+          "FROM feat", ["bounding_box_x", "bounding_box_y", "bounding_box_z", "volume", "surface_area",
+                        "wall_thickness_min", "wall_thickness_avg", "aspect_ratio", "hole_diameter_min",
+                        "curvature_complexity", "symmetry_score"], ["feat"])
+def s10_feature_table(d: Domain):
+    """Feature columns with the label index in label-map order (unknown codes -> NULL)."""
+    f = _features(d)
+    idx = lookup({p: i for i, p in enumerate(PROCESS_CLASSES)}, F.col("process_code")).cast("int")
+    return f.select("order_id", *FEATURE_COLUMNS, "process_code", idx.alias("label"))
