@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on; sized for local tests, overridable by the cluster.
 DEFAULT_CONF = {
@@ -43,18 +43,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder for intermediate tables and checkpoints.
 
-    On a cluster this setting points at shared storage and is only read here.
-    When it is unset (local tests) a fresh scratch folder is created.
+    ``spark.checkpoint.dir`` names it on a cluster and is only read here.  Where it is
+    unset, a plain local master (one machine, as in tests) gets a scratch folder of its
+    own; any other master gets a folder below the warehouse, which all executors share.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="forgeline-ckpt-")
+        if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+            current = tempfile.mkdtemp(prefix="forgeline-ckpt-")
+        else:
+            current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_forgeline_scratch"
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
 
 
@@ -64,19 +67,30 @@ def configure_session(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df: DataFrame, name: str = "stage", partition_by: str | None = None) -> DataFrame:
     """Cut lineage: write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Columnar and compressed (cheaper than an RDD checkpoint); a lost executor
     re-reads the files instead of re-running the upstream plan.
     """
-    import uuid
-    spark = df.sparkSession
-    path = shared_path(spark, name, uuid.uuid4().hex)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.materialized_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete tables made by ``materialize`` that nothing will read again."""
+    for df in frames:
+        path = getattr(df, "materialized_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for lineage-cutting tables)."""
-    return os.path.join(ensure_checkpoint_dir(spark), *parts)
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
