@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from forgeline.llm import exact_dedup
+from forgeline.llm import byte_bpe, exact_dedup, langid, packing, simhash, token_files
 
 
 def queries() -> dict:
     return {
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+        "op6_token_files": token_files.op6_token_files,
+        "op7_language_id": langid.op7_language_id,
+        "op8_packing": packing.op8_packing,
+        "op9_simhash_dedup": simhash.op9_simhash_dedup,
+        "op10_byte_bpe": byte_bpe.op10_byte_bpe,
     }
 
 
