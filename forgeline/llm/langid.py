@@ -7,6 +7,7 @@ share of the scores is the same wherever it stands, so prediction adds up one sm
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from dataclasses import dataclass
 
@@ -20,12 +21,12 @@ from forgeline.llm.common import table
 
 # bounds of the training sample, however large the corpus
 LANGUAGES = 200               # the most common labels
-DOCS_PER_LANGUAGE = 600       # expected number, drawn by a hash of the id
-WORDS_PER_DOC = 80            # evenly spread over the whole text
+DOCS_PER_LANGUAGE = 400       # expected number, drawn by a hash of the id
+WORDS_PER_DOC = 60            # evenly spread over the whole text
 
 ROWS = 1 << 15                # hash buckets of the embedding table
 WIDTH = 16
-EPOCHS, BATCH, RATE = 4, 32, 20.0
+EPOCHS, BATCH, RATE = 4, 32, 0.3
 CALIBRATION_SHARE = 5         # every fifth sampled document calibrates and is not trained on
 LOST_SHARE = 0.001            # share of rightly labelled calibration documents that rejection may cost
 SURE = 0.5                    # never reject a prediction more likely right than wrong
@@ -35,13 +36,13 @@ _STRIP = ".,;:!?()[]{}\"'|*#$%&<>/\\=+-_"
 
 
 def features(word: str) -> list[int]:
-    """Buckets of a word's 1- to 4-grams (with its ends marked) and of the word; none without a letter."""
+    """Buckets of the 2- to 4-grams of a word's UTF-8 bytes (its ends marked) and of the word; none without a letter."""
     word = word.strip(_STRIP)
-    if not any(map(str.isalpha, word)):
+    if not word.isalpha() and not any(map(str.isalpha, word)):
         return []
-    w = f"<{word}>"
-    grams = [w[i:i + n] for n in (1, 2, 3, 4) for i in range(len(w) - n + 1)] + [w]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) & (ROWS - 1) for g in grams]
+    w, crc = b"<%b>" % word.encode("utf-8", "surrogatepass"), zlib.crc32
+    grams = [w[i:i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)]
+    return [crc(g) & (ROWS - 1) for g in grams] + [crc(w) & (ROWS - 1)]
 
 
 @dataclass
@@ -77,6 +78,7 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> LanguageModel:
     table_ = rng.normal(0, 0.1, (ROWS, WIDTH))
     weights, bias = np.zeros((WIDTH, n)), np.zeros(n)
     weights += rng.normal(0, 0.1, weights.shape)
+    seen_rows, seen_weights, seen_bias = np.full(ROWS, 1e-12), np.full(weights.shape, 1e-12), np.full(n, 1e-12)
     steps = max(1, EPOCHS * -(-len(fit) // BATCH))
     step = 0
     for _ in range(EPOCHS):
@@ -93,13 +95,17 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> LanguageModel:
             p /= len(rows)
             rate = RATE * (1 - step / steps)
             step += 1
-            back = (p @ weights.T) / sizes[:, None]
-            weights -= rate * 0.1 * (mean.T @ p)
-            bias -= rate * 0.01 * p.sum(axis=0)
-            uniq, inv = np.unique(buckets, return_inverse=True)
-            grad = np.zeros((len(uniq), WIDTH))
-            np.add.at(grad, inv, np.repeat(back, sizes, axis=0))
-            table_[uniq] -= rate * grad
+            back, up, side = (p @ weights.T) / sizes[:, None], mean.T @ p, p.sum(axis=0)
+            order_of = np.argsort(buckets, kind="stable")
+            uniq, starts = np.unique(buckets[order_of], return_index=True)
+            grad = np.add.reduceat(back[np.repeat(np.arange(len(sizes)), sizes)[order_of]], starts)
+            # steps shrink with the gradients seen (AdaGrad), so rare buckets and common ones both learn
+            seen_rows[uniq] += (grad * grad).mean(axis=1)
+            table_[uniq] -= rate * grad / np.sqrt(seen_rows[uniq])[:, None]
+            seen_weights += up * up
+            weights -= rate * up / np.sqrt(seen_weights)
+            seen_bias += side * side
+            bias -= rate * 0.1 * side / np.sqrt(seen_bias)
     model = LanguageModel(languages, table_ @ weights, bias)
     return calibrate(model, held)
 
@@ -114,7 +120,7 @@ def calibrate(model: LanguageModel, held: list[tuple[np.ndarray, int]]) -> Langu
         model.temperature = t
         return -np.log(np.maximum(model.probabilities(totals, counts)[np.arange(len(y)), y], 1e-12)).mean()
 
-    model.temperature = min(np.geomspace(0.05, 20, 60), key=loss)
+    model.temperature = min(np.geomspace(0.5, 20, 40), key=loss)
     p = model.probabilities(totals, counts)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y])
     model.threshold = min(SURE, float(right[int(LOST_SHARE * len(right))])) if len(right) else 0.0
@@ -147,53 +153,63 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return train(sorted((r["lang"], r["words"]) for r in picked.toLocalIterator()))
 
 
+class WordScores:
+    """Remembered shares of words in the scores: a column per language, and the number of buckets."""
+
+    def __init__(self, model: LanguageModel):
+        self.model, self.n = model, len(model.languages)
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((1024, self.n + 1))
+
+    def _learn(self, words: list[str]) -> None:
+        at = len(self.known)
+        if at + len(words) > len(self.rows):
+            self.rows = np.concatenate([self.rows[:at], np.zeros((at + len(words), self.n + 1))])
+        bags = [features(w) for w in words]
+        sizes = np.fromiter(map(len, bags), np.int64, len(bags))
+        buckets = np.fromiter(itertools.chain.from_iterable(bags), np.int64, int(sizes.sum()))
+        rows = np.zeros((len(words), self.n + 1))
+        if len(buckets) and self.n:
+            some = np.flatnonzero(sizes)
+            starts = np.cumsum(sizes[some]) - sizes[some]
+            rows[some, :self.n] = np.add.reduceat(self.model.scores[buckets], starts)
+        rows[:, self.n] = sizes
+        self.rows[at:at + len(words)] = rows
+        self.known.update(zip(words, range(at, at + len(words))))
+
+    def total(self, text: str) -> np.ndarray:
+        """Sum over all words of a text, a bounded run of them at a time."""
+        words, out, known = text.lower().split(), np.zeros(self.n + 1), self.known
+        for at in range(0, len(words), CACHED_WORDS // 2):
+            run = words[at:at + CACHED_WORDS // 2]
+            new = [w for w in dict.fromkeys(run) if w not in known]
+            if len(known) + len(new) > CACHED_WORDS:
+                known.clear()
+                new = list(dict.fromkeys(run))
+            if new:
+                self._learn(new)
+            out += self.rows[[known[w] for w in run]].sum(axis=0)
+        return out
+
+
 def _predict(model: LanguageModel):
-    n = len(model.languages)
     names = np.array([*model.languages, UNKNOWN], object)
-    known: dict[str, int] = {}
-    sums = np.zeros((1, n + 1))                   # per known word: its scores, and its number of buckets
-
-    def learn(words: list[str]) -> None:
-        nonlocal sums
-        if len(known) + len(words) > CACHED_WORDS:
-            known.clear()
-        rows = np.zeros((len(words), n + 1))
-        for i, w in enumerate(words):
-            buckets = features(w)
-            rows[i, :n] = model.scores[buckets].sum(axis=0)
-            rows[i, n] = len(buckets)
-            known[w] = len(known)
-        at = len(known) - len(words)
-        if at + len(words) > len(sums):
-            sums = np.concatenate([sums[:at], np.zeros((max(at, len(words), 1024) + len(words), n + 1))])
-        sums[at:at + len(words)] = rows
-
-    def predict(batches):
+    n = len(model.languages)
+
+    def run(batches):
+        scores = WordScores(model)
         for batch in batches:
-            totals = np.zeros((batch.num_rows, n + 1))
-            for r, text in enumerate(batch.column("text")):
-                words = (text.as_py() or "").lower().split()
-                for at in range(0, len(words), CACHED_WORDS // 2):     # whole texts, a bounded run at a time
-                    run = words[at:at + CACHED_WORDS // 2]
-                    new = [w for w in dict.fromkeys(run) if w not in known]
-                    if len(known) + len(new) > CACHED_WORDS:
-                        known.clear()
-                        new = list(dict.fromkeys(run))
-                    if new:
-                        learn(new)
-                    totals[r] += sums[[known[w] for w in run]].sum(axis=0)
-            counts = totals[:, n]
+            totals = np.array([scores.total(t.as_py() or "") for t in batch.column("text")]).reshape(-1, n + 1)
+            lettered = totals[:, n] > 0
             if n:
-                p = model.probabilities(totals[:, :n], counts)
-                best, score = p.argmax(axis=1), p.max(axis=1)
+                p = model.probabilities(totals[:, :n], totals[:, n])
+                best, score = np.where(lettered, p.argmax(axis=1), n), np.where(lettered, p.max(axis=1), 0.0)
             else:
-                best, score = np.zeros(len(counts), int), np.zeros(len(counts))
-            lettered = counts > 0
-            best, score = np.where(lettered, best, n), np.where(lettered, score, 0.0)
+                best, score = np.zeros(len(totals), int), np.zeros(len(totals))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(names[best].tolist(), pa.string()), pa.array(score),
                  pa.array(~lettered | (score < model.threshold))], ["row", "lang_pred", "score", "rejected"])
-    return predict
+    return run
 
 
 def predict(docs: DataFrame, model: LanguageModel, row_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from forgeline.llm import byte_bpe, exact_dedup, langid, packing, simhash, token_files
+from forgeline.llm import byte_bpe, exact_dedup, langid, packing, simhash, suffix_dedup, token_files
 
 
 def queries() -> dict:
     return {
+        "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
         "op6_token_files": token_files.op6_token_files,
         "op7_language_id": langid.op7_language_id,
