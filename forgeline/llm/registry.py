@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from forgeline.llm import byte_bpe, exact_dedup, langid, packing, simhash, suffix_dedup, token_files
+from forgeline.llm import (byte_bpe, exact_dedup, html_text, langid, licenses, packing, simhash,
+                           suffix_dedup, token_files)
 
 
 def queries() -> dict:
     return {
         "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+        "op3_html_text": html_text.op3_html_text,
+        "op4_licenses": licenses.op4_licenses,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
         "op6_token_files": token_files.op6_token_files,
         "op7_language_id": langid.op7_language_id,
