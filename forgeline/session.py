@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
+_collecting: list[list] = []
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "forgeline", extra: dict | None = None) -> SparkSession:
@@ -78,9 +81,21 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: str | None = N
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.materialized_path = path
+    if _collecting:
+        _collecting[-1].append(out)
     return out
 
 
+@contextmanager
+def scratch_tables(kept: list):
+    """Collect in ``kept`` the tables that ``materialize`` writes meanwhile, for a later ``release``."""
+    _collecting.append(kept)
+    try:
+        yield kept
+    finally:
+        _collecting.pop()
+
+
 def release(*frames: DataFrame) -> None:
     """Delete tables made by ``materialize`` that nothing will read again."""
     for df in frames:
