@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from forgeline.llm import (byte_bpe, exact_dedup, html_text, langid, licenses, packing, simhash,
+import corpus_pipeline
+from forgeline.llm import (byte_bpe, cover_tree, exact_dedup, html_text, langid, licenses, packing, simhash,
                            suffix_dedup, token_files)
 
 
 def queries() -> dict:
     return {
         "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+        "op2_cover_tree": cover_tree.op2_cover_tree,
         "op3_html_text": html_text.op3_html_text,
         "op4_licenses": licenses.op4_licenses,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
@@ -17,10 +19,12 @@ def queries() -> dict:
         "op8_packing": packing.op8_packing,
         "op9_simhash_dedup": simhash.op9_simhash_dedup,
         "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_cover_tree": cover_tree.OP2_SQL,
         "op5_exact_dedup": exact_dedup.OP5_SQL,
     }

@@ -295,22 +295,22 @@ def _cut(length: int):
                 removed.append(int(gone.sum()))
                 spans.append(int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)))
                 sha.append(hashlib.sha256(left).hexdigest())
-                kept.append(left if removed[-1] else None)
+                kept.append(left.decode("utf-8", "ignore") if removed[-1] else None)
             tables.append(pa.table([blocks["ids"].slice(i, 1).combine_chunks().flatten(), pa.array(row["sizes"], pa.int64()),
-                                    pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())],
-                                   ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]))
+                                    pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())],
+                                   ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]))
         return pa.concat_tables(tables) if tables else None
     return run
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                  buckets: int = SUFFIX_BUCKETS) -> DataFrame:
-    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept.
+    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept_text.
 
     Every byte covered by a ``length``-byte string that also starts elsewhere, in the same or
-    another document, is removed; strings are judged on the input.  ``kept`` has the remaining bytes
-    where any were removed and is null where the text stays as it is.  A null text counts as
-    empty, ids may be null, repeated or structs and come back unchanged, rows with equal long
+    another document, is removed; strings are judged on the input.  ``kept_text`` is null where the
+    text stays as it is, else the remaining bytes as text, without those of a character that was
+    cut through (the digest covers all of them).  A null text counts as empty, ids may be null, repeated or structs and come back unchanged, rows with equal long
     texts lose them all, an empty table gives no rows, and other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -334,7 +334,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for more in sorted_buckets[1:]:
         answers = answers.union(more)
     result = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
-                           T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
+                           T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType())])
     return opened.drop("open").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(length), result)
 
 
