@@ -1,4 +1,4 @@
-"""Fixed values of the manufacturing data product.
+"""Fixed values of the order and cost tables.
 
 Everything in this module is a value that must equal the studied system's
 for results to agree: code lists, encodings, lookup tables, ratios and
@@ -308,3 +308,63 @@ VOLUME_BOX_TOLERANCE = 1.05
 ROUTED_PROCESSES = ["cnc_milling", "cnc_turning", "sheet_metal_bending", "injection_molding",
                     "additive_slm", "sand_casting"]
 ROUTING_MODEL_SUFFIX = "_v2.pkl"
+
+# Process catalog bounds: process, wall min / max (mm), hole diameter min / max (mm), least quantity; None: any.
+PROCESS_CATALOG_BOUNDS = [
+    ("cnc_milling", 0.5, 3000, 0.5, 3000, 1.0),
+    ("cnc_turning", 1.0, 2000, 1.0, 500, 1.0),
+    ("sheet_metal_bending", 0.5, 4.0, 0.5, 4.0, None),
+    ("sheet_metal_stamping", 0.5, 4.0, 0.5, 4.0, None),
+    ("injection_molding", 1.0, 4.0, 1.0, 4.0, 10000),
+    ("die_casting", 1.5, 6.0, 1.5, 6.0, 1000),
+    ("sand_casting", 3.0, None, 3.0, None, None),
+    ("investment_casting", 0.5, 10.0, 0.5, 10.0, None),
+    ("additive_fdm", 0.4, 3.0, 0.4, 3.0, None),
+    ("additive_slm", 0.2, 2.0, 0.2, 2.0, None),
+    ("laser_cutting", 0.5, 25.0, 0.5, 25.0, None),
+    ("forging", 5.0, None, 5.0, None, None),
+    ("extrusion", 1.0, None, 1.0, None, None),
+    ("5axis_cnc", 0.5, 1500, 0.5, 1500, 1.0),
+    ("turning_milling", 1.0, 1000, 1.0, 500, 1.0),
+    ("edm", 0.1, None, 0.1, None, None),
+    ("vacuum_forming", 0.5, 4.0, 0.5, 4.0, 100),
+    ("powder_coating", None, None, None, None, None),
+    ("waterjet_cutting", None, None, None, None, None),
+    ("electroplating", None, None, None, None, None),
+    ("anodizing", None, None, None, None, None),
+    ("grinding", None, None, None, None, None),
+    ("broaching", 1.0, None, 1.0, None, None),
+    ("deep_draw", 0.5, 3.0, 0.5, 3.0, 500),
+    ("roll_forming", 0.5, 4.0, 0.5, 4.0, 1000),
+    ("hipping", None, None, None, None, None),
+    ("heat_treatment", None, None, None, None, None),
+    ("thread_rolling", 0.5, None, 0.5, None, None),
+    ("hobbing", None, None, None, None, None),
+    ("burnishing", None, None, None, None, None),
+]
+
+# Material index: commodity family per material.
+MATERIAL_COMMODITY = {
+    "AL6061": "Aluminium",
+    "AL7075": "Aluminium",
+    "SS304": "Steel",
+    "SS316L": "Steel",
+    "TI6AL4V": "Titanium",
+    "PEEK": "Polymer",
+    "ABS": "Polymer",
+    "PLA": "Polymer",
+}
+
+# Values a scoring request may name.
+REQUEST_SOURCE_FORMATS = ["STEP", "STL", "IGES"]
+REQUEST_FINISH_PRESETS = ["as_machined", "fine", "very_fine", "mirror"]
+REQUEST_TOLERANCES = ["IT4", "IT5", "IT6", "IT7", "IT8", "IT9", "IT10", "IT11", "IT12"]
+
+# Per-process fit settings of the cost models (trees' depth, step size, number of trees).
+COST_MODEL_OVERRIDES = {
+    "cnc_milling": {"maxDepth": 6, "stepSize": 0.05, "maxIter": 400},
+    "sheet_metal_bending": {"maxDepth": 4, "stepSize": 0.08, "maxIter": 250},
+    "injection_molding": {"maxDepth": 5, "stepSize": 0.04, "maxIter": 350},
+    "additive_slm": {"maxDepth": 4, "stepSize": 0.05, "maxIter": 200},
+    "sand_casting": {"maxDepth": 3, "stepSize": 0.05, "maxIter": 150, "minInstancesPerNode": 2},
+}

@@ -3,9 +3,8 @@
 The catalog file is ragged (most rows lack the geometry column) and mixes
 numbers, ``any`` and ``>=N`` bounds.  It is parsed with ``from_csv`` on each
 text line, realigned by field count and typed with ``try_cast``.  The result
-is a reference table of a few dozen rows; feasibility checks turn it into a
-literal array once its size is checked, so parts are filtered per row with
-no join.
+is a reference table of a few dozen rows.  Feasibility checks use its bounds
+as a literal array, so parts are filtered per row with no join.
 """
 
 from __future__ import annotations
@@ -13,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forgeline.constants import PROCESS_CATALOG_BOUNDS
+
 CATALOG_FIELDS = ["process_code", "display_name", "category", "wall_min_mm", "wall_max_mm", "hole_dia_min_mm",
                   "hole_dia_max_mm", "min_quantity", "geometry_constraint", "notes"]
-MAX_CATALOG_ROWS = 10000
 
 
 def _bound(c: Column) -> Column:
@@ -42,17 +42,15 @@ def parse_process_catalog(lines: DataFrame) -> DataFrame:
         F.when(short, F.col("geometry_constraint")).otherwise(F.col("notes")).alias("notes"))
 
 
-def catalog_feasible(parts: DataFrame, catalog: DataFrame, qty_col: str = "quantity") -> DataFrame:
-    """Processes whose wall / hole / quantity bounds admit the part (NULL bound = no limit)."""
-    n = catalog.count()
-    if n > MAX_CATALOG_ROWS:
-        raise ValueError(f"process catalog has {n} rows; expected a small reference table")
-    rows = catalog.collect()
-    specs = F.array(*[F.struct(F.lit(r.process_code).alias("p"), F.lit(r.wall_min_mm).cast("double").alias("wlo"),
-                               F.lit(r.wall_max_mm).cast("double").alias("whi"),
-                               F.lit(r.hole_dia_min_mm).cast("double").alias("hlo"),
-                               F.lit(r.hole_dia_max_mm).cast("double").alias("hhi"),
-                               F.lit(r.min_quantity).cast("double").alias("qlo")) for r in rows])
+def catalog_feasible(parts: DataFrame, catalog: list[tuple] = PROCESS_CATALOG_BOUNDS, qty_col: str = "quantity") -> DataFrame:
+    """Processes whose wall / hole / quantity bounds admit the part (a bound of None is no limit).
+
+    The catalog is the fixed list of bounds, so it becomes a literal array: no join, nothing collected.
+    """
+    def num(v):
+        return F.lit(v).cast("double")
+    specs = F.array(*[F.struct(F.lit(p).alias("p"), num(wlo).alias("wlo"), num(whi).alias("whi"), num(hlo).alias("hlo"),
+                               num(hhi).alias("hhi"), num(q).alias("qlo")) for p, wlo, whi, hlo, hhi, q in catalog])
     w = F.col("wall_thickness_min")
     h = F.col("hole_diameter_min")
     q = F.col(qty_col).cast("double") if qty_col in parts.columns else F.lit(None).cast("double")

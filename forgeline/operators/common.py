@@ -53,7 +53,3 @@ def literal_map(mapping: dict) -> Column:
 def lookup(mapping: dict, key: Column) -> Column:
     """mapping[key] with NULL for a missing or NULL key (no join needed)."""
     return F.try_element_at(literal_map(mapping), key)
-
-
-def round6(c: Column) -> Column:
-    return F.round(c, 6)

@@ -14,8 +14,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgeline.constants import PIPELINE_FALLBACK_PRICES, PRICE_WINDOW_DAYS
+from forgeline.constants import MATERIAL_COMMODITY, PIPELINE_FALLBACK_PRICES, PRICE_WINDOW_DAYS
 from forgeline.operators.common import join_null_safe, lookup
+from forgeline.session import materialize
 
 
 # --- J1 --------------------------------------------------------------------
@@ -87,7 +88,9 @@ def price_at_date(df: DataFrame, prices: DataFrame | None, date_col: str = "orde
         if keep_date:
             out = out.withColumn("price_date", F.lit(None).cast("date"))
         return out.withColumn("price_source", F.lit("fallback")) if keep_source else out
-    table = price_lookup_table(prices, window_days, direction).withColumnRenamed("price", "__price")
+    # written first, so Spark joins against a size it has measured: broadcast below the
+    # session's threshold, shuffled otherwise
+    table = materialize(price_lookup_table(prices, window_days, direction), "price-lookup").withColumnRenamed("price", "__price")
     table = (table.withColumnRenamed("material_code", "__mat")
              .withColumnRenamed("target_date", "__tdate"))
     table = table.withColumnRenamed("price_date", "price_date") if keep_date else table.drop("price_date")
@@ -114,11 +117,12 @@ def rate_intervals(equipment: DataFrame) -> DataFrame:
                          F.lead("week_start").over(w).alias("valid_to"), "rate")
 
 
-def rate_calendar(equipment: DataFrame, first_day: _dt.date, last_day: _dt.date) -> DataFrame:
-    """Expand the as-of intervals to one row per (process, facility, day) in range."""
-    iv = rate_intervals(equipment)
-    start = F.greatest(F.col("valid_from"), F.lit(first_day))
-    end = F.least(F.coalesce(F.date_sub(F.col("valid_to"), 1), F.lit(last_day)), F.lit(last_day))
+def rate_calendar(equipment: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Expand the as-of intervals to one row per (process, facility, day) within ``bounds`` (one row: lo, hi)."""
+    from forgeline.operators.common import attach_row
+    iv = attach_row(rate_intervals(equipment), bounds)
+    start = F.greatest(F.col("valid_from"), F.col("lo"))
+    end = F.least(F.coalesce(F.date_sub(F.col("valid_to"), 1), F.col("hi")), F.col("hi"))
     return (iv.where(start <= end)
             .select("process_code", "facility_id", "rate",
                     F.explode(F.sequence(start, end)).alias("day")))
@@ -131,15 +135,14 @@ def rate_as_of(df: DataFrame, equipment: DataFrame, date_col: str = "order_date"
 
     Same process and facility; no age limit; no earlier week -> NULL.  The
     lookup is an equi-join on (process, facility, day) against the calendar
-    expansion of the log, restricted to the dates present in ``df`` (two
-    scalars read from the data; ``date_bounds`` may name a cheaper frame
-    whose dates cover ``df``'s, e.g. the pruned source scan).
+    expansion of the log, restricted to the dates present in ``df`` (a
+    scalar subquery; ``date_bounds`` may name a cheaper frame whose dates
+    cover ``df``'s, e.g. the pruned source scan).  The calendar is written
+    first, so its size is known when the join is planned.
     """
     src = date_bounds if date_bounds is not None else df
-    bounds = src.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
-        return df.withColumn(out_col, F.lit(None).cast("double"))
-    cal = rate_calendar(equipment, bounds["lo"], bounds["hi"])
+    bounds = src.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    cal = materialize(rate_calendar(equipment, bounds), "rate-calendar")
     cal = cal.select(F.col("process_code").alias("__p"), F.col("facility_id").alias("__f"),
                      F.col("day").alias("__d"), F.col("rate").alias(out_col))
     cond = ((F.col(process_col) == F.col("__p")) & (F.col(facility_col) == F.col("__f"))
@@ -185,27 +188,15 @@ def share_comparison(base: DataFrame, new: DataFrame, key: str = "process_code")
         .withColumn("diff", F.abs(F.col("new_prop") - F.col("base_prop")))
 
 
-# --- J6 / J11 / J12 --------------------------------------------------------
-def fallback_price(df: DataFrame, table: dict, default: float | None,
-                   material_col: str = "material_code", out_col: str = "fallback_price") -> DataFrame:
-    """Static price table lookup with a default for unknown materials."""
-    v = lookup(table, F.col(material_col))
-    if default is not None:
-        v = F.coalesce(v, F.lit(float(default)))
-    return df.withColumn(out_col, v)
-
-
+# --- J11 / J12 --------------------------------------------------------
 def enrich(df: DataFrame, source: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Attach an extra source by key (the documented extension recipe)."""
     return df.join(source, keys, how)
 
 
-# --- J7 --------------------------------------------------------------------
-def keep_feasible_ranked(ranked: DataFrame, k: int, rank_col: str = "rank",
-                         code_col: str = "process_code", feasible_col: str = "feasible") -> DataFrame:
-    """Keep ranked rows whose process is feasible; first ``k`` by rank, raw rank kept."""
-    kept = ranked.where(F.array_contains(F.col(feasible_col), F.col(code_col)))
-    return kept.where(F.col(rank_col) <= F.lit(k + 3))  # only the k+3 scored candidates exist
+def with_commodity(prices: DataFrame, material_col: str = "material_code") -> DataFrame:
+    """Commodity family of each priced material (a literal map of the fixed index), NULL where it is not listed."""
+    return prices.withColumn("commodity_family", lookup(MATERIAL_COMMODITY, F.col(material_col)))
 
 
 # --- S7 / J13 --------------------------------------------------------------
@@ -214,7 +205,3 @@ def upsert_prices(existing: DataFrame, batch: DataFrame, source: str | None = No
     new = batch if source is None else batch.withColumn("source", F.lit(source))
     keep = existing.join(new.select("date", "material_code").distinct(), ["date", "material_code"], "left_anti")
     return keep.unionByName(new, allowMissingColumns=True)
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    return join_null_safe(left, right, keys, how)

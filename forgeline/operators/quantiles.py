@@ -7,13 +7,13 @@ one task, and one process code can hold a third of all rows.  Instead:
 
 1. collapse the data to distinct ``(group, value, count)`` rows (partial
    aggregation before the shuffle; the shuffle key includes the value);
-2. cut each group's distinct values into ``buckets`` ranges with an
-   approximate-quantile sketch (mergeable, bounded memory);
-3. running totals of the per-bucket counts (a few hundred rows per group)
-   give each bucket's offset;
-4. a window partitioned by ``(group, bucket)`` adds the running count
-   inside the bucket.  The sketch only balances the work; the result is
-   exact, because every value of a bucket is seen by that bucket's task.
+2. range-partition those by ``(group, value)`` into as many partitions as the
+   session shuffles into, and write them with their partition number;
+3. running totals of the per-partition counts (one row per group and partition)
+   give each partition's offset, attached from a table whose size Spark knows;
+4. a window over ``(group, partition)`` adds the running count inside the
+   partition.  The ranges only balance the work; the result is exact, because
+   all values of a range are seen by that range's task.
 """
 
 from __future__ import annotations
@@ -22,46 +22,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.operators.common import join_null_safe
+from forgeline.session import materialize
 
-G0 = "__g0"
 
+def running_totals(vc: DataFrame, group_cols: list[str], order_cols: str | list[str],
+                   weight_cols: list[str], total_suffix: str | None = "_total") -> DataFrame:
+    """Inclusive running sums of ``weight_cols`` in ``order_cols`` order per group.
 
-def _groups(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[str]]:
-    """Ungrouped input stays ungrouped (no constant key: a join on a literal key would
-    be folded into a nested-loop join; one-row attaches use a scalar subquery)."""
-    return df, list(group_cols)
-
-
-def running_totals(vc: DataFrame, group_cols: list[str], order_col: str,
-                   weight_cols: list[str], buckets: int = 128,
-                   total_suffix: str | None = "_total") -> DataFrame:
-    """Inclusive running sums of ``weight_cols`` in ``order_col`` order per group.
-
-    ``vc`` must hold one row per distinct ``(group, order_col)`` value.  Adds
+    ``vc`` must hold one row per distinct group and ``order_cols`` value.  Adds
     ``cum_<w>`` (inclusive running sum) and, when ``total_suffix`` is set,
     ``<w><suffix>`` (group total) columns.
     """
-    fracs = [i / buckets for i in range(1, buckets)]
-    cuts = vc.groupBy(*group_cols).agg(
-        F.percentile_approx(order_col, fracs, 10 * buckets).alias("__cuts"))
-    b = join_null_safe(vc, cuts, group_cols)
-    b = b.withColumn("__bucket", F.size(F.filter("__cuts", lambda c: c < F.col(order_col)))).drop("__cuts")
-    totals = b.groupBy(*group_cols, "__bucket").agg(
-        *[F.sum(w).alias(f"__bt_{w}") for w in weight_cols])
-    prev = Window.partitionBy(*group_cols).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    n = int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = vc.repartitionByRange(n, *group_cols, *order).withColumn("__range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    totals = ranged.groupBy(*group_cols, "__range").agg(*[F.sum(w).alias(f"__bt_{w}") for w in weight_cols])
+    prev = Window.partitionBy(*group_cols).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group_cols)
-    offs = totals.select(
-        *group_cols, "__bucket",
+    offsets = materialize(totals.select(
+        *group_cols, "__range",
         *[F.coalesce(F.sum(f"__bt_{w}").over(prev), F.lit(0)).alias(f"__off_{w}") for w in weight_cols],
         *([F.sum(f"__bt_{w}").over(whole).alias(f"{w}{total_suffix}") for w in weight_cols]
           if total_suffix else []),
-    )
-    b = join_null_safe(b, offs, group_cols + ["__bucket"])
-    inner = (Window.partitionBy(*group_cols, "__bucket").orderBy(order_col)
+    ), "offsets")
+    out = join_null_safe(ranged, offsets, group_cols + ["__range"])
+    inner = (Window.partitionBy(*group_cols, "__range").orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for w in weight_cols:
-        b = b.withColumn(f"cum_{w}", F.col(f"__off_{w}") + F.sum(w).over(inner))
-    return b.drop("__bucket", *[f"__off_{w}" for w in weight_cols])
+        out = out.withColumn(f"cum_{w}", F.col(f"__off_{w}") + F.sum(w).over(inner))
+    return out.drop("__range", *[f"__off_{w}" for w in weight_cols])
 
 
 def value_counts(df: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
@@ -71,14 +61,14 @@ def value_counts(df: DataFrame, group_cols: list[str], value_col: str) -> DataFr
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str,
-                 out_col: str = "median", buckets: int = 128) -> DataFrame:
+                 out_col: str = "median") -> DataFrame:
     """Exact median per group (mean of the two middle values, NULLs ignored).
 
     Returns one row per group that has at least one non-null value.
     """
-    d, gcols = _groups(df.select(*group_cols, value_col), group_cols)
+    d, gcols = df.select(*group_cols, value_col), list(group_cols)
     vc = value_counts(d, gcols, value_col)
-    cum = running_totals(vc, gcols, value_col, ["__n"], buckets)
+    cum = running_totals(vc, gcols, value_col, ["__n"])
     lo = F.floor((F.col("__n_total") - 1) / 2)
     hi = F.ceil((F.col("__n_total") - 1) / 2)
     first_rank = F.col("cum___n") - F.col("__n")      # 0-based rank of the first copy
@@ -89,15 +79,15 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str,
         F.max(F.when(cov_lo, F.col(value_col))).alias("__lo"),
         F.max(F.when(cov_hi, F.col(value_col))).alias("__hi"))
     out = picked.select(*gcols, ((F.col("__lo") + F.col("__hi")) / 2.0).alias(out_col))
-    return out.drop(G0) if not group_cols else out
+    return out
 
 
 def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str, probs: list[float],
-                      names: list[str], buckets: int = 128) -> DataFrame:
+                      names: list[str]) -> DataFrame:
     """Exact interpolated percentiles per group (same rule as SQL ``percentile_cont``)."""
-    d, gcols = _groups(df.select(*group_cols, value_col), group_cols)
+    d, gcols = df.select(*group_cols, value_col), list(group_cols)
     vc = value_counts(d, gcols, value_col)
-    cum = running_totals(vc, gcols, value_col, ["__n"], buckets)
+    cum = running_totals(vc, gcols, value_col, ["__n"])
     first_rank = F.col("cum___n") - F.col("__n")
     last_rank = F.col("cum___n") - 1
     conds, aggs = [], []
@@ -115,19 +105,18 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str, prob
     out = picked.select(*gcols, *[
         (F.col(f"__{n}_lo") + (F.col(f"__{n}_hi") - F.col(f"__{n}_lo")) * F.col(f"__{n}_frac")).alias(n)
         for n in names])
-    return out.drop(G0) if not group_cols else out
+    return out
 
 
-def exact_medians(df: DataFrame, group_cols: list[str], value_cols: list[str],
-                  buckets: int = 128) -> DataFrame:
+def exact_medians(df: DataFrame, group_cols: list[str], value_cols: list[str]) -> DataFrame:
     """Exact medians of several columns in one pass (long form, then pivot back).
 
     Returns group columns plus one ``<col>`` column of medians per value column.
     """
-    d, gcols = _groups(df, group_cols)
+    d, gcols = df, list(group_cols)
     long = d.select(*gcols, F.explode(F.array(*[
         F.struct(F.lit(c).alias("__col"), F.col(c).cast("double").alias("__v")) for c in value_cols
     ])).alias("__kv")).select(*gcols, "__kv.__col", "__kv.__v")
-    med = exact_median(long, gcols + ["__col"], "__v", "__m", buckets)
+    med = exact_median(long, gcols + ["__col"], "__v", "__m")
     wide = med.groupBy(*gcols).pivot("__col", value_cols).agg(F.first("__m"))
-    return wide.drop(G0) if not group_cols else wide
+    return wide

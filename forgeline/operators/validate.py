@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from forgeline.constants import (
     DUPLICATE_KEY, DUPLICATE_REASON, FEATURE_RANGES, FEATURE_REQUIRED,
-    HISTORICAL_AVG_PRICE_FILL, THIN_WALL_MM, VALIDATION_RULES, VOLUME_BOX_TOLERANCE,
+    HISTORICAL_AVG_PRICE_FILL, REQUEST_FINISH_PRESETS, REQUEST_SOURCE_FORMATS, REQUEST_TOLERANCES, THIN_WALL_MM,
+    VALIDATION_RULES, VOLUME_BOX_TOLERANCE,
 )
 from forgeline.operators.common import join_null_safe
+from forgeline.session import materialize
 
 
 class MissingRequiredColumn(ValueError):
@@ -54,9 +56,9 @@ def apply_rules(df: DataFrame, rules=VALIDATION_RULES) -> tuple[DataFrame, list[
         elif policy == "fallback_to_historical_avg" and col == "material_price_per_kg":
             out = out.withColumn(col, F.coalesce(c, F.lit(HISTORICAL_AVG_PRICE_FILL)))
         if typ == "int":                                              # V3
-            out = out.withColumn(col, F.coalesce(F.col(col).cast("double"), F.lit(0.0)).cast("int"))
+            out = out.withColumn(col, F.coalesce(F.col(col).try_cast("double"), F.lit(0.0)).try_cast("int"))
         elif typ == "float":
-            out = out.withColumn(col, F.col(col).cast("double"))
+            out = out.withColumn(col, F.col(col).try_cast("double"))
         v = F.col(col)
         if rng is not None and typ in ("int", "float"):               # V4
             lo, hi = float(rng[0]), float(rng[1])
@@ -74,29 +76,28 @@ def apply_rules(df: DataFrame, rules=VALIDATION_RULES) -> tuple[DataFrame, list[
     return out, failures
 
 
+def cast_failures(df: DataFrame, rules=VALIDATION_RULES) -> DataFrame:
+    """V3: per numeric column the number of non-null values that are no numbers (they become NULL, or 0 for ints)."""
+    cols = [r[0] for r in rules if r[1] in ("int", "float") and r[0] in df.columns]
+    one = df.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()).alias(c) for c in cols])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_failed")) for c in cols])).alias("r")).select("r.*")
+
+
 def flag_duplicates(df: DataFrame, key=DUPLICATE_KEY, order=("completion_date", "order_id"),
-                    out_col: str = "__dup", spread: int = 1024) -> DataFrame:
-    """Mark every row but the first per key (first = smallest ``order`` tuple).
-
-    Skew-safe: the first row per key is found with a grouped ``min`` over the
-    whole row (partial aggregation, so a hot key never sits in one task) and
-    joined back.  Rows differing from that minimum are duplicates outright;
-    only identical copies of the first row need a ``row_number``.  The window
-    is partitioned by (key, is-first, spread) where ``spread`` hashes the
-    non-first rows of a key over ``spread`` partitions, so no task holds a
-    whole hot key.
+                    out_col: str = "__dup", row_col: str = "__row") -> DataFrame:
+    """Mark every row but the first per key (first = smallest ``order`` tuple, then row number).
+
+    The rows are written with a number each (unless ``row_col`` has one already).  The first
+    row's number per key is a grouped ``min`` of a narrow struct (partial aggregation, so a hot
+    key never sits in one task), joined back; whatever is not the first is a duplicate.
     """
-    from pyspark.sql import Window
     order = [c for c in order if c in df.columns]
-    rest = [c for c in df.columns if c not in order and c not in key]
-    sig = F.struct(*[F.col(c) for c in order + rest])
-    first = df.groupBy(*key).agg(F.min(sig).alias("__first"))
-    j = join_null_safe(df.withColumn("__sig", sig), first, list(key), "left")
-    is_min = F.col("__sig").eqNullSafe(F.col("__first"))
-    part = F.when(is_min, F.lit(-1)).otherwise(F.abs(F.xxhash64("__sig")) % spread)
-    w = Window.partitionBy(*key, part).orderBy(*(order or [F.lit(0)]))
-    flagged = j.withColumn(out_col, F.when(is_min, F.row_number().over(w) > 1).otherwise(F.lit(True)))
-    return flagged.drop("__sig", "__first")
+    if row_col not in df.columns:
+        df = materialize(df.withColumn(row_col, F.monotonically_increasing_id()), "numbered")
+    first = (df.groupBy(*key).agg(F.min(F.struct(*order, row_col)).alias("__first"))
+             .select(*key, F.col(f"__first.{row_col}").alias("__first_row")))
+    j = join_null_safe(df, first, list(key), "left")
+    return j.withColumn(out_col, F.col(row_col) != F.col("__first_row")).drop("__first_row", row_col)
 
 
 def annotate(df: DataFrame, rules=VALIDATION_RULES, dedupe: bool = True,
@@ -104,31 +105,29 @@ def annotate(df: DataFrame, rules=VALIDATION_RULES, dedupe: bool = True,
     """V2-V7: filled frame plus ``reject_bucket`` / ``reject_column`` / ``reject_reason``
     (NULL for clean rows) and ``reject_reasons`` (every failing rule's text).
 
-    Order of work: fills and casts (one projection), duplicate flag on the
-    plain columns, then the failure array is evaluated once at the end, so
-    the large rule expression never enters the dedupe signature or a union.
+    Order of work: fills, casts and every rule in one projection, written once with the failures
+    and a number per row; the duplicate flag and the verdict columns are computed over that
+    table, so later filters on the verdict never meet the large rule expression.
     """
     check_required_columns(df, rules)
     filled, failures = apply_rules(df, rules)
-    if dedupe and all(k in filled.columns for k in DUPLICATE_KEY):
+    rows = materialize(filled.withColumn("__fails", F.array_compact(F.array(*failures)))
+                       .withColumn("__row", F.monotonically_increasing_id()), "rules")
+    if dedupe and all(k in rows.columns for k in DUPLICATE_KEY):
         if dedupe_after_rules:
-            bad = F.lit(False)
-            for f in failures:
-                bad = bad | f.isNotNull()
-            marked = filled.withColumn("__bad", bad)
-            good = flag_duplicates(marked.where(~F.col("__bad")).drop("__bad"))
-            rest = marked.where(F.col("__bad")).drop("__bad").withColumn("__dup", F.lit(False))
-            filled = good.unionByName(rest)
+            good = flag_duplicates(rows.where(F.size("__fails") == 0))
+            rest = rows.where(F.size("__fails") > 0).drop("__row").withColumn("__dup", F.lit(False))
+            rows = good.unionByName(rest)
         else:
-            filled = flag_duplicates(filled)
+            rows = flag_duplicates(rows)
     else:
-        filled = filled.withColumn("__dup", F.lit(False))
+        rows = rows.drop("__row").withColumn("__dup", F.lit(False))
     dup = _failure(F.lit(DUPLICATE_REASON), DUPLICATE_REASON, None, F.col("__dup"))
-    out = filled.withColumn("__fails", F.array_compact(F.array(*failures, dup))).drop("__dup")
-    last = F.element_at(F.col("__fails"), -1)
-    return (out.withColumn("reject_bucket", F.when(F.size("__fails") > 0, last["bucket"]))
-            .withColumn("reject_column", F.when(F.size("__fails") > 0, last["column"]))
-            .withColumn("reject_reason", F.when(F.size("__fails") > 0, last["text"]))
+    out = rows.withColumn("__fails", F.concat("__fails", F.array_compact(F.array(dup)))).drop("__dup")
+    last = F.try_element_at("__fails", F.lit(-1))
+    return (out.withColumn("reject_bucket", last["bucket"])
+            .withColumn("reject_column", last["column"])
+            .withColumn("reject_reason", last["text"])
             .withColumn("reject_reasons", F.transform("__fails", lambda s: s["text"]))
             .drop("__fails"))
 
@@ -210,7 +209,13 @@ def request_errors(req: DataFrame) -> DataFrame:
         chk(~F.forall(F.coalesce(g["curvature_samples"], F.array().cast("array<double>")),
                       lambda x: (x >= 0) & (x <= 1)), "curvature samples must be in [0, 1]"),
         chk(~F.forall(F.coalesce(g["holes"], F.array().cast("array<struct<diameter:double,depth:double>>")),
-                      lambda h: (h["diameter"] > 0) & (h["depth"] > 0)), "hole diameter and depth must be > 0"),
+                      lambda h: (h["diameter"] > 0) & (h["diameter"] <= 500) & (h["depth"] > 0) & (h["depth"] <= 2000)),
+            "holes must have a diameter in (0, 500] and a depth in (0, 2000]"),
+        _optional(g["source_format"].isin(*REQUEST_SOURCE_FORMATS), g["source_format"], "unknown source_format"),
+        F.when(r["material_code"].isNull(), F.lit("material_code is required")),
+        _optional(r["surface_finish_preset"].isin(*REQUEST_FINISH_PRESETS), r["surface_finish_preset"], "unknown surface_finish_preset"),
+        _optional(r["tolerance_band"].isin(*REQUEST_TOLERANCES), r["tolerance_band"], "unknown tolerance_band"),
+        _optional(r["max_lead_time_days"] > 0, r["max_lead_time_days"], "max_lead_time_days must be > 0"),
         chk(~((r["quantity"] >= 1) & (r["quantity"] <= 1000000)), "quantity must be in [1, 1000000]"),
         F.when(r["surface_finish_spec"].isNotNull() & ~((r["surface_finish_spec"] > 0) & (r["surface_finish_spec"] <= 25)),
                F.lit("surface_finish_spec must be in (0, 25]")),
@@ -218,3 +223,8 @@ def request_errors(req: DataFrame) -> DataFrame:
         F.when(~F.coalesce(F.col("top_k").between(1, 5), F.lit(True)), F.lit("top_k must be in [1, 5]")),
     ]
     return req.withColumn("errors", F.array_compact(F.array(*conds)))
+
+
+def _optional(valid: Column, value: Column, message: str) -> Column:
+    """The message where a value is given and not valid."""
+    return F.when(value.isNotNull() & ~F.coalesce(valid, F.lit(False)), F.lit(message))

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,17 +53,29 @@ def correlation_pairs(df: DataFrame, cols: list[str] = FEATURE_COLUMNS, limit: f
     return long.select("p.*").withColumn("high", F.abs("r") > limit)
 
 
-def vif(df: DataFrame, cols: list[str] = FEATURE_COLUMNS) -> list[tuple[str, float]]:
-    """Variance inflation factors = diagonal of the inverse correlation matrix (k x k on the driver)."""
-    rs = {(r.feature_a, r.feature_b): r.r for r in correlation_pairs(df, cols).collect()}
-    k = len(cols)
-    m = np.eye(k)
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i < j:
-                m[i, j] = m[j, i] = rs.get((a, b)) if rs.get((a, b)) is not None else 0.0
-    inv = np.linalg.pinv(m)
-    return [(c, float(inv[i, i])) for i, c in enumerate(cols)]
+def vif(df: DataFrame, cols: list[str] = FEATURE_COLUMNS, tolerance: float = 1e-9) -> list[tuple[str, float | None]]:
+    """Variance inflation factors 1 / (1 - R^2) from the k x k correlation matrix (on the driver).
+
+    All correlations are taken over the rows where every column is present.  A column that
+    the others determine has an infinite factor; one that does not vary has none (None).
+    """
+    whole = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    spread = whole.agg(*[F.stddev_pop(c).alias(c) for c in cols]).first()
+    varies = [c for c in cols if spread[c]]
+    rs = {(r.feature_a, r.feature_b): r.r for r in correlation_pairs(whole, varies).collect()} if len(varies) > 1 else {}
+    m = np.eye(len(varies))
+    for i, a in enumerate(varies):
+        for j, b in enumerate(varies[:i]):
+            m[i, j] = m[j, i] = rs[b, a]
+    out: dict[str, float | None] = dict.fromkeys(cols)
+    for i, c in enumerate(varies):
+        rest = [j for j in range(len(varies)) if j != i]
+        values, vectors = np.linalg.eigh(m[np.ix_(rest, rest)]) if rest else (np.zeros(0), np.zeros((0, 0)))
+        kept = values > tolerance * max(1.0, values.max(initial=0.0))
+        along = (vectors.T @ m[rest, i])[kept] if rest else np.zeros(0)
+        unexplained = 1.0 - float((along ** 2 / values[kept]).sum())
+        out[c] = math.inf if unexplained < tolerance else 1.0 / unexplained
+    return [(c, out[c]) for c in cols]
 
 
 def class_feature_stats(df: DataFrame, feature: str, label_col: str = "process_code") -> DataFrame:

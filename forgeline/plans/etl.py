@@ -19,6 +19,7 @@ from forgeline.operators.labels import build_labels
 from forgeline.operators.normalize import normalize
 from forgeline.operators.validate import annotate, split_valid
 from forgeline.sources.readers import extract_completed
+from forgeline.session import materialize
 from forgeline.sources.tables import Domain
 
 # Output column order of the training table.
@@ -57,23 +58,22 @@ def enriched_orders(d: Domain, start_date=None, end_date=None, facility_ids=None
 def training_rows(d: Domain, barriers: bool = True, **kw) -> DataFrame:
     """Normalised and labelled rows before validation.
 
-    With ``barriers`` the enriched orders are checkpointed (reliable checkpoint
-    into ``spark.checkpoint.dir``, partitioning kept) before normalising: the
-    median and mean tables and the main projection all read that one copy
-    instead of re-running the extract and the three joins.
+    With ``barriers`` the enriched orders are written to the shared folder (columnar, so
+    each consumer reads its own columns) before normalising: the median and mean tables
+    and the main projection all read that one copy instead of re-running the three joins.
     """
     enriched = enriched_orders(d, **kw)
-    if barriers:
-        enriched = enriched.checkpoint()
-    return build_labels(normalize(enriched))
+    return build_labels(normalize(materialize(enriched, "enriched") if barriers else enriched))
 
 
 def annotated_training_rows(d: Domain, barriers: bool = True, **kw) -> DataFrame:
     """Every row with its validation verdict (reject columns NULL when clean)."""
-    labelled = training_rows(d, barriers=barriers, **kw)
-    if barriers:
-        labelled = labelled.checkpoint()
-    return annotate(labelled)
+    return annotate(training_rows(d, barriers=barriers, **kw))
+
+
+def annotate_enriched(enriched: DataFrame) -> DataFrame:
+    """The rest of the ETL (normalise, label, validate) over a table of enriched orders."""
+    return annotate(build_labels(normalize(enriched)))
 
 
 def clean_training_rows(d: Domain, **kw) -> DataFrame:
@@ -112,11 +112,9 @@ def rows_by_process(clean: DataFrame) -> DataFrame:
         F.round(F.avg("cost_total"), 6).alias("avg_cost_total"))
 
 
-def annotate_order_batch(d: Domain, orders_batch: DataFrame) -> DataFrame:
-    """T-S6 micro-batch body: the ETL on a batch of new completed orders (lines with invoices)."""
+def enrich_order_batch(d: Domain, orders_batch: DataFrame) -> DataFrame:
+    """T-S6 micro-batch body: invoices, geometry, rate and price of a batch of new orders."""
     from forgeline.sources.readers import extract_completed
-    ex = extract_completed(orders_batch, d.invoices)
-    j = join_geometry(ex, d.geometry)
-    j = rate_as_of(j, d.equipment)
-    j = price_at_date(j, d.prices)
-    return annotate(build_labels(normalize(j.checkpoint())))
+    j = join_geometry(extract_completed(orders_batch, d.invoices), d.geometry)
+    j = rate_as_of(j, d.equipment, date_bounds=orders_batch.select("order_date"))
+    return price_at_date(j, d.prices)

@@ -60,16 +60,20 @@ SELECT {OID} AS order_id,
   {COST_TOTAL} AS cost_total
 FROM lineitem LEFT JOIN proc ON (l_suppkey * 7 + l_linenumber) % 20 = pidx
 JOIN mat ON l_suppkey % 18 = midx""", ["proc", "mat"])
-cte("m_invoices", f"""
+_INVOICES = f"""
 SELECT {OID} AS order_id, {COST_TOTAL} AS cost_total,
   CASE WHEN l_returnflag = 'A' THEN l_extendedprice * 0.40e0 END AS cost_machine_time,
   CASE WHEN l_returnflag = 'A' THEN l_extendedprice * 0.20e0 END AS cost_setup,
   CASE WHEN l_returnflag = 'A' AND l_linenumber <> 3 THEN l_extendedprice * 0.10e0 END AS cost_tooling,
   CASE WHEN l_returnflag = 'A' THEN l_extendedprice * 0.25e0 END AS cost_raw_material,
   CASE WHEN l_returnflag = 'A' THEN l_extendedprice * 0.05e0 END AS cost_finishing,
-  CASE WHEN l_returnflag = 'A' THEN 'exact' ELSE 'decomposed' END AS label_source
-FROM lineitem WHERE l_tax < 0.075e0""")
-cte("m_geometry", """
+  CASE WHEN l_returnflag = 'A' THEN 'exact' WHEN l_tax >= 0.06e0 THEN 'estimated' ELSE 'decomposed' END AS label_source
+FROM lineitem{{where}}"""
+
+
+cte("m_invoices_all", _INVOICES.format(where=""))
+cte("m_invoices", _INVOICES.format(where=" WHERE l_tax < 0.075e0"))
+_GEOMETRY = """
 SELECT 'PART-' || CAST(p_partkey AS VARCHAR) AS part_id,
   CASE WHEN p_partkey % 41 <> 0 THEN p_size * 13.0e0 END AS bounding_box_x,
   p_size * 7.0e0 + 5.0e0 AS bounding_box_y,
@@ -85,12 +89,14 @@ SELECT 'PART-' || CAST(p_partkey AS VARCHAR) AS part_id,
   CASE WHEN p_partkey % 20 <> 0 THEN CAST((p_partkey % 97 + 3) / 10.0e0 < 1.5e0 AS INTEGER) END AS thin_wall_flag,
   CASE WHEN p_partkey % 33 <> 0 THEN (p_partkey % 101) / 100.0e0 END AS curvature_complexity,
   CASE WHEN p_partkey % 31 <> 0 THEN (p_partkey % 89) / 88.0e0 END AS symmetry_score
-FROM part WHERE p_partkey % 10 <> 9""")
+FROM part"""
+cte("m_geometry_all", _GEOMETRY)
+cte("m_geometry", _GEOMETRY + " WHERE p_partkey % 10 <> 9")
 cte("m_prices", """
-SELECT CAST(ts AS DATE) AS date, mcode AS material_code, 1.0e0 + value AS price_usd_per_kg,
-  'live' AS source, event_id AS seq
-FROM events JOIN mat ON user_id % 16 = midx
-WHERE event_type = 'purchase' AND (user_id + event_id) % 3 = 0""", ["mat"])
+SELECT CAST(ts AS DATE) - CAST((datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) + midx) % (midx + 1) AS INTEGER) AS date,
+  mcode AS material_code, 1.0e0 + value AS price_usd_per_kg, 'live' AS source, event_id AS seq
+FROM events JOIN mat ON user_id % 18 = midx
+WHERE event_type = 'purchase'""", ["mat"])
 cte("m_equipment", """
 SELECT 'FACILITY_0' || CAST(1 + user_id % 3 AS VARCHAR) AS facility_id,
   'M' || CAST(user_id AS VARCHAR) AS machine_id, pcode AS process_code,

@@ -101,11 +101,11 @@ def w9_last_event_per_user(d: Domain):
                        F.col("r.event_type").alias("last_event_type"))
 
 
-@register("p22_log_volume", "SELECT part_id, ln(1 + volume) AS log_volume FROM m_geometry", ["log_volume"],
-          ["m_geometry"])
+@register("p22_log_volume", "SELECT part_id, ln(1 + volume) AS log_volume FROM m_geometry_all", ["log_volume"],
+          ["m_geometry_all"])
 def p22_log_volume(d: Domain):
     """log(volume + 1) per part."""
-    return d.geometry.select("part_id", F.log1p("volume").alias("log_volume"))
+    return d.all_geometry.select("part_id", F.log1p("volume").alias("log_volume"))
 
 
 @register("g26_vif", None)

@@ -137,7 +137,7 @@ def j2_price_all_orders(d: Domain):
 def j3_rate_as_of(d: Domain):
     """Machine rate as of the order date (raw process code, same facility)."""
     ex = readers.extract_completed(d.orders, d.invoices)
-    j = joins.rate_as_of(joins.join_geometry(ex, d.geometry), d.equipment)
+    j = joins.rate_as_of(joins.join_geometry(ex, d.geometry), d.equipment, date_bounds=d.orders.select("order_date"))
     return j.select("order_id", "process_code", "facility_id", "order_date", "effective_hourly_rate")
 
 
@@ -271,10 +271,10 @@ SELECT order_id, CAST(round(CAST(CAST(COALESCE(cost_machine_time, 0) + COALESCE(
   + COALESCE(cost_raw_material, 0) + COALESCE(cost_finishing, 0) AS VARCHAR) AS DECIMAL(38,20)), 2) AS DOUBLE) AS components_sum,
   abs(cost_total - (COALESCE(cost_machine_time, 0) + COALESCE(cost_setup, 0) + COALESCE(cost_tooling, 0)
   + COALESCE(cost_raw_material, 0) + COALESCE(cost_finishing, 0))) <= 0.05e0 AS components_match_total
-FROM m_invoices""", ["components_sum"], ["m_invoices"])
+FROM m_invoices_all""", ["components_sum"], ["m_invoices_all"])
 def l3_components_sum_check(d: Domain):
     """L3: invoice components vs total cross-check."""
-    return labels.components_sum_check(d.invoices).select("order_id", "components_sum", "components_match_total")
+    return labels.components_sum_check(d.all_invoices).select("order_id", "components_sum", "components_match_total")
 
 
 @register("j12_enrich_extra_source", """

@@ -22,12 +22,12 @@ def _scratch(d: Domain, name: str) -> str:
     return shared_path(d.spark, name, uuid.uuid4().hex)
 
 
-@register("s4_geometry_envelope_roundtrip", "SELECT * FROM m_geometry", GEO_DOUBLES, ["m_geometry"])
+@register("s4_geometry_envelope_roundtrip", "SELECT * FROM m_geometry_all", GEO_DOUBLES, ["m_geometry_all"])
 def s4_geometry_envelope_roundtrip(d: Domain):
     """Geometry written as bulk JSON envelopes {status, features:[...]} (<= 500 parts each),
     read back with a fixed schema and flattened with inline()."""
     path = _scratch(d, "geometry_json")
-    g = d.geometry.withColumn("__batch", (F.split("part_id", "-").getItem(1).cast("long") / 500).cast("long"))
+    g = d.all_geometry.withColumn("__batch", (F.split("part_id", "-").getItem(1).cast("long") / 500).cast("long"))
     env = g.groupBy("__batch").agg(F.collect_list(F.struct(*GEOMETRY_COLUMNS)).alias("features")) \
         .select(F.lit("ok").alias("status"), "features")
     env.write.mode("overwrite").json(path)
@@ -40,19 +40,33 @@ def s4_geometry_envelope_roundtrip(d: Domain):
 SELECT facility_id, machine_id, process_code, week_start, effective_hourly_rate_usd FROM m_equipment
 WHERE facility_id IN ('FACILITY_01', 'FACILITY_02')""", ["effective_hourly_rate_usd"], ["m_equipment"])
 def s5_equipment_csv_scan(d: Domain):
-    """Equipment log CSV files scanned by glob with a fixed schema, facility filter."""
+    """equipment_log_*.csv files whose columns stand in different orders, read by header name;
+    a file of another name is not read; facility filter."""
     path = _scratch(d, "equipment_csv")
     e = d.equipment.select("facility_id", "machine_id", "process_code", "week_start",
                            F.lit(None).cast("double").alias("availability_pct"), "effective_hourly_rate_usd",
                            F.lit(None).cast("double").alias("downtime_hours"),
-                           F.lit(None).cast("string").alias("maintenance_notes"))
-    e.write.mode("overwrite").option("header", True).csv(path)
-    df = (d.spark.read.schema(readers.EQUIPMENT_LOG_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
-          .option("ignoreCorruptFiles", True).option("pathGlobFilter", "part-*.csv").csv(path))
-    df = df.where(F.col("facility_id").isin(["FACILITY_01", "FACILITY_02"]))
+                           F.lit(None).cast("string").alias("maintenance_notes"), "seq")
+    swapped = ["effective_hourly_rate_usd", "machine_id", "week_start", "process_code", "facility_id"]
+    for name, rows, columns in (("a", e.where("seq % 2 = 0"), e.columns[:-1]), ("b", e.where("seq % 2 = 1"), swapped)):
+        _csv_named(rows.select(*columns), path, f"equipment_log_{name}")
+    _csv_named(e.limit(5).drop("seq"), path, "other_log")
+    df = readers.scan_equipment_logs(d.spark, path, ["FACILITY_01", "FACILITY_02"])
     return df.select("facility_id", "machine_id", "process_code", "week_start", "effective_hourly_rate_usd")
 
 
+def _csv_named(df, folder: str, prefix: str) -> None:
+    """Write CSV part files with headers and give them names that start with ``prefix``."""
+    part = f"{folder}-{prefix}"
+    df.write.mode("overwrite").option("header", True).csv(part)
+    jvm, spark = df.sparkSession._jvm, df.sparkSession
+    hadoop = jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(folder))
+    for i, f in enumerate(x for x in fs.listStatus(hadoop(part)) if x.getPath().getName().endswith(".csv")):
+        fs.rename(f.getPath(), hadoop(f"{folder}/{prefix}_{i}.csv"))
+
+
 @register("s11_versioned_catalog", """
 SELECT 1 AS version, CAST(count(*) AS BIGINT) AS row_count, 13 AS column_count, false AS is_latest FROM m_orders
 UNION ALL
@@ -74,8 +88,11 @@ SELECT part_id, CAST(len(list_filter([
   CASE WHEN NOT (p_size * 13.0e0 > 0 AND p_size * 13.0e0 <= 3000) THEN 1 END,
   CASE WHEN p_partkey % 7 = 0 THEN 1 END,
   CASE WHEN p_partkey % 11 = 0 THEN 1 END,
-  CASE WHEN NOT (p_partkey % 9 BETWEEN 1 AND 5) THEN 1 END], lambda x: x IS NOT NULL)) AS INTEGER) AS n_errors
-FROM (SELECT 'PART-' || CAST(p_partkey AS VARCHAR) AS part_id, p_partkey, p_size FROM part WHERE p_partkey % 10 <> 9) g""",
+  CASE WHEN NOT (p_partkey % 9 BETWEEN 1 AND 5) THEN 1 END,
+  CASE WHEN p_partkey % 13 = 0 THEN 1 END, CASE WHEN p_partkey % 17 = 0 THEN 1 END, CASE WHEN p_partkey % 19 = 0 THEN 1 END,
+  CASE WHEN p_partkey % 23 = 0 THEN 1 END, CASE WHEN p_partkey % 29 = 0 THEN 1 END,
+  CASE WHEN p_partkey % 31 = 0 THEN 1 END], lambda x: x IS NOT NULL)) AS INTEGER) AS n_errors
+FROM (SELECT 'PART-' || CAST(p_partkey AS VARCHAR) AS part_id, p_partkey, p_size FROM part) g""",
           [])
 def v10_request_validation(d: Domain):
     """Scoring requests built as JSON text, parsed with from_json, validated into errors."""
@@ -85,12 +102,16 @@ def v10_request_validation(d: Domain):
     req = req.select(
         "part_id",
         F.col("geometry").withField("wall_thicknesses", F.when(F.col("k") % 7 == 0, F.array(F.lit(-1.0)))
-                                    .otherwise(F.col("geometry.wall_thicknesses"))).alias("geometry"),
-        F.struct(F.lit("AL6061").alias("material_code"),
+                                    .otherwise(F.col("geometry.wall_thicknesses")))
+        .withField("source_format", F.when(F.col("k") % 13 == 0, "OBJ").otherwise("STL"))
+        .withField("holes", F.when(F.col("k") % 17 == 0, F.array(F.struct(F.lit(9999.0).alias("diameter"), F.lit(1.0).alias("depth"))))
+                   .otherwise(F.col("geometry.holes"))).alias("geometry"),
+        F.struct(F.when(F.col("k") % 19 != 0, "AL6061").alias("material_code"),
                  F.when(F.col("k") % 11 == 0, F.lit(0)).otherwise(F.lit(10)).alias("quantity"),
                  F.lit(None).cast("double").alias("surface_finish_spec"),
-                 F.lit(None).cast("string").alias("surface_finish_preset"), F.lit("IT8").alias("tolerance_band"),
-                 F.lit(None).cast("int").alias("max_lead_time_days"),
+                 F.when(F.col("k") % 23 == 0, "shiny").alias("surface_finish_preset"),
+                 F.when(F.col("k") % 29 == 0, "IT99").otherwise("IT8").alias("tolerance_band"),
+                 F.when(F.col("k") % 31 == 0, -1).cast("int").alias("max_lead_time_days"),
                  F.lit(None).cast("int").alias("batch_size")).alias("requirements"),
         (F.col("k") % 9).cast("int").alias("top_k"), F.lit(False).alias("include_debug"))
     as_json = fx.to_json_col(req, req.columns)
@@ -105,8 +126,8 @@ def ts5_price_feed_stream(d: Domain):
     """T-S5/S7: price rows streamed from files into a date-partitioned archive with idempotent upserts."""
     from forgeline.streaming.monitors import price_feed_stream
     src, arch, ck = _scratch(d, "prices_in"), _scratch(d, "price_archive"), _scratch(d, "prices_ck")
-    d.prices.write.mode("overwrite").parquet(src)
-    stream = d.spark.readStream.schema(d.prices.schema).parquet(src)
+    d.prices.repartitionByRange(3, "date").write.mode("overwrite").parquet(src)
+    stream = d.spark.readStream.schema(d.prices.schema).option("maxFilesPerTrigger", 1).parquet(src)
     price_feed_stream(stream, arch, ck)
     return d.spark.read.parquet(arch).select(F.col("date").cast("date").alias("date"), "material_code",
                                              "price_usd_per_kg")
@@ -182,12 +203,12 @@ def a8_run_metrics(d: Domain):
 
 
 @register("s13_fan_out", """
-SELECT 1 AS copy, CAST(count(*) AS BIGINT) AS row_count FROM m_geometry
-UNION ALL SELECT 2, CAST(count(*) AS BIGINT) FROM m_geometry""", [], ["m_geometry"])
+SELECT 1 AS copy, CAST(count(*) AS BIGINT) AS row_count FROM m_geometry_all
+UNION ALL SELECT 2, CAST(count(*) AS BIGINT) FROM m_geometry_all""", [], ["m_geometry_all"])
 def s13_fan_out(d: Domain):
     """One materialised dataset written to two consumer locations; rows read back per copy."""
     a, b = _scratch(d, "copy_a"), _scratch(d, "copy_b")
-    ok = sinks.fan_out(d.geometry, [a, b])
+    ok = sinks.fan_out(d.all_geometry, [a, b])
     assert all(ok.values())
     return d.spark.read.parquet(a).agg(F.lit(1).alias("copy"), F.count(F.lit(1)).alias("row_count")).unionByName(
         d.spark.read.parquet(b).agg(F.lit(2).alias("copy"), F.count(F.lit(1)).alias("row_count")))

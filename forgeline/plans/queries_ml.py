@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from forgeline.constants import FEATURE_COLUMNS, MODEL_COMPONENT_COLUMN
+from forgeline.constants import COST_MODEL_OVERRIDES, FEATURE_COLUMNS, MODEL_COMPONENT_COLUMN
 from forgeline.functions.features import cost_features
 from forgeline.operators.normalize import clean_process
 from forgeline.plans import etl, evaluate as ev, ml, scoring
 from forgeline.plans.registry import register
+from forgeline.session import materialize
 from forgeline.sources.tables import Domain
 
 _MD5 = "md5(CAST(order_id AS VARCHAR) || '42')"
@@ -37,22 +38,22 @@ def m3_stratified_folds(d: Domain):
 
 
 @register("m1_imputer_medians", "SELECT " + ", ".join(
-    f"median(CAST({c} AS DOUBLE)) AS {c}" for c in FEATURE_COLUMNS) + " FROM m_geometry",
-          FEATURE_COLUMNS, ["m_geometry"])
+    f"median(CAST({c} AS DOUBLE)) AS {c}" for c in FEATURE_COLUMNS) + " FROM m_geometry_all",
+          FEATURE_COLUMNS, ["m_geometry_all"])
 def m1_imputer_medians(d: Domain):
     """M1: exact per-feature medians of the geometry features (imputation values)."""
-    return ml.median_imputation_values(d.geometry, FEATURE_COLUMNS)
+    return ml.median_imputation_values(d.all_geometry, FEATURE_COLUMNS)
 
 
 @register("m12_scaler_stats", """
 SELECT feature, avg(v) AS mean, stddev_samp(v) AS std FROM (
   UNPIVOT (SELECT """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS) + """ FROM (
-    SELECT *, percent_rank() OVER (ORDER BY md5(part_id || '42')) AS pr FROM m_geometry) g WHERE pr < 0.70e0)
+    SELECT *, percent_rank() OVER (ORDER BY md5(part_id || '42')) AS pr FROM m_geometry_all) g WHERE pr < 0.70e0)
   ON """ + ", ".join(FEATURE_COLUMNS) + """ INTO NAME feature VALUE v) u
-GROUP BY feature""", ["mean", "std"], ["m_geometry"])
+GROUP BY feature""", ["mean", "std"], ["m_geometry_all"])
 def m12_scaler_stats(d: Domain):
     """Scaler statistics fitted on the training split only."""
-    train = ml.stratified_split(d.geometry, [], "part_id").where(F.col("split") == "train")
+    train = ml.stratified_split(d.all_geometry, [], "part_id").where(F.col("split") == "train")
     return ml.scaler_stats(train, FEATURE_COLUMNS)
 
 
@@ -76,7 +77,7 @@ def m6_cost_eligibility(d: Domain):
 
 def _split_clean(d: Domain):
     clean = etl.clean_training_rows(d)
-    return ml.stratified_split(clean, ["process_code"], "order_id").checkpoint()
+    return materialize(ml.stratified_split(clean, ["process_code"], "order_id"), "split")
 
 
 @register("m2_classifier_holdout", None)
@@ -103,7 +104,9 @@ def m6_cost_models_holdout(d: Domain):
     from forgeline.sources.readers import training_rows_without_estimated
     rows = cost_features(training_rows_without_estimated(_split_clean(d))
                          .withColumn("surface_finish_spec", F.col("surface_finish_ra")))
-    models = ml.train_cost_models(rows.where(F.col("split") == "train"), max_iter=10, max_depth=3)
+    # the fit settings per process, with fewer trees than a production run
+    settings = {p: {**o, "maxIter": max(5, o["maxIter"] // 40)} for p, o in COST_MODEL_OVERRIDES.items()}
+    models = ml.train_cost_models(rows.where(F.col("split") == "train"), max_iter=10, max_depth=3, overrides=settings)
     test = rows.where(F.col("split") == "test")
     lp = ml.log_predictions(models, test, "order_id")
     n = d.spark.createDataFrame([(m.process_code, m.n_training) for m in models],
@@ -132,15 +135,32 @@ def m21_unified_cost_model(d: Domain):
 
 @register("m4_platt_brier", None)
 def m4_platt_brier(d: Domain):
-    """Per-class Platt (sigmoid) calibration of the class-probability table, renormalised;
-    Brier score before and after (rows-only: model fits)."""
-    scores = d.scores.checkpoint()
-    _, cal = ml.calibrate_platt(scores)
+    """Per-class Platt (sigmoid) calibration fitted on out-of-fold model output (cv = 3), applied to
+    the test split; Brier score there before and after (rows-only: model fits)."""
+    s = ml.prepare_classifier_rows(_split_clean(d))
+    train = s.where(F.col("split") != "test")
+    fitted = ml.fit_platt(ml.out_of_fold_probabilities(train, folds=3, num_trees=20, max_depth=6))
+    model = ml.classifier_pipeline(num_trees=20, max_depth=6).fit(train)
+    scores = materialize(ml.probabilities(model, s.where(F.col("split") == "test"), "order_id"), "test-scores")
     before = ev.brier_score(scores).withColumnRenamed("brier", "brier_raw")
-    after = ev.brier_score(cal).withColumnRenamed("brier", "brier_calibrated")
+    after = ev.brier_score(ml.apply_platt(scores, fitted)).withColumnRenamed("brier", "brier_calibrated")
     return before.select("brier_raw", after.select("brier_calibrated").scalar().alias("brier_calibrated"))
 
 
+@register("m3_fold_scores", None)
+def m3_fold_scores(d: Domain):
+    """M3: top-1 / top-3 accuracy of each of five stratified folds, their mean and population std."""
+    return ml.fold_scores(ml.prepare_classifier_rows(_split_clean(d)), num_trees=20, max_depth=6)
+
+
+@register("m16_permutation_importance", None)
+def m16_permutation_importance(d: Domain):
+    """Mean drop in top-3 accuracy on the test split when one feature is shuffled (3 repeats here)."""
+    s = ml.prepare_classifier_rows(_split_clean(d))
+    model = ml.classifier_pipeline(num_trees=20, max_depth=6).fit(s.where(F.col("split") == "train"))
+    return ml.permutation_importance(model, s.where(F.col("split") == "test"), "order_id", repeats=3)
+
+
 @register("m17_ablation", None)
 def m17_ablation(d: Domain):
     """Top-3 accuracy of the classifier with all features vs without curvature_complexity."""

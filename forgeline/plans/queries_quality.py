@@ -12,6 +12,7 @@ from forgeline.operators.normalize import clean_codes
 from forgeline.plans import etl, quality
 from forgeline.plans.oracle_sql import cte
 from forgeline.plans.registry import register
+from forgeline.session import materialize
 from forgeline.sources import readers
 from forgeline.sources.tables import Domain
 
@@ -49,10 +50,12 @@ FROM (SELECT feature, value,
       FROM (SELECT feature, value, count(*) FILTER (WHERE half = 0) AS nb,
                    count(*) FILTER (WHERE half = 1) AS nn FROM dlong GROUP BY feature, value) v) c
 GROUP BY feature HAVING max(tb) >= 5 AND max(tn) >= 5""", ["dlong"])
-_KS_P = ("CASE WHEN ks_stat <= 0 THEN 1.0e0 ELSE least(1.0e0, greatest(0.0e0, list_sum(list_transform("
-         "range(1, 101), lambda k: 2.0e0 * power(-1.0e0, k - 1) * exp(-2.0e0 * k * k * "
-         "(sqrt(n_base * n_new / (n_base + n_new)) * ks_stat) * (sqrt(n_base * n_new / (n_base + n_new)) * ks_stat)"
-         "))))) END")
+_LAM = "(sqrt(n_base * n_new / (n_base + n_new)) * ks_stat)"
+_KS_P = (f"CASE WHEN ks_stat <= 0 THEN 1.0e0 ELSE least(1.0e0, greatest(0.0e0, CASE WHEN {_LAM} < 0.5e0 THEN "
+         f"1.0e0 - sqrt(2.0e0 * pi()) / {_LAM} * list_sum(list_transform(range(1, 41), lambda k: "
+         f"exp(-power(2.0e0 * k - 1.0e0, 2) * power(pi(), 2) / (8.0e0 * {_LAM} * {_LAM})))) ELSE "
+         f"list_sum(list_transform(range(1, 101), lambda k: 2.0e0 * power(-1.0e0, k - 1) * exp(-2.0e0 * k * k * {_LAM} * {_LAM}))) "
+         "END)) END")
 cte("ksp", f"SELECT *, {_KS_P} AS ks_pval, {_KS_P} < 0.01e0 AS ks_flag FROM ks", ["ks"])
 cte("shares", """
 SELECT COALESCE(b.process_code, n.process_code) AS process_code, COALESCE(b.p, 0.0e0) AS base_prop,
@@ -66,7 +69,7 @@ FULL OUTER JOIN (SELECT process_code, count(*) / sum(count(*)) OVER () AS p FROM
 
 
 def _drift_halves(d: Domain):
-    e = clean_codes(etl.enriched_orders(d)).checkpoint()
+    e = materialize(clean_codes(etl.enriched_orders(d)), "drift")
     half = F.split(F.col("order_id"), "-").getItem(0).cast("bigint") % 2
     base = e.where(half == 0)
     new = e.where(half == 1).withColumn("cost_total", F.col("cost_total") * 1.3)

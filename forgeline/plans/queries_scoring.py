@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from forgeline.constants import (
     CONSTRAINT_DEFAULTS, FEATURE_COLUMNS, FEATURE_RANGES, FEATURE_REQUIRED, FETCHER_FALLBACK_PRICES,
-    PROCESS_CLASSES, COST_PROCESS_CODE, COST_MATERIAL_FAMILY, FEATURE_HISTORICAL_PRICES, TOLERANCE_IT_INDEX,
+    MATERIAL_COMMODITY, PROCESS_CATALOG_BOUNDS, PROCESS_CLASSES, ROUTED_PROCESSES, COST_PROCESS_CODE, COST_MATERIAL_FAMILY, FEATURE_HISTORICAL_PRICES, TOLERANCE_IT_INDEX,
 )
 from forgeline.functions import features as fx
 from forgeline.operators import rules, validate
 from forgeline.operators.common import lookup
 from forgeline.plans import scoring
-from forgeline.plans.oracle_sql import _map_case, _q, cte, r2, values
+from forgeline.plans.oracle_sql import OID, _map_case, _q, cte, r2, values
 from forgeline.plans.registry import register
 from forgeline.sources.tables import Domain
 
@@ -39,7 +39,7 @@ SELECT 'PART-' || CAST(p_partkey AS VARCHAR) AS part_id, p_partkey AS k,
   CASE WHEN p_partkey % 4 = 0 THEN CAST([] AS DOUBLE[])
        ELSE [(p_partkey % 89) / 88.0e0, (p_partkey % 7) / 7.0e0, (p_partkey % 13) / 13.0e0] END AS axes,
   p_partkey % 5 = 0 AS has_undercuts
-FROM part WHERE p_partkey % 10 <> 9""")
+FROM part""")
 cte("a1", """
 SELECT part_id, bx AS bounding_box_x, by_ AS bounding_box_y, bz AS bounding_box_z, volume, surface_area,
   list_min(walls) AS wall_thickness_min, list_avg(walls) AS wall_thickness_avg,
@@ -69,10 +69,8 @@ def _display_case(col: str) -> str:
 
 
 def _score_requests(d: Domain):
-    s = d.scores.withColumn("part_id", F.concat(F.lit("PART-"), F.split("row_id", "-").getItem(2)))
-    o = d.orders.select(F.col("order_id").alias("row_id"), "quantity")
     g = scoring.serving_feature_defaults(d.geometry.where(F.col("bounding_box_x").isNotNull()))
-    return s.join(o, "row_id").join(g, "part_id")
+    return d.score_requests.select("row_id", "true_idx", "proba", "part_id", "quantity").join(g, "part_id")
 
 
 @register("p17_feasible_processes", f"""
@@ -84,10 +82,10 @@ SELECT part_id, array_to_string(list_filter({ALL_LIST}, lambda c: NOT {_excluded
     'c', 'COALESCE(wall_thickness_min, 10.0e0)', 'COALESCE(wall_thickness_avg, 5.0e0)',
     'COALESCE(undercut_flag, 0)', 'COALESCE(bounding_box_x, 0.0e0)', 'COALESCE(bounding_box_y, 0.0e0)',
     'COALESCE(bounding_box_z, 0.0e0)')})) AS INTEGER) AS n_feasible
-FROM m_geometry""", [], ["m_geometry"])
+FROM m_geometry_all""", [], ["m_geometry_all"])
 def p17_feasible_processes(d: Domain):
     """Feasible processes per part after the hard constraints (missing inputs -> defaults)."""
-    f = d.geometry.withColumn("feasible", rules.feasible_processes())
+    f = d.all_geometry.withColumn("feasible", rules.feasible_processes())
     return f.select("part_id", F.array_join("feasible", ",").alias("feasible_codes"),
                     F.size("feasible").alias("n_feasible"))
 
@@ -95,11 +93,11 @@ def p17_feasible_processes(d: Domain):
 @register("p19_heuristic_ranking", """
 SELECT part_id, CASE WHEN wall_thickness_min < 1.5e0 THEN 'additive_fdm,sheet_metal_bending,laser_cutting'
   WHEN volume > 5e6 THEN 'sand_casting,die_casting,forging'
-  ELSE 'cnc_milling,sheet_metal_bending,injection_molding' END AS heuristic_top3 FROM m_geometry""",
-          [], ["m_geometry"])
+  ELSE 'cnc_milling,sheet_metal_bending,injection_molding' END AS heuristic_top3 FROM m_geometry_all""",
+          [], ["m_geometry_all"])
 def p19_heuristic_ranking(d: Domain):
     """Three-rule heuristic baseline ranking."""
-    return d.geometry.select("part_id", F.array_join(rules.heuristic_ranking(), ",").alias("heuristic_top3"))
+    return d.all_geometry.select("part_id", F.array_join(rules.heuristic_ranking(), ",").alias("heuristic_top3"))
 
 
 A1_DOUBLES = ["bounding_box_x", "bounding_box_y", "bounding_box_z", "volume", "surface_area", "wall_thickness_min",
@@ -245,6 +243,120 @@ def m14_recommendations(d: Domain):
     return scoring.flat_recommendations(scoring.recommend(_score_requests(d), 3))
 
 
+_ROUTED = ", ".join(_q(p) for p in ROUTED_PROCESSES)
+cte("m_served", f"""
+WITH req AS (SELECT r.row_id, r.rnk, r.p, c.process AS process_code, o.l_quantity AS quantity,
+    COALESCE(list_min(g.walls), 2.0e0) AS wmin, COALESCE(list_avg(g.walls), 3.0e0) AS wavg,
+    CAST(g.has_undercuts AS INTEGER) AS und, g.bx, g.by_, g.bz, g.volume, mcode AS material_code,
+    1 + CAST(split_part(r.row_id, '-', 2) AS BIGINT) % 6 AS top_k, 4 + CAST(split_part(r.row_id, '-', 4) AS BIGINT) % 11 AS it
+  FROM m_ranked r JOIN classes c ON c.class_idx = r.class_idx
+  JOIN (SELECT {OID} AS row_id, CAST(min(l_quantity) AS INTEGER) AS l_quantity FROM lineitem GROUP BY 1) o ON o.row_id = r.row_id
+  JOIN m_ngeo g ON g.part_id = 'PART-' || split_part(r.row_id, '-', 3)
+  JOIN mat ON CAST(split_part(r.row_id, '-', 4) AS BIGINT) % 18 = midx
+  WHERE r.rnk <= 8)
+SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY rnk) AS pos FROM req
+WHERE top_k <= 5 AND it <= 12 AND rnk <= top_k + 3
+  AND NOT {_excluded_sql('process_code', 'wmin', 'wavg', 'und', 'bx', 'by_', 'bz')}""",
+    ["m_ranked", "classes", "m_ngeo", "mat"])
+cte("m_modelcost", f"""
+SELECT process_code, {", ".join(
+    (f"CASE WHEN process_code IN ('additive_fdm', 'additive_slm', 'laser_cutting') THEN 0.0e0 ELSE " if c == 'tooling_cost' else "(")
+    + "COALESCE(" + r2(f"greatest(0.0e0, exp(avg(ln(1 + y_true)) FILTER (WHERE component = '{c}')) - 1)") + ", 0.0e0)"
+    + (" END" if c == 'tooling_cost' else ")") + f" AS {c}"
+    for c in ('machine_time_cost', 'setup_cost', 'tooling_cost', 'raw_material_cost', 'finishing_cost'))}
+FROM m_costpred GROUP BY process_code""", ["m_costpred"])
+
+
+def _json_requests(d: Domain):
+    """Each scored order line as a service request in JSON text."""
+    g = d.nested_geometry
+    nested = g.select("part_id", F.struct(*[c for c in g.columns if c != "part_id"]).alias("geometry"))
+    r = d.score_requests.join(nested, "part_id").select(
+        "row_id", "part_id", "geometry",
+        F.struct("material_code", "quantity", "tolerance_band").alias("requirements"), "top_k")
+    return r.select("row_id", F.to_json(F.struct("part_id", "geometry", "requirements", "top_k")).alias("json"))
+
+
+def _mean_model_costs(d: Domain):
+    """Cost models of one constant per process and component: the mean log cost (fits are in queries_ml)."""
+    cp = d.cost_predictions
+    mean = cp.groupBy("process_code", "component").agg(F.avg(F.log1p("y_true")).alias("log_pred"))
+    n = cp.groupBy("process_code").agg(F.count(F.lit(1)).alias("n_training"))
+    return scoring.predict_costs(mean.select(F.col("process_code").alias("row_id"), "process_code", "component", "log_pred"), n)
+
+
+def _served(d: Domain):
+    return scoring.serve(_json_requests(d), d.scores, _mean_model_costs(d), FETCHER_FALLBACK_PRICES)
+
+
+@register("m14_served_recommendations", f"""
+SELECT s.row_id, CAST(s.rnk AS INTEGER) AS rank, s.process_code, {r2('s.p', 4)} AS probability,
+  COALESCE(CASE WHEN s.process_code IN ({_ROUTED}) THEN {r2('m.machine_time_cost + m.setup_cost + m.tooling_cost + m.raw_material_cost + m.finishing_cost')} END,
+    {r2('s.volume / 1e6 * 2.7e0 * COALESCE(fb.p, 5.0e0) * 3.5e0')}) AS total_cost
+FROM m_served s LEFT JOIN m_modelcost m USING (process_code)
+LEFT JOIN (SELECT * FROM {values(list(FETCHER_FALLBACK_PRICES.items()), ['fmat', 'p'])}) fb ON fb.fmat = s.material_code
+WHERE s.pos <= s.top_k""", [], ["m_served", "m_modelcost"])
+def m14_served_recommendations(d: Domain):
+    """JSON requests validated, constrained, ranked and costed by the routed model, the rough
+    estimate at the material's price elsewhere; ``top_k`` of each request (one row per recommendation)."""
+    responses, _ = _served(d)
+    return scoring.flat_recommendations(responses).select("row_id", "rank", "process_code", "probability", "total_cost")
+
+
+@register("v10_request_quarantine", f"""
+SELECT row_id, CAST(CAST(top_k > 5 AS INTEGER) + CAST(it > 12 AS INTEGER) AS INTEGER) AS n_errors
+FROM (SELECT DISTINCT {OID} AS row_id, 1 + l_linenumber % 6 AS top_k, 4 + l_suppkey % 11 AS it FROM lineitem
+      JOIN part ON p_partkey = l_partkey) r
+WHERE top_k > 5 OR it > 12""")
+def v10_request_quarantine(d: Domain):
+    """Requests that break a rule, or have no feasible process, with their errors (kept, not raised)."""
+    _, quarantine = _served(d)
+    return quarantine.where(~F.array_contains("errors", "no feasible process")).select("row_id", F.size("errors").alias("n_errors"))
+
+
+@register("a7_response_json", """
+SELECT row_id, CAST(count(*) FILTER (WHERE pos <= top_k) AS INTEGER) AS n_recommendations,
+  CAST(any_value(top_k) + 3 - count(*) FILTER (WHERE pos <= top_k) AS INTEGER) AS constraint_filtered_count,
+  arg_min(process_code, rnk) AS first_process
+FROM m_served GROUP BY row_id""", [], ["m_served"])
+def a7_response_json(d: Domain):
+    """Responses written as JSON text and read back; requests with at least one recommendation."""
+    responses, _ = _served(d)
+    text = responses.where(F.size("recommendations") > 0).select("row_id", F.to_json(F.struct(
+        "part_id", "recommendations", F.lit("classifier_v2_cost_v2").alias("model_version"), "constraint_filtered_count")).alias("json"))
+    back = text.select("row_id", F.from_json("json", "part_id string, recommendations array<struct<rank int, process_code string>>, "
+                                             "constraint_filtered_count int").alias("r"))
+    return back.select("row_id", F.size("r.recommendations").alias("n_recommendations"), "r.constraint_filtered_count",
+                       F.col("r.recommendations")[0]["process_code"].alias("first_process"))
+
+
+@register("p18_catalog_feasible", f"""
+SELECT part_id, array_to_string(list_sort(list(process)), ',') AS feasible, CAST(count(*) AS INTEGER) AS n_feasible
+FROM m_geometry_all, (SELECT * FROM (VALUES {", ".join(
+    "(" + ", ".join([_q(p)] + ["NULL" if v is None else f"{float(v)!r}e0" for v in b]) + ")" for p, *b in PROCESS_CATALOG_BOUNDS)})
+  AS t(process, wlo, whi, hlo, hhi, qlo)) c
+WHERE (wall_thickness_min IS NULL OR (COALESCE(wall_thickness_min >= wlo, true) AND COALESCE(wall_thickness_min <= whi, true)))
+  AND (hole_diameter_min IS NULL OR (COALESCE(hole_diameter_min >= hlo, true) AND COALESCE(hole_diameter_min <= hhi, true)))
+GROUP BY part_id""", [], ["m_geometry_all"])
+def p18_catalog_feasible(d: Domain):
+    """Processes of the catalog whose wall and hole bounds admit each part."""
+    from forgeline.functions.catalog import catalog_feasible
+    f = catalog_feasible(d.all_geometry)
+    return f.select("part_id", F.array_join(F.array_sort("catalog_feasible"), ",").alias("feasible"),
+                    F.size("catalog_feasible").alias("n_feasible"))
+
+
+@register("j11_commodity_prices", f"""
+SELECT CASE material_code {" ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in MATERIAL_COMMODITY.items())} END AS commodity_family,
+  CAST(count(*) AS BIGINT) AS n_prices, avg(price_usd_per_kg) AS avg_price
+FROM m_prices GROUP BY 1""", ["avg_price"], ["m_prices"])
+def j11_commodity_prices(d: Domain):
+    """Archived prices by commodity family of their material (NULL: not in the index)."""
+    from forgeline.operators.joins import with_commodity
+    return with_commodity(d.prices).groupBy("commodity_family").agg(
+        F.count(F.lit(1)).alias("n_prices"), F.avg("price_usd_per_kg").alias("avg_price"))
+
+
 @register("m14_recommend_counts", """
 SELECT r.row_id, CAST(least(COALESCE(k.kept, 0), 3) AS INTEGER) AS n_recommendations,
   CAST(6 - least(COALESCE(k.kept, 0), 3) AS INTEGER) AS constraint_filtered_count,
@@ -316,13 +428,13 @@ def m15_explanations(d: Domain):
 @register("m18_cost_metrics_non_estimated", """
 SELECT avg(CASE WHEN y_true >= 1.0e0 THEN abs((y_true - y_pred) / y_true) END) * 100 AS mape,
   avg(abs(y_true - y_pred)) AS mae, CAST(count(*) AS BIGINT) AS n_rows
-FROM m_costpred c LEFT JOIN m_invoices i ON i.order_id = c.row_id
-WHERE i.label_source <> 'estimated' OR i.label_source IS NULL""", ["mape", "mae"], ["m_costpred", "m_invoices"])
+FROM m_costpred c LEFT JOIN m_invoices_all i ON i.order_id = c.row_id
+WHERE i.label_source <> 'estimated' OR i.label_source IS NULL""", ["mape", "mae"], ["m_costpred", "m_invoices_all"])
 def m18_cost_metrics_non_estimated(d: Domain):
     """Cost-model error metrics over rows whose label is not estimated (NULL source kept)."""
     from forgeline.plans import evaluate as ev
     from forgeline.sources.readers import training_rows_without_estimated
-    lbl = d.invoices.select(F.col("order_id").alias("row_id"), F.col("label_source").alias("cost_label_source"))
+    lbl = d.all_invoices.select(F.col("order_id").alias("row_id"), F.col("label_source").alias("cost_label_source"))
     rows = training_rows_without_estimated(d.cost_predictions.join(lbl, "row_id", "left"))
     m = ev.cost_metrics(rows, [])
     return m.select("mape", "mae", rows.agg(F.count(F.lit(1))).scalar().alias("n_rows"))

@@ -54,27 +54,48 @@ def ts3_held_error_alerts(d: Domain):
     return _ntz(out, "run_start", "run_last", "fires_at")
 
 
-@register("ts1_latency_stream", None)
+@register("ts1_latency_stream", """
+SELECT window_start, CAST(count(*) AS BIGINT) AS requests, avg(CAST(event_type = 'error' AS DOUBLE)) * 100 AS error_pct
+FROM (SELECT time_bucket(INTERVAL 1 MINUTE, ts) - to_minutes(i) AS window_start, event_type
+      FROM events, (SELECT unnest(range(5)) AS i) m) w
+GROUP BY window_start""", ["error_pct"])
 def ts1_latency_stream(d: Domain):
-    """T-S1/T-S2 streaming: file stream of events, watermark, 5-minute windows sliding 1 minute,
-    approximate percentiles; finalised windows written to parquet (rows-only check)."""
+    """T-S1/T-S2 streaming: file stream of events in several triggers, watermark, 5-minute windows sliding
+    1 minute; every window up to the end of input, requests and error share of each."""
     base = shared_path(d.spark, "streams", uuid.uuid4().hex)
-    stream = mon.latency_stream(mon.read_event_stream(d.spark, d.sf_dir, "events.parquet"),
-                                "5 minutes", "1 minute", "10 minutes")
-    mon.run_to_table(stream, base + "/out", base + "/ckpt")
-    return d.spark.read.parquet(base + "/out")
+    d.table("events").repartitionByRange(3, "ts").write.parquet(base + "/in")
+    stream = mon.latency_stream(mon.read_event_stream(d.spark, base + "/in", "*.parquet", 1),
+                                "5 minutes", "1 minute", "100 days")
+    out = mon.run_to_upserts(stream, base + "/out", base + "/ckpt")
+    return _ntz(out.select("window_start", "requests", "error_pct"), "window_start")
+
+
+@register("ts4_drift_flag_alerts", """
+WITH h AS (SELECT date_trunc('hour', ts) AS run_ts, avg(value) > 60.0e0 AS drift_detected FROM events GROUP BY 1),
+f AS (SELECT run_ts, CAST(epoch(run_ts) / 3600 AS BIGINT) - row_number() OVER (ORDER BY run_ts) AS grp
+      FROM h WHERE drift_detected)
+SELECT min(run_ts) AS run_start, max(run_ts) AS run_last, CAST(count(*) AS BIGINT) AS windows,
+  CAST(count(*) * 3600 AS BIGINT) AS duration_s, count(*) * 3600 >= 7200 AS fires,
+  CASE WHEN count(*) * 3600 >= 7200 THEN min(run_ts) + INTERVAL 7200 SECOND END AS fires_at
+FROM f GROUP BY grp""")
+def ts4_drift_flag_alerts(d: Domain):
+    """T-S4: hourly drift verdicts (mean of the logged value above a limit) held for two hours before alerting."""
+    runs = d.request_log.groupBy(F.date_trunc("hour", "ts").alias("run_ts")).agg(
+        (F.avg("latency_ms") > 60.0).alias("drift_detected"))
+    return _ntz(mon.drift_flag_alerts(runs, hold_seconds=7200), "run_start", "run_last", "fires_at")
 
 
-@register("ts6_incremental_intake", None)
+@register("ts6_incremental_intake", """
+SELECT order_id, part_id, process_code, cost_total, wall_thickness_min, reject_bucket FROM ann""",
+          ["cost_total", "wall_thickness_min"], ["ann"])
 def ts6_incremental_intake(d: Domain):
-    """T-S6: order files streamed in (availableNow), each micro-batch enriched and validated
-    with stream-static joins; returns the clean rows written (rows-only).  All present
-    files form one trigger here, so the result equals the batch ETL; later files would
-    arrive as further micro-batches."""
+    """T-S6: orders streamed in from several files, one trigger each; every micro-batch is enriched and kept
+    by batch number, and the rows accepted so far validate to the batch ETL's verdicts."""
+    from forgeline.plans import etl
     base = shared_path(d.spark, "intake", uuid.uuid4().hex)
-    d.orders.repartition(4, "facility_id").write.mode("overwrite").parquet(base + "/in")
-    stream = d.spark.readStream.schema(d.orders.schema).parquet(base + "/in")
-    from forgeline.plans.etl import annotate_order_batch
-    mon.order_intake_stream(stream, lambda b: annotate_order_batch(d, b), base + "/clean", base + "/rejects",
-                            base + "/ckpt")
-    return d.spark.read.parquet(base + "/clean")
+    d.orders.repartition(4).write.mode("overwrite").parquet(base + "/in")
+    stream = d.spark.readStream.schema(d.orders.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
+    mon.order_intake_stream(stream, lambda b: etl.enrich_order_batch(d, b), base + "/accepted", base + "/ckpt")
+    accepted = d.spark.read.parquet(base + "/accepted").drop("intake")
+    return etl.annotate_enriched(accepted).select(
+        "order_id", "part_id", "process_code", "cost_total", "wall_thickness_min", "reject_bucket")

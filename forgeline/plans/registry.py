@@ -57,11 +57,7 @@ def spark_callable(q: Query) -> Callable[[SparkSession, str], DataFrame]:
 
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries."""
-    from forgeline.plans import queries_etl  # noqa: F401
-    for mod in ("queries_quality", "queries_eval", "queries_scoring", "queries_ml", "queries_stream", "queries_io", "queries_analytics"):
-        try:
-            __import__(f"forgeline.plans.{mod}")
-        except ModuleNotFoundError as e:  # modules land incrementally
-            if mod not in str(e):
-                raise
+    # in this order: later modules use the SQL that earlier ones define
+    from forgeline.plans import queries_etl, queries_quality, queries_eval, queries_scoring  # noqa: F401
+    from forgeline.plans import queries_ml, queries_stream, queries_io, queries_analytics  # noqa: F401
     return REGISTRY

@@ -17,9 +17,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # the validation rules form large boolean expressions over many aliases; inferring
-    # constraints from them grows without bound in the optimizer, and nothing here needs it
-    "spark.sql.constraintPropagation.enabled": "false",
     # dimension tables derived from data are broadcast only when AQE measures
     # them below this size; above it Spark falls back to a shuffle join
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -65,8 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def configure_session(spark: SparkSession) -> None:
-    """Runtime SQL settings the plans rely on, applied to a session built elsewhere."""
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    """What the plans rely on in a session built elsewhere: a shared folder for intermediate tables."""
     ensure_checkpoint_dir(spark)
 
 
@@ -109,3 +105,9 @@ def release(*frames: DataFrame) -> None:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for lineage-cutting tables)."""
     return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists (on any file system Spark knows); other failures raise."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -43,8 +43,12 @@ def extract_completed(orders: DataFrame, invoices: DataFrame, start_date=None, e
 
 
 def extract_offline(df: DataFrame, start_date=None, end_date=None,
-                    facility_ids: list[str] | None = None) -> DataFrame:
-    """The offline extract: same filters, no status filter, no sort, defaults for absent columns."""
+                    facility_ids: list[str] | None = None, today: _dt.date | None = None) -> DataFrame:
+    """The offline extract: same filters, no status filter, no sort, defaults for absent columns.
+
+    ``today`` is the date that an absent date column gets (the caller's, so that a run can be repeated).
+    """
+    day = F.lit(today).cast("date")
     out = df
     if "completion_date" in out.columns:
         out = _date_filters(out, "completion_date", start_date, end_date)
@@ -56,8 +60,8 @@ def extract_offline(df: DataFrame, start_date=None, end_date=None,
         "batch_size": F.col("quantity") if "quantity" in cols else F.lit(1),
         "surface_finish_ra": F.lit("3.2"),
         "tolerance_band": F.lit("IT8"),
-        "order_date": F.current_date(),
-        "completion_date": F.current_date(),
+        "order_date": day,
+        "completion_date": day,
         "facility_id": F.lit("FACILITY_01"),
         "cost_total": F.lit(0.0),
         "cost_label_source": F.lit("estimated"),
@@ -88,25 +92,50 @@ def geometry_from_envelope(spark: SparkSession, path: str) -> tuple[DataFrame, l
     return rows, missing
 
 
+def _csv_by_header(spark: SparkSession, path: str, schema: str, file_glob: str = "*") -> DataFrame:
+    """CSV files read by the column names of their own headers, whatever their order; absent columns are NULL.
+
+    ``seq`` numbers the rows by file name and then by place in the file.
+    """
+    from pyspark.sql.types import StructType
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    lines = (spark.read.option("pathGlobFilter", file_glob).option("ignoreCorruptFiles", True).text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                     F.monotonically_increasing_id().alias("row")))
+    # one header per file; files grouped by equal headers (few), each parsed with its own column order
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    headers = [r["header"] for r in first.select("header").distinct().collect()]
+    out = None
+    for header in headers:
+        names = [c.strip().strip('"') for c in header.lstrip("\ufeff").split(",")]
+        fields = ", ".join(f"`{n}` string" for n in names)
+        mine = first.where(F.col("header") == F.lit(header)).select("file")
+        rows = (lines.join(mine, "file").where((F.col("value") != F.lit(header)) & (F.trim("value") != ""))
+                .select("file", "at", "row", F.from_csv("value", fields).alias("r")))
+        typed = rows.select("file", "at", "row", *[
+            (F.col(f"r.`{f.name}`").try_cast(f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted.fields])
+        out = typed if out is None else out.unionByName(typed)
+    if out is None:
+        out = spark.createDataFrame([], StructType.fromDDL("file string, at long, row long")).select("file", "at", "row", *[
+            F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields])
+    order = F.struct("file", "at", "row")
+    return out.withColumn("seq", order).drop("file", "at", "row")
+
+
 def scan_equipment_logs(spark: SparkSession, directory: str, facility_ids: list[str] | None = None) -> DataFrame:
-    """Every ``equipment_log_*.csv`` in a directory, unreadable files skipped.
+    """Every ``equipment_log_*.csv`` in a directory, columns by header name, unreadable files skipped.
 
-    Date arguments of the reference are accepted there and ignored, so none
-    exist here.  ``seq`` keeps the file/row order for tie-breaks.
+    Date arguments of the studied code are accepted there and ignored, so none
+    exist here.  ``seq`` (file name, place in the file) breaks ties in file / row order.
     """
-    df = (spark.read.schema(EQUIPMENT_LOG_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
-          .option("ignoreCorruptFiles", True).option("pathGlobFilter", "equipment_log_*.csv")
-          .csv(directory))
-    df = df.withColumn("seq", F.monotonically_increasing_id())
-    if facility_ids:
-        df = df.where(F.col("facility_id").isin(list(facility_ids)))
-    return df
+    df = _csv_by_header(spark, directory, EQUIPMENT_LOG_SCHEMA, "equipment_log_*.csv")
+    return df.where(F.col("facility_id").isin(list(facility_ids))) if facility_ids else df
 
 
 def scan_price_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Price archive read once with a fixed schema."""
-    return spark.read.schema(PRICE_ARCHIVE_SCHEMA).option("header", True).csv(path) \
-        .withColumn("seq", F.monotonically_increasing_id())
+    """Price archive read once with a fixed schema, columns by header name."""
+    return _csv_by_header(spark, path, PRICE_ARCHIVE_SCHEMA)
 
 
 def price_batch(spark: SparkSession, live: DataFrame | None, fallback: dict, as_of: _dt.date) -> DataFrame:
@@ -130,19 +159,6 @@ def training_rows_without_estimated(df: DataFrame) -> DataFrame:
     return df.where((F.col("cost_label_source") != "estimated") | F.col("cost_label_source").isNull())
 
 
-def feature_table(df: DataFrame) -> DataFrame:
-    """Feature columns + explicit label index (label-map order, never alphabetical)."""
-    from forgeline.constants import FEATURE_COLUMNS, PROCESS_CLASSES
-    from forgeline.operators.common import lookup
-    idx = lookup({p: i for i, p in enumerate(PROCESS_CLASSES)}, F.col("process_code"))
-    return df.select(*FEATURE_COLUMNS, "process_code", idx.cast("int").alias("label"))
-
-
-def latest_version(catalog: DataFrame) -> DataFrame:
-    """The latest dataset version in a catalog table."""
-    return catalog.agg(F.max("version").alias("latest_version"))
-
-
 def read_process_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Ragged process catalog -> typed bounds (``any`` -> NULL, ``>=N`` -> N)."""
     from forgeline.functions.catalog import parse_process_catalog

@@ -14,6 +14,8 @@ import logging
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from forgeline.session import materialize, path_exists
+
 log = logging.getLogger(__name__)
 
 CATALOG_SCHEMA = ("version int, dataset string, path string, row_count long, column_count int, "
@@ -21,10 +23,10 @@ CATALOG_SCHEMA = ("version int, dataset string, path string, row_count long, col
 
 
 def read_catalog(spark: SparkSession, catalog_path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(catalog_path)
-    except Exception:  # noqa: BLE001  (no catalog yet)
+    """The catalog table; empty where there is none yet, an error where it cannot be read."""
+    if not path_exists(spark, catalog_path):
         return spark.createDataFrame([], CATALOG_SCHEMA)
+    return spark.read.schema(CATALOG_SCHEMA).parquet(catalog_path)
 
 
 def next_version(spark: SparkSession, catalog_path: str) -> int:
@@ -39,16 +41,16 @@ def write_version(df: DataFrame, base_path: str, catalog_path: str, dataset: str
     """Write ``df`` as version N and append its metadata row to the catalog.
 
     Row count is taken from the written files (one count over the output, no
-    second pass over the input plan).
+    second pass over the input plan).  A version that exists already is never written into.
     """
     spark = df.sparkSession
     v = version if version is not None else next_version(spark, catalog_path)
     path = f"{base_path}/version={v}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     n = spark.read.parquet(path).count()
     stats = spark.createDataFrame([(json_dumps(run_stats or {}),)], "s string").first()[0]
     meta = spark.createDataFrame(
-        [(v, dataset, path, n, len(df.columns), list(df.columns), stats, created_at or _dt.datetime(2024, 1, 1))],
+        [(v, dataset, path, n, len(df.columns), list(df.columns), stats, created_at or _dt.datetime.now(_dt.timezone.utc))],
         CATALOG_SCHEMA)
     meta.write.mode("append").parquet(catalog_path)
     return v
@@ -77,7 +79,7 @@ def read_latest(spark: SparkSession, base_path: str, catalog_path: str) -> DataF
 
 def fan_out(df: DataFrame, paths: list[str]) -> dict[str, bool]:
     """Write one materialised frame to several consumer locations; failures only warn."""
-    ck = df.checkpoint()
+    ck = materialize(df, "fan-out")
     ok = {}
     for p in paths:
         try:
@@ -93,10 +95,3 @@ def export_predictions(scored: DataFrame, path: str, model_version: str) -> None
     """Holdout predictions next to actuals, partitioned by model version."""
     scored.withColumn("model_version", F.lit(model_version)).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("model_version").parquet(path)
-
-
-def run_metrics(stage_counts: dict) -> DataFrame:
-    """Long run-metrics table (stage, key, value) built from the stage counts."""
-    spark = SparkSession.getActiveSession()
-    rows = [(stage, k, float(v)) for stage, kv in stage_counts.items() for k, v in kv.items()]
-    return spark.createDataFrame(rows, "stage string, key string, value double")

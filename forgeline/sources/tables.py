@@ -1,10 +1,12 @@
-"""Driver tables and the manufacturing views derived from them.
-
-The driver ships TPC-H-like parquet tables.  Each manufacturing table
-(orders, invoices, geometry, price archive, equipment log, class scores,
-cost predictions, request log) is a pure projection of one driver table, so
-every view is a narrow, lazily evaluated projection: Catalyst prunes the
-parquet columns and pushes the filters into the scan.  No view shuffles.
+"""Driver tables and the views derived from them.
+
+The driver ships TPC-H-like parquet tables.  Each domain table (orders,
+invoices, geometry, price archive, equipment log, class scores, cost
+predictions, request log) is a projection of one driver table: Catalyst
+prunes the parquet columns and pushes the filters into the scan.  Only the
+scores shuffle, to drop repeated keys.  ``geometry`` lacks every tenth part
+and ``invoices`` some orders, for the operators that look for gaps;
+``all_geometry`` and ``all_invoices`` have every row.
 """
 
 from __future__ import annotations
@@ -78,7 +80,7 @@ def orders_view(lineitem: DataFrame) -> DataFrame:
 
 
 def invoices_view(lineitem: DataFrame) -> DataFrame:
-    """Invoices for part of the orders; full, partial or lump-sum costs."""
+    """An invoice per order; full, partial or lump-sum costs, some of them estimated."""
     exact = F.col("l_returnflag") == "A"
     px = F.col("l_extendedprice")
 
@@ -86,7 +88,7 @@ def invoices_view(lineitem: DataFrame) -> DataFrame:
         cond = exact if extra_null is None else exact & ~extra_null
         return F.when(cond, px * F.lit(ratio))
 
-    return lineitem.where(F.col("l_tax") < 0.075).select(
+    return lineitem.select(
         order_id_col().alias("order_id"),
         _cost_total().alias("cost_total"),
         comp(0.40).alias("cost_machine_time"),
@@ -94,17 +96,18 @@ def invoices_view(lineitem: DataFrame) -> DataFrame:
         comp(0.10, F.col("l_linenumber") == 3).alias("cost_tooling"),
         comp(0.25).alias("cost_raw_material"),
         comp(0.05).alias("cost_finishing"),
-        F.when(exact, F.lit("exact")).otherwise(F.lit("decomposed")).alias("label_source"),
+        F.when(exact, F.lit("exact")).when(F.col("l_tax") >= 0.06, F.lit("estimated"))
+        .otherwise(F.lit("decomposed")).alias("label_source"),
     )
 
 
 def geometry_view(part: DataFrame) -> DataFrame:
-    """Flat geometry features per part; every 10th part is missing."""
+    """Flat geometry features per part."""
     k = F.col("p_partkey")
     s = F.col("p_size")
     wall_null = k % 20 == 0
     wall_min = F.when(~wall_null, (k % 97 + 3) / F.lit(10.0))
-    return part.where(k % 10 != 9).select(
+    return part.select(
         F.concat(F.lit("PART-"), _txt("p_partkey")).alias("part_id"),
         F.when(k % 41 != 0, s * F.lit(13.0)).alias("bounding_box_x"),
         (s * F.lit(7.0) + F.lit(5.0)).alias("bounding_box_y"),
@@ -145,7 +148,7 @@ def nested_geometry_view(part: DataFrame) -> DataFrame:
         F.create_map(F.lit("x"), (k % 89) / F.lit(88.0),
                      F.lit("y"), (k % 7) / F.lit(7.0),
                      F.lit("z"), (k % 13) / F.lit(13.0)))
-    return part.where(k % 10 != 9).select(
+    return part.select(
         F.concat(F.lit("PART-"), _txt("p_partkey")).alias("part_id"),
         F.struct((s * F.lit(13.0)).alias("x"), (s * F.lit(7.0) + F.lit(5.0)).alias("y"),
                  (s * F.lit(3.0) + F.lit(2.0)).alias("z")).alias("bounding_box"),
@@ -161,12 +164,16 @@ def nested_geometry_view(part: DataFrame) -> DataFrame:
 
 
 def prices_view(events: DataFrame) -> DataFrame:
-    """Price archive: several rows per day, gaps, materials never priced."""
-    return events.where(
-        (F.col("event_type") == "purchase") & (((F.col("user_id") + F.col("event_id")) % 3) == 0)
-    ).select(
-        F.col("ts").cast("date").alias("date"),
-        _code_at(TRACKED_MATERIALS, F.col("user_id") % 16).alias("material_code"),
+    """Price archive of all purchases: several rows per day, gaps, and two untracked materials.
+
+    Material m is only priced every m + 1 days: its rows are dated back to the last such day.
+    """
+    m = F.col("user_id") % 18
+    day = F.col("ts").cast("date")
+    back = (F.datediff(day, F.lit("1970-01-01").cast("date")) + m) % (m + 1)
+    return events.where(F.col("event_type") == "purchase").select(
+        F.date_sub(day, back.cast("int")).alias("date"),
+        _code_at(BINDING_MATERIALS, m).alias("material_code"),
         (F.lit(1.0) + F.col("value")).alias("price_usd_per_kg"),
         F.lit("live").alias("source"),
         F.col("event_id").alias("seq"),
@@ -193,22 +200,22 @@ def score_weights(n_classes: int = 18, modulus: int = 101) -> Column:
                        lambda c: (F.lit(1) + (base + c * 97) % modulus).cast("double"))
 
 
-def scores_view(lineitem: DataFrame, modulus: int = 101) -> DataFrame:
+def scores_view(lineitem: DataFrame, modulus: int = 101, extra: dict[str, Column] | None = None) -> DataFrame:
     """Classifier output per order line: true class and an 18-wide probability array.
 
     The probability vector stays an array column (as MLlib's ``probability``
-    would be after ``vector_to_array``), so ranking needs no shuffle.
+    would be after ``vector_to_array``), so ranking needs no shuffle.  ``extra`` names more
+    columns of the same scan to carry along.
     """
-    keys = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").dropDuplicates()
+    keys = (lineitem.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+            .agg(F.min("l_quantity").alias("l_quantity")))
     w = score_weights(len(PROCESS_CLASSES), modulus)
     return keys.select(
         order_id_col().alias("row_id"),
         ((F.col("l_partkey") + F.col("l_suppkey")) % 18).cast("int").alias("true_idx"),
-        w.alias("_w"),
-    ).select(
-        "row_id", "true_idx",
-        F.transform("_w", lambda x: x / F.aggregate("_w", F.lit(0.0), lambda a, b: a + b)).alias("proba"),
-    )
+        w.alias("_w"), *[c.alias(n) for n, c in (extra or {}).items()],
+    ).select("row_id", "true_idx", "_w", *(extra or {}), F.aggregate("_w", F.lit(0.0), lambda a, b: a + b).alias("_sum")).select(
+        "row_id", "true_idx", *(extra or {}), F.transform("_w", lambda x: x / F.col("_sum")).alias("proba"))
 
 
 def cost_predictions_view(lineitem: DataFrame) -> DataFrame:
@@ -251,13 +258,23 @@ class Domain:
         return orders_view(self.table("lineitem"))
 
     @property
-    def invoices(self) -> DataFrame:
+    def all_invoices(self) -> DataFrame:
         return invoices_view(self.table("lineitem"))
 
     @property
-    def geometry(self) -> DataFrame:
+    def invoices(self) -> DataFrame:
+        """Some orders have no invoice (S1 / L1 look for those)."""
+        return invoices_view(self.table("lineitem").where(F.col("l_tax") < 0.075))
+
+    @property
+    def all_geometry(self) -> DataFrame:
         return geometry_view(self.table("part"))
 
+    @property
+    def geometry(self) -> DataFrame:
+        """Every tenth part has no geometry (J1 / J3 / J4 / W8 / U2 look for those)."""
+        return geometry_view(self.table("part").where(F.col("p_partkey") % 10 != 9))
+
     @property
     def nested_geometry(self) -> DataFrame:
         return nested_geometry_view(self.table("part"))
@@ -274,6 +291,17 @@ class Domain:
     def scores(self) -> DataFrame:
         return scores_view(self.table("lineitem"))
 
+    @property
+    def score_requests(self) -> DataFrame:
+        """Scores with part, quantity, material, tolerance and wanted number of results, from one scan."""
+        return scores_view(self.table("lineitem"), extra={
+            "part_id": F.concat(F.lit("PART-"), _txt("l_partkey")),
+            "quantity": F.col("l_quantity").cast("int"),
+            "material_code": _code_at(BINDING_MATERIALS, F.col("l_suppkey") % 18),
+            "tolerance_band": F.concat(F.lit("IT"), (F.lit(4) + F.col("l_suppkey") % 11).cast("string")),
+            "top_k": (F.lit(1) + F.col("l_linenumber") % 6).cast("int"),
+        })
+
     @property
     def cost_predictions(self) -> DataFrame:
         return cost_predictions_view(self.table("lineitem"))

@@ -90,48 +90,82 @@ def latency_stream(events: DataFrame, window: str = "5 minutes", slide: str | No
              (F.col("error_pct") > ERROR_RATE_LIMIT_PCT).alias("error_alert"))
 
 
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait until a stream has processed what is available; no caller reads a part-written table.
+
+    Without ``timeout_s`` it waits as long as the stream runs.  With one, a stream that is
+    still running then is stopped and an error raised.  A failed stream raises its own error.
+    """
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} was still running after {timeout_s} s")
+    return query
+
+
 def run_to_table(stream_df: DataFrame, out_path: str, checkpoint: str, mode: str = "append",
-                 timeout_s: int = 600) -> StreamingQuery:
+                 timeout_s: float | None = None) -> StreamingQuery:
     """Run a streaming frame to completion on what is available now, into parquet.
 
-    ``append`` mode emits a window once the watermark has passed it, so the
-    output is final and safe to re-run (the checkpoint records progress).
+    ``append`` mode emits a window once the watermark has passed it, so the output is final
+    and safe to re-run (the checkpoint records progress); windows the watermark has not passed
+    by then come with later input.  ``run_to_upserts`` has them all.
     """
     q = (stream_df.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    return q
+    return finish(q, timeout_s)
+
+
+def run_to_upserts(stream_df: DataFrame, out_path: str, checkpoint: str, key: str = "window_start",
+                   timeout_s: float | None = None) -> DataFrame:
+    """Run a windowed stream in update mode and return the newest row per ``key``.
+
+    Each micro-batch writes the windows it changed into a partition of its own number, so a
+    replayed batch replaces its first attempt; the newest batch of a window has its state up to
+    the end of input, also for windows the watermark has not passed.
+    """
+    spark = stream_df.sparkSession
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={epoch_id}")
+
+    finish(stream_df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+           .outputMode("update").trigger(availableNow=True).start(), timeout_s)
+    rows = spark.read.schema(stream_df.schema.add("batch", "long")).parquet(out_path)
+    value = F.struct(*stream_df.columns)
+    return rows.groupBy(key).agg(F.max_by(value, "batch").alias("v")).select("v.*")
 
 
 def price_feed_stream(prices: DataFrame, archive_path: str, checkpoint: str,
-                      timeout_s: int = 600) -> StreamingQuery:
+                      timeout_s: float | None = None) -> StreamingQuery:
     """T-S5: daily price batches appended idempotently to a date-partitioned archive.
 
     Each micro-batch keeps the first row per (date, material) (lowest ``seq``)
     and replaces those keys in the archive (S7 upsert) by overwriting only the
-    touched date partitions; replaying a batch gives the same archive.
+    touched date partitions; replaying a batch gives the same archive.  An archive
+    that exists but cannot be read fails the batch; it is never taken for an empty one.
     """
     from forgeline.operators.joins import upsert_prices
+    from forgeline.session import materialize, path_exists, release
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        first = batch.groupBy("date", "material_code").agg(
+        merged = batch.groupBy("date", "material_code").agg(
             F.min_by(F.struct("price_usd_per_kg", "source", "seq"), "seq").alias("r")) \
             .select("date", "material_code", "r.price_usd_per_kg", "r.source", "r.seq")
-        try:
-            existing = spark.read.parquet(archive_path)
-            days = first.select("date").distinct()
-            touched = existing.join(days, "date", "left_semi")
-            merged = upsert_prices(touched.select(*first.columns), first).checkpoint()
-        except Exception:  # noqa: BLE001  (first batch: no archive yet)
-            merged = first
+        first = merged
+        if path_exists(spark, archive_path):
+            existing = spark.read.schema(first.schema).parquet(archive_path)
+            touched = existing.join(first.select("date").distinct(), "date", "left_semi")
+            merged = materialize(upsert_prices(touched.select(*first.columns), first), "price-merge")
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("date").parquet(archive_path))
+        release(merged)
 
     q = (prices.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    return q
+    return finish(q, timeout_s)
 
 
 def drift_flag_alerts(drift_runs: DataFrame, hold_seconds: int = 3600, step_seconds: int = 3600) -> DataFrame:
@@ -140,25 +174,19 @@ def drift_flag_alerts(drift_runs: DataFrame, hold_seconds: int = 3600, step_seco
     return held_alerts(m, "drift_detected", step_seconds, hold_seconds)
 
 
-def order_intake_stream(orders: DataFrame, build_batch, out_path: str, rejects_path: str, checkpoint: str,
-                        timeout_s: int = 900) -> StreamingQuery:
-    """T-S6: incremental order intake.  Each micro-batch of new order rows is enriched,
-    normalised, labelled and validated by ``build_batch(batch_df) -> annotated_df``
-    (stream-static joins against geometry, prices and the equipment log happen inside),
-    then clean rows and rejects are appended to their tables.  Imputation medians are
-    those of the batch (a stream has no global view), unlike the full batch run.
-    """
-    from forgeline.operators.validate import split_valid
+def order_intake_stream(orders: DataFrame, build_batch, accepted_path: str, checkpoint: str,
+                        timeout_s: float | None = None) -> StreamingQuery:
+    """T-S6: incremental order intake.
 
+    Each micro-batch of new order rows is enriched (stream-static joins against geometry, prices
+    and the equipment log happen inside ``build_batch``) and kept in a partition of its own
+    number, so a replayed batch replaces its first attempt and no row is kept twice.
+    What needs all rows, medians and the first row per key, is left to the reader of
+    the table: ``etl.annotate_enriched`` over it equals the batch ETL at any number of triggers.
+    """
     def process(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        annotated = build_batch(batch).checkpoint()
-        clean, rejected = split_valid(annotated)
-        clean.withColumn("intake_epoch", F.lit(epoch_id)).write.mode("append").parquet(out_path)
-        rejected.withColumn("intake_epoch", F.lit(epoch_id)).write.mode("append").parquet(rejects_path)
+        build_batch(batch).write.mode("overwrite").parquet(f"{accepted_path}/intake={epoch_id}")
 
     q = (orders.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    return q
+    return finish(q, timeout_s)

@@ -22,11 +22,11 @@ def test_exact_quantiles_with_hot_group(spark):
     v = [float(x) for x in v]
     v[3] = None
     df = spark.createDataFrame(list(zip(g, v)), "g string, v double")
-    med = {r.g: r.median for r in q.exact_median(df, ["g"], "v", buckets=16).collect()}
+    med = {r.g: r.median for r in q.exact_median(df, ["g"], "v").collect()}
     for key in ["hot", "a", "b", None]:
         vals = [x for gg, x in zip(g, v) if gg == key and x is not None]
         assert abs(med[key] - float(np.median(vals))) < 1e-9
-    pct = q.exact_percentiles(df.where("g = 'hot'"), [], "v", [0.5, 0.95], ["p50", "p95"], buckets=8).first()
+    pct = q.exact_percentiles(df.where("g = 'hot'"), [], "v", [0.5, 0.95], ["p50", "p95"]).first()
     hot = [x for gg, x in zip(g, v) if gg == "hot" and x is not None]
     assert abs(pct.p50 - np.percentile(hot, 50)) < 1e-9 and abs(pct.p95 - np.percentile(hot, 95)) < 1e-9
 
@@ -36,7 +36,7 @@ def test_ks_matches_brute_force(spark):
     a, b = rng.normal(0, 1, 400).round(2), rng.normal(0.3, 1, 300).round(2)
     base = spark.createDataFrame([(float(x),) for x in a], "volume double")
     new = spark.createDataFrame([(float(x),) for x in b], "volume double")
-    r = quality.ks_two_sample(base, new, ["volume"], buckets=8).first()
+    r = quality.ks_two_sample(base, new, ["volume"]).first()
     grid = np.union1d(a, b)
     d = max(abs(np.searchsorted(np.sort(a), x, "right") / len(a) - np.searchsorted(np.sort(b), x, "right") / len(b))
             for x in grid)

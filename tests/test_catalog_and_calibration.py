@@ -24,7 +24,8 @@ def test_ragged_catalog(spark):
     assert rows["sand"].wall_max_mm is None and rows["sand"].wall_min_mm == 3.0
     parts = spark.createDataFrame([("P1", 2.0, 2.0, 50), ("P2", 5.0, None, 20000)],
                                   "part_id string, wall_thickness_min double, hole_diameter_min double, quantity int")
-    f = {r.part_id: set(r.catalog_feasible) for r in catalog_feasible(parts, cat).collect()}
+    f = {r.part_id: set(r.catalog_feasible) for r in catalog_feasible(parts, [tuple(r) for r in cat.select(
+        "process_code", "wall_min_mm", "wall_max_mm", "hole_dia_min_mm", "hole_dia_max_mm", "min_quantity").collect()]).collect()}
     assert f["P1"] == {"mill", "bend"}
     assert f["P2"] == {"mill", "sand"}
 

@@ -176,7 +176,7 @@ def test_dedupe_with_hot_key_and_identical_copies(spark):
     rows += [("P1", "cnc_milling", base, "X1", 2.0), ("P2", None, base, "X2", 3.0), ("P2", None, base, "X3", 3.0)]
     df = spark.createDataFrame(rows, "part_id string, process_code string, completion_date date, order_id string, "
                                      "v double")
-    flagged = validate.flag_duplicates(df, spread=16)
+    flagged = validate.flag_duplicates(df)
     kept = [(r.part_id, r.order_id) for r in flagged.where("NOT __dup").collect()]
     assert sorted(kept) == [("HOT", "O00000"), ("P1", "X1"), ("P2", "X2")]
     assert flagged.count() == len(rows)
