@@ -1 +1 @@
-"""forgeline: manufacturing data product on Spark."""
+"""forgeline: order, geometry and cost tables on Spark, and operators for training corpora."""

@@ -1,4 +1,4 @@
-"""Joins of the manufacturing pipeline.
+"""Joins of the order tables.
 
 Design rule: the order fact table is never joined on a low-cardinality key
 alone.  Temporal lookups (J2 price at date, J3 machine rate as of date) are
