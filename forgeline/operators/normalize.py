@@ -17,6 +17,7 @@ from forgeline.constants import (
 )
 from forgeline.operators.common import attach_row, join_null_safe, lookup
 from forgeline.operators.quantiles import exact_medians
+from forgeline.session import materialize
 
 WALL_COLUMNS = ["wall_thickness_min", "wall_thickness_avg"]
 
@@ -89,7 +90,8 @@ def impute_walls(df: DataFrame, group_col: str = "process_code") -> DataFrame:
     overall = overall.select(*[F.col(c).alias(f"__all_{c}") for c in cols])
     if group_col in df.columns:
         grp = exact_medians(df.select(group_col, *cols), [group_col], cols)
-        grp = grp.select(group_col, *[F.col(c).alias(f"__grp_{c}") for c in cols])
+        # a row per process: written, so that its size is known when the orders meet it
+        grp = materialize(grp.select(group_col, *[F.col(c).alias(f"__grp_{c}") for c in cols]), "medians")
         out = join_null_safe(out, grp, [group_col], "left")
     out = attach_row(out, _ensure_row(overall, [f"__all_{c}" for c in cols]))
     for c in cols:
@@ -134,7 +136,7 @@ def impute_hole_diameter(df: DataFrame) -> DataFrame:
 
 def normalize(df: DataFrame, process_map: dict = PIPELINE_PROCESS_CODE,
               material_map: dict = PIPELINE_MATERIAL_FAMILY) -> DataFrame:
-    """The ETL normalise stage, step for step in the reference order."""
+    """The ETL normalise stage, in the order its results depend on."""
     out = clean_codes(df)
     out = impute_walls(out)
     out = fill_constants(impute_hole_diameter(out))

@@ -215,15 +215,17 @@ def s13_fan_out(d: Domain):
 
 
 @register("s17_prediction_export", """
-SELECT r.row_id, CAST(r.rnk AS INTEGER) AS rank, c.process AS process_code, 'v2' AS model_version
-FROM m_ranked r JOIN classes c ON c.class_idx = r.class_idx WHERE r.rnk <= 3""", [], ["m_ranked", "classes"])
+SELECT r.row_id, CAST(r.rnk AS INTEGER) AS rank, c.process AS process_code, a.process AS actual_process, 'v2' AS model_version
+FROM m_ranked r JOIN classes c ON c.class_idx = r.class_idx JOIN classes a ON a.class_idx = r.true_idx WHERE r.rnk <= 3""",
+          [], ["m_ranked", "classes"])
 def s17_prediction_export(d: Domain):
-    """Top-3 predictions exported partitioned by model version and read back."""
+    """Top-3 predictions next to the actual process, exported partitioned by model version and read back."""
     from forgeline.plans import scoring
     path = _scratch(d, "predictions")
-    sinks.export_predictions(scoring.top_k_predictions(d.scores, 3).select("row_id", "rank", "process_code"),
-                             path, "v2")
-    return d.spark.read.parquet(path).select("row_id", "rank", "process_code", "model_version")
+    e = d.scores.select("row_id", F.element_at(scoring.class_array(), F.col("true_idx") + 1).alias("actual_process"),
+                        F.explode(scoring.ranked_codes(F.col("proba"), 3)).alias("r"))
+    sinks.export_predictions(e.select("row_id", "r.rank", "r.process_code", "actual_process"), path, "v2")
+    return d.spark.read.parquet(path).select("row_id", "rank", "process_code", "actual_process", "model_version")
 
 
 @register("m10_supported_processes", """

@@ -14,6 +14,7 @@ from forgeline.operators.common import lookup
 from forgeline.plans import scoring
 from forgeline.plans.oracle_sql import OID, _map_case, _q, cte, r2, values
 from forgeline.plans.registry import register
+from forgeline.session import materialize
 from forgeline.sources.tables import Domain
 
 ALL_LIST = "[" + ", ".join(_q(p) for p in PROCESS_CLASSES) + "]"
@@ -455,7 +456,7 @@ def p24_review_queue(d: Domain):
     v9 = validate.feature_vector_errors(fx.training_features(d.nested_geometry)) \
         .select("part_id", "feature_error", F.lit(True).alias("__has_geo"))
     sup = d.scores.groupBy(F.col("true_idx").alias("pred_idx")).agg(F.count(F.lit(1)).alias("support"))
-    j = r.join(v9, "part_id", "left").join(sup, "pred_idx", "left")
+    j = r.join(v9, "part_id", "left").join(materialize(sup, "class-support"), "pred_idx", "left")
     bad_geo = F.col("__has_geo").isNull() | F.col("feature_error").isNotNull()
     return j.select("row_id", rules.review_queue_flag(rules.probability_tier(F.col("top1_p")), bad_geo,
                                                       F.col("support")).alias("review"))
