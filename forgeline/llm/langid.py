@@ -30,7 +30,7 @@ EPOCHS, BATCH, RATE = 4, 32, 0.3
 CALIBRATION_SHARE = 5         # every fifth sampled document calibrates and is not trained on
 LOST_SHARE = 0.001            # share of rightly labelled calibration documents that rejection may cost
 SURE = 0.5                    # never reject a prediction more likely right than wrong
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 UNKNOWN = "und"
 _STRIP = ".,;:!?()[]{}\"'|*#$%&<>/\\=+-_"
 

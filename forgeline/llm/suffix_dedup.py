@@ -34,8 +34,8 @@ from forgeline.llm.common import materialize, release, table
 
 LENGTH = 400                  # bytes a string must have to count as repeated
 SUFFIX_BUCKETS = 4            # open suffixes are sorted one bucket after another
-BLOCK_BYTES = 4 << 20         # text of a block (a longer document is a block of its own)
-NAMES_PER_TASK = 1 << 21      # names that one task sorts, on average
+BLOCK_BYTES = 2 << 20         # text of a block (a longer document is a block of its own)
+NAMES_PER_TASK = 1 << 20      # names that one task sorts, on average
 _RUN = 1 << 18                # windows hashed at a time
 _BASE = 0x9E3779B97F4A7C15
 
@@ -122,6 +122,12 @@ class Cover:
         return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
+def _each(rows):
+    """Rows of an Arrow batch or table as dicts, one at a time: a batch holds many blocks."""
+    for i in range(rows.num_rows):
+        yield rows.slice(i, 1).to_pylist()[0]
+
+
 def _split(block: dict) -> list[np.ndarray]:
     """The documents of a block as byte arrays."""
     data = np.frombuffer(block["data"], np.uint8)
@@ -214,7 +220,7 @@ def _send_samples(length: int, owners: int):
     def run(batches):
         cover = Cover(length)
         for batch in batches:
-            for block in batch.to_pylist():
+            for block in _each(batch):
                 yield _send(block["block"], _concat([cover.names(d) for d in _split(block)]), owners, 0, owners)
     return run
 
@@ -224,7 +230,7 @@ def _open_suffixes(length: int):
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         cover = Cover(length)
         out = []
-        for block in blocks.to_pylist():
+        for block in _each(blocks.drop(["ids"])):
             docs = _split(block)
             names = [cover.names(d) for d in docs]
             _, inverse = np.unique(_concat(names), return_inverse=True)
@@ -258,16 +264,16 @@ def _open_texts(row: dict) -> list[tuple[np.ndarray | None, list[tuple[int, int]
     return out
 
 
-def _open_names(row: dict, length: int) -> list[np.ndarray]:
-    return [window_names(d[a:b + length - 1], length) for d, runs in _open_texts(row) for a, b in runs]
+def _open_names(row: dict, length: int):
+    """Names of the open suffixes of a row, run by run."""
+    return (window_names(d[a:b + length - 1], length) for d, runs in _open_texts(row) for a, b in runs)
 
 
 def _send_bucket(length: int, bucket: int, buckets: int, per_bucket: int):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                names = _open_names(row, length)
-                kept = [n[((n >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32) == bucket] for n in names]
+            for row in _each(batch):
+                kept = [n[((n >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32) == bucket] for n in _open_names(row, length)]
                 yield _send(row["block"], _concat(kept), buckets * per_bucket, bucket * per_bucket, (bucket + 1) * per_bucket)
     return run
 
@@ -276,8 +282,8 @@ def _cut(length: int):
     """Join a block with the answers of all buckets: each document without its repeated bytes."""
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         tables = []
-        for i, row in enumerate(blocks.drop(["ids"]).to_pylist()):
-            names = _open_names(row, length)
+        for i, row in enumerate(_each(blocks.drop(["ids"]))):
+            names = list(_open_names(row, length))
             _, inverse = np.unique(_concat(names), return_inverse=True)
             repeated = iter(np.split(_marks(answers)[inverse], np.cumsum([len(n) for n in names])[:-1]) if names else [])
             removed, spans, sha, kept = [], [], [], []
