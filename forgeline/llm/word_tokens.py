@@ -2,23 +2,36 @@
 
 The tokenizer drops white space and never joins text across it, so a text's ids are the
 ids of its space-separated chunks in a row.  Chunks repeat, and unseen ones that are
-plain letters are encoded together, cut apart where a token ends a word.
+plain words take a shorter way through the library.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import string
+import struct
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-CACHED_CHUNKS = 1_000_000     # entries a worker keeps; the cache starts afresh beyond it
+CACHED_CHUNKS = 300_000       # entries a worker keeps (some 70 MB); the cache starts afresh beyond it
 CACHED_CHARS = 64             # longer chunks are encoded each time
 
 
+class _Known(dict):
+    """Ids of chunks; a chunk that is not there is noted, so that one lookup per chunk is enough."""
+
+    def __init__(self):
+        super().__init__()
+        self.missed: set[str] = set()
+
+    def __missing__(self, chunk: str) -> None:
+        self.missed.add(chunk)
+
+
 class WordEncoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
 
@@ -36,38 +49,55 @@ class WordEncoder:
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         if suffix:
             self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Known()
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: set[str]) -> None:
-        """Encode unseen chunks; those of Latin letters alone (one word each) as one run of words."""
-        cache = self.cache
-        # "word," is "word" and ",": the mark is a word of its own if nothing else follows it
-        split = {c: (c[:-1], c[-1]) for c in chunks if c[-1:] in (".", ",") and c[:-1].isalpha()}
-        needed = {w for pair in split.values() for w in pair} | (chunks - split.keys())
-        new = [w for w in needed if w not in cache]
-        plain = [w for w in new if w.isalpha() and max(w) < "ɐ"]
+        """Encode unseen chunks: ASCII words by the model alone, other Latin words as one run of words."""
+        cache, whole = self.cache, dict.get
+        # "word," is "word" and ",": marks after a word are a word of their own if nothing else follows
+        split = {}
+        for c in chunks:
+            word = c.rstrip(string.punctuation)
+            if len(word) < len(c) and word.isalpha():
+                split[c] = (word, c[len(word):])
+        new = {w for pair in split.values() for w in pair} | (chunks - split.keys())
+        new = [w for w in new if whole(cache, w) is None]
+        ascii_words = [w for w in new if w.isascii() and w.isalpha()]
+        # the normalizer and the byte alphabet leave a lower-case ASCII word as it is
+        for w, tokens in zip(ascii_words, map(self.tokenizer.model.tokenize, map(str.lower, ascii_words))):
+            cache[w] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        plain = [w for w in new if not w.isascii() and w.isalpha() and max(w) < "ɐ"]
         if plain:
-            ids = self._ids([" ".join(plain)])[0]
-            cuts = np.flatnonzero(self.ends_word[ids])[:-1] + 1
-            if len(cuts) == len(plain) - 1:
-                cache.update(zip(plain, (p.tobytes() for p in np.split(ids, cuts))))
-        rest = [w for w in new if w not in cache]
-        cache.update(zip(rest, (i.tobytes() for i in self._ids(rest))))
-        cache.update((c, cache[w] + cache[mark]) for c, (w, mark) in split.items() if c not in cache)
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(cuts) == len(plain):                    # else some word is more than one to the tokenizer
+                data, at = ids.tobytes(), 0
+                for w, cut in zip(plain, (4 * cuts).tolist()):
+                    cache[w] = data[at:cut]
+                    at = cut
+        rest = [w for w in new if whole(cache, w) is None]
+        cache.update(zip(rest, self._ids(rest)))
+        cache.update((c, cache[w] + cache[marks]) for c, (w, marks) in split.items())
+        cache.missed.clear()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        texts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        unseen = {c for t in texts for c in t if c not in self.cache and len(c) <= CACHED_CHARS}
-        if len(self.cache) + 3 * len(unseen) > CACHED_CHUNKS:      # start afresh, with all this run needs
-            self.cache.clear()
-            unseen = {c for t in texts for c in t if len(c) <= CACHED_CHARS}
-        if unseen:
-            self._learn(unseen)
-        get = self.cache.get
-        return [b"".join([ids if (ids := get(c)) is not None else self._ids([c])[0].tobytes() for c in t]) for t in texts]
+        cache = self.cache
+        if len(cache) > CACHED_CHUNKS:
+            cache.clear()
+        chunked = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        found = [list(map(cache.__getitem__, chunks)) for chunks in chunked]
+        if cache.missed:
+            long = {c for c in cache.missed if len(c) > CACHED_CHARS}
+            missed = cache.missed - long
+            self._learn(missed)
+            once = dict(zip(long, self._ids(list(long))))
+            found = [ids if None not in ids else
+                     [i if i is not None else once[c] if c in once else cache[c] for i, c in zip(ids, chunks)]
+                     for ids, chunks in zip(found, chunked)]
+        return [b"".join(ids) for ids in found]
 
 
 @lru_cache(maxsize=2)
