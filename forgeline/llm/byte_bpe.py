@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 import re
 from functools import lru_cache
 
@@ -160,22 +161,28 @@ class ByteBPE:
                 else:
                     run += " " + chunk
             return out + self._run(run)
-        out += self._run(chunks[0])
+        found = list(map(self.chunks.get, chunks))
+        found[0] = self._run(chunks[0])
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._chunk(chunks[i])
+        return list(itertools.chain.from_iterable(found))
+
+    def _chunk(self, chunk: str) -> list[int]:
+        """Ids of a chunk with the space before it, remembered unless it is long."""
         known = self.chunks
-        for chunk in chunks[1:]:
-            ids = known.get(chunk)
-            if ids is None:
-                ids = self._run(" " + chunk)
-                if len(chunk) <= CACHED_CHARS:
-                    if len(known) >= CACHED_CHUNKS:
-                        known.clear()
-                    known[chunk] = ids
-            out += ids
-        return out
+        ids = known.get(chunk)
+        if ids is None:
+            ids = self._run(" " + chunk)
+            if len(chunk) <= CACHED_CHARS:
+                if len(known) >= CACHED_CHUNKS:
+                    known.clear()
+                known[chunk] = ids
+        return ids
 
     def decode(self, ids: list[int]) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids])
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
@@ -194,7 +201,7 @@ def _round_trip(path: str, pattern: str):
                 for text in texts:
                     ids = bpe.encode(text or "")
                     n.append(len(ids))
-                    ids_sha.append(hashlib.sha256(b",".join([bpe.decimal[i] for i in ids])).hexdigest())
+                    ids_sha.append(hashlib.sha256(b",".join(map(bpe.decimal.__getitem__, ids))).hexdigest())
                     decoded_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(done, len(texts)), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
