@@ -1,14 +1,16 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one a block; lines of menus, adverts, forms and the like count
-as empty.  The lengths of the lines are summed over sliding windows.  Where the sums surge above
-a threshold text starts, where they dive to nothing it ends, and all lines between are kept.
+Markup is stripped into lines, one a block; lines of menus, adverts, forms and the like are left
+out.  The lengths of the lines are summed over sliding windows.  Where the sums surge above a
+threshold text starts, where they dive to almost nothing it ends, and all lines between are kept.
+A short line outside these passages is kept too if it lies in the same container as a kept one.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ from forgeline.llm.common import table
 
 WINDOW_LINES = 3
 SURGE_CHARS = 80              # a window with as much text starts a passage
-KEPT_SHARE = 0.2              # passages this long against the longest are kept with it
+DIVE_CHARS = 20               # a window with less ends it
 ARTICLE_ELEMENTS = {"article", "main"}
 
 # elements whose content is no text of the page
@@ -31,6 +33,8 @@ BLOCK_ELEMENTS = {"address", "article", "aside", "blockquote", "body", "caption"
                   "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "legend",
                   "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th",
                   "thead", "tr", "ul"}
+# elements that hold lines together; all others belong to the container around them
+CONTAINER_ELEMENTS = {"html", "body", "div", "section", "center", "td", "th", "fieldset", *ARTICLE_ELEMENTS}
 VOID_ELEMENTS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 # a start tag of the same kind (or of any block, for p) ends these without an end tag
 SELF_ENDING = {"p": BLOCK_ELEMENTS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}}
@@ -62,10 +66,19 @@ def _is_side(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines(page: str) -> list[tuple[str, bool, bool, int]]:
-    """(text, beside the article, in an article element, characters of links) of each block, empty ones too."""
-    out: list[tuple[str, bool, bool, int]] = []
-    stack: list[tuple[str, bool, bool]] = []           # open elements: name, beside, in article
+class Line(NamedTuple):
+    text: str
+    beside: bool       # beside the article
+    inside: bool       # in an article element
+    links: int         # characters of links
+    place: int         # its container, as an element number
+
+
+def lines(page: str) -> list[Line]:
+    """The blocks with text."""
+    out: list[tuple[str, bool, bool, int, int]] = []
+    stack: list[tuple[str, bool, bool, int]] = []      # open elements: name, beside, in article, number
+    parents, holds = [0], [True]                       # of each element: number of its container, whether it holds blocks
     text: list[str] = []
     links = 0
     anchors = 0
@@ -73,8 +86,9 @@ def lines(page: str) -> list[tuple[str, bool, bool, int]]:
     def flush() -> None:
         nonlocal links
         block = " ".join("".join(text).split())
-        if text or not out or out[-1][0]:
-            out.append((block, stack[-1][1] if stack else False, stack[-1][2] if stack else False, min(links, len(block))))
+        if block:
+            _, beside, inside, number = stack[-1] if stack else ("", False, False, 0)
+            out.append((block, beside, inside, min(links, len(block)), number))
         text.clear()
         links = 0
 
@@ -134,45 +148,46 @@ def lines(page: str) -> list[tuple[str, bool, bool, int]]:
         while block and stack and tag in SELF_ENDING.get(stack[-1][0], ()):
             flush()
             stack.pop()
-        beside, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        _, beside, inside, number = stack[-1] if stack else ("", False, False, 0)
         if block:
             flush()
         side = _is_side(tag, attributes, inside)
         if tag not in VOID_ELEMENTS and not attributes.endswith("/") and (block or side):
             if side and not block:
                 flush()
-            stack.append((tag, beside or side, inside or tag in ARTICLE_ELEMENTS))
+            # a section of an article is a part of it
+            if tag in CONTAINER_ELEMENTS and not (inside and tag == "section"):
+                holds[number] = True
+                parents.append(number)
+                holds.append(False)
+                number = len(parents) - 1
+            elif block and tag not in CONTAINER_ELEMENTS:
+                holds[number] = True
+            stack.append((tag, beside or side, inside or tag in ARTICLE_ELEMENTS, number))
     flush()
-    return out
+    # a container without blocks is a line of the container around it
+    return [Line(*line, number if holds[number] else parents[number]) for *line, number in out]
 
 
 def main_text(page: str | None) -> str:
     """Text of a page's article: its blocks, white space collapsed, joined by an empty line."""
-    blocks = lines(page or "")
-    has_article = any(inside and not beside and text for text, beside, inside, _ in blocks)
-    # an article element is evidence of its own: its lines reach the threshold, the others count as empty
-    weight = np.array([0 if beside or not text or has_article and not inside else len(text) - links + (SURGE_CHARS if has_article else 0)
-                       for text, beside, inside, links in blocks], np.int64)
+    rows = [line for line in lines(page or "") if not line.beside]
+    has_article = any(line.inside for line in rows)
+    if has_article:
+        rows = [line for line in rows if line.inside]
+    # an article element is evidence of its own: its lines reach the threshold
+    weight = np.array([len(line.text) - line.links + (SURGE_CHARS if has_article else 0) for line in rows], np.int64)
     if not weight.any():
         return ""
-    n = len(weight)
-    padded = np.concatenate((weight, np.zeros(WINDOW_LINES - 1, np.int64)))
-    sums = np.array([padded[i:i + WINDOW_LINES].sum() for i in range(n)]) if n < 64 else np.convolve(weight, np.ones(WINDOW_LINES, np.int64))[WINDOW_LINES - 1:]
-    passages, start = [], None
-    for i in range(n):
-        if start is None:
-            if sums[i] >= SURGE_CHARS and weight[i]:   # surge
-                start = i
-        elif not sums[i]:                              # dive: an empty window
-            passages.append((start, i))
-            start = None
-    if start is not None:
-        passages.append((start, n))
-    if not passages:                                   # nothing surges: a short page's text as it stands
-        passages = [(0, n)]
-    sizes = [int(weight[a:b].sum()) for a, b in passages]
-    kept = [p for p, s in zip(passages, sizes) if has_article or s >= KEPT_SHARE * max(sizes)]
-    return "\n\n".join(blocks[i][0] for a, b in kept for i in range(a, b) if weight[i] or not blocks[i][1] and blocks[i][0] and not has_article)
+    sums = np.convolve(weight, np.ones(WINDOW_LINES, np.int64))[WINDOW_LINES - 1:]
+    kept, within = [], False
+    for total, own in zip(sums, weight):
+        within = total >= DIVE_CHARS if within else total >= SURGE_CHARS and own > 0
+        kept.append(bool(within))
+    if not any(kept):                                  # nothing surges: a short page's text as it stands
+        return "\n\n".join(line.text for line in rows)
+    places = {line.place for line, k in zip(rows, kept) if k}
+    return "\n\n".join(line.text for line, k in zip(rows, kept) if k or line.place in places and 2 * line.links <= len(line.text))
 
 
 def _extract(batches):

@@ -26,6 +26,14 @@ def test_page_without_article_element():
     assert html_text.main_text(page) == "\n\n".join([para.strip(), "Short one.", para.strip()])
 
 
+def test_short_last_paragraph_after_an_advert():
+    long, last = "Words of a long paragraph. " * 80, "A closing paragraph of some length. " * 8
+    for gap in ("", "\n"):
+        page = (f"<body><div class='menu'><a>Home</a></div>{gap}<div>{gap}<div>{gap}<p>{long}</p>{gap}<div class=ad>{gap}<p>x</p>{gap}</div>{gap}<p>{last}</p>{gap}"
+                f"<div class=ad><p>x</p></div>{gap}<ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul>{gap}<p>The end.</p></div></div><div><a>Next</a></div></body>")
+        assert html_text.main_text(page) == "\n\n".join([long.strip(), last.strip(), "The end."])
+
+
 def test_odd_pages(spark):
     pages = [(1, None), (2, ""), (3, "plain text only"), (4, "<p>unclosed <b>tag <"), (5, "<script>never closed"), (6, "<a href=\"x > y\">link</a><p>t</p>"),
              (7, "<article></article>"), (8, "<article>" + "<p>word word</p>" * 3000 + "</article>"), (None, "<article>Be.</article>"), (1, "</div></p>x")]
