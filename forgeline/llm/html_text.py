@@ -23,6 +23,7 @@ from forgeline.llm.common import table
 WINDOW_LINES = 3
 SURGE_CHARS = 80              # a window with as much text starts a passage
 DIVE_CHARS = 20               # a window with less ends it
+ARTICLE_BONUS = 20            # a line in an article element counts for so many more, or double if that is less
 ARTICLE_ELEMENTS = {"article", "main"}
 
 # elements whose content is no text of the page
@@ -172,20 +173,22 @@ def lines(page: str) -> list[Line]:
 def main_text(page: str | None) -> str:
     """Text of a page's article: its blocks, white space collapsed, joined by an empty line."""
     rows = [line for line in lines(page or "") if not line.beside]
-    has_article = any(line.inside for line in rows)
-    if has_article:
-        rows = [line for line in rows if line.inside]
-    # an article element is evidence of its own: its lines reach the threshold
-    weight = np.array([len(line.text) - line.links + (SURGE_CHARS if has_article else 0) for line in rows], np.int64)
-    if not weight.any():
+    plain = np.array([len(line.text) - line.links for line in rows], np.int64)
+    if not plain.any():
         return ""
-    sums = np.convolve(weight, np.ones(WINDOW_LINES, np.int64))[WINDOW_LINES - 1:]
-    kept, within = [], False
-    for total, own in zip(sums, weight):
-        within = total >= DIVE_CHARS if within else total >= SURGE_CHARS and own > 0
-        kept.append(bool(within))
+    inside = np.array([line.inside for line in rows])
+    # an article element is evidence, no verdict: its lines count for more, the others must surge by themselves
+    weight = plain + np.where(inside, np.minimum(plain, ARTICLE_BONUS), 0)
+    edges = [0, *(np.flatnonzero(np.diff(inside)) + 1), len(rows)]
+    kept = []
+    for a, b in zip(edges, edges[1:]):
+        sums, within = np.convolve(weight[a:b], np.ones(WINDOW_LINES, np.int64))[WINDOW_LINES - 1:], False
+        for total, own in zip(sums, weight[a:b]):
+            within = total >= DIVE_CHARS if within else total >= SURGE_CHARS and own > 0
+            kept.append(bool(within))
     if not any(kept):                                  # nothing surges: a short page's text as it stands
-        return "\n\n".join(line.text for line in rows)
+        kept = (inside if plain[inside].any() else ~inside).tolist()
+        return "\n\n".join(line.text for line, k in zip(rows, kept) if k)
     places = {line.place for line, k in zip(rows, kept) if k}
     return "\n\n".join(line.text for line, k in zip(rows, kept) if k or line.place in places and 2 * line.links <= len(line.text))
 

@@ -34,6 +34,15 @@ def test_short_last_paragraph_after_an_advert():
         assert html_text.main_text(page) == "\n\n".join([long.strip(), last.strip(), "The end."])
 
 
+def test_article_element_is_no_verdict():
+    long = "Words of a long paragraph. " * 40
+    page = f"<article><a>Teaser</a><p>Card.</p></article><div><p>{long}</p><p>The end.</p></div><div><a>Next</a></div>"
+    assert html_text.main_text(page) == "\n\n".join([long.strip(), "The end."])
+    links = "".join(f"<li><a>Link {i}</a></li>" for i in range(9))
+    page = f"<div><p>Up</p></div><main><h1>Head</h1><p>{long}</p><p>Short.</p><ul>{links}</ul><div><p>Accept it.</p></div></main>"
+    assert html_text.main_text(page) == "\n\n".join(["Head", long.strip(), "Short."])
+
+
 def test_odd_pages(spark):
     pages = [(1, None), (2, ""), (3, "plain text only"), (4, "<p>unclosed <b>tag <"), (5, "<script>never closed"), (6, "<a href=\"x > y\">link</a><p>t</p>"),
              (7, "<article></article>"), (8, "<article>" + "<p>word word</p>" * 3000 + "</article>"), (None, "<article>Be.</article>"), (1, "</div></p>x")]
