@@ -44,7 +44,11 @@ _SIDE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|"
     r"overlay|newsletter|subscri(?:be|ption)|paywall|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|site-header|page-header|"
     r"topbar|toolbar|comments?|commentlist|respond|replies|disqus|share|sharing|social|related|recommended|trending|widgets?|pagination|pager|"
-    r"login|signin|signup|search|skip-link|copyright|hidden)(?:$|[\s_-])", re.I)
+    r"login|signin|signup|search|skip-link|copyright|hidden)(?=$|[\s_-])(?![_-](?:open|opened|closed|enabled|disabled|on|off|active|inactive|none)(?:$|[\s_-]))",
+    re.I)
+# what a container has or lacks says nothing of what it is
+_HAS_NAMES = re.compile(r"(?<![^\s_-])(?:no|non|has|with|without)[_-]\S*", re.I)
+_READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|respond|replies|disqus)(?:$|[\s_-])", re.I)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-hidden|hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _SIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form"}
 _TAG_REST = re.compile(r"""(?:[^>"']+|"[^"]*"|'[^']*')*+>""")
@@ -52,14 +56,13 @@ _NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
 
 
 def _is_side(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether the element, its role or its style sets it beside the article."""
     if tag in SIDE_ELEMENTS or tag == "header" and not in_article:
         return True
     if not attributes or tag in ("html", "body", *ARTICLE_ELEMENTS):
         return False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").strip()
-        if name in ("class", "id") and _SIDE_NAMES.search(value):
-            return True
         if name == "role" and value.lower() in _SIDE_ROLES or name == "aria-hidden" and value.lower() == "true":
             return True
         if name == "hidden" or name == "style" and "display:none" in value.replace(" ", "").lower():
@@ -67,6 +70,58 @@ def _is_side(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _side_name(tag: str, attributes: str) -> str:
+    """The class or id, if any, by which an element seems to lie beside the article."""
+    if not attributes or tag in ("html", "body", *ARTICLE_ELEMENTS):
+        return ""
+    for m in _ATTRIBUTE.finditer(attributes):
+        value = _HAS_NAMES.sub("", m[2] or m[3] or m[4] or "")
+        if m[1].lower() in ("class", "id") and _SIDE_NAMES.search(value):
+            return value
+    return ""
+
+
+class _Named(NamedTuple):
+    """An element that seems to lie beside the article by its name, and what it holds."""
+    outer: int         # such an element around it, or -1
+    readers: bool      # its name is that of readers' comments
+
+
+def _hidden(named: list[_Named], out: list[tuple], articles: dict[int, int]) -> list[bool]:
+    """Of each element named so, whether its name is believed: not if it holds the page's largest article
+    element or most of the page's text.  Comments may outgrow an article, so they hide beside any."""
+    if not named:
+        return []
+    held, total, free = [0] * len(named), 0, 0
+    sizes: dict[int, int] = {}
+    for block, beside, _, links, _, name, article in out:
+        if beside:
+            continue
+        size = len(block) - links
+        total += size
+        free += size if name < 0 else 0
+        if article >= 0:
+            sizes[article] = sizes.get(article, 0) + size
+        while name >= 0:
+            held[name] += size
+            name = named[name].outer
+    largest = max(sizes, key=lambda a: sizes[a], default=-1)
+    around, at = set(), articles.get(largest, -1)
+    while at >= 0 and sizes[largest] > free:
+        around.add(at)
+        at = named[at].outer
+    # whether an element or one around it has the name of comments, and whether an article element lies in none such
+    readers: list[bool] = []
+    for n in named:
+        readers.append(n.readers or n.outer >= 0 and readers[n.outer])
+    elsewhere = any(size and (articles[a] < 0 or not readers[articles[a]]) for a, size in sizes.items())
+    hidden: list[bool] = []
+    for i, n in enumerate(named):
+        trusted = i not in around and (2 * held[i] <= total or n.readers and elsewhere)
+        hidden.append(trusted or n.outer >= 0 and hidden[n.outer])
+    return hidden
+
+
 class Line(NamedTuple):
     text: str
     beside: bool       # beside the article
@@ -77,8 +132,12 @@ class Line(NamedTuple):
 
 def lines(page: str) -> list[Line]:
     """The blocks with text."""
-    out: list[tuple[str, bool, bool, int, int]] = []
-    stack: list[tuple[str, bool, bool, int]] = []      # open elements: name, beside, in article, number
+    out: list[tuple[str, bool, bool, int, int, int, int]] = []
+    # open elements: name, beside, in article, number of the container, of the element named so, of the article element
+    stack: list[tuple[str, bool, bool, int, int, int]] = []
+    outside = ("", False, False, 0, -1, -1)
+    named: list[_Named] = []
+    articles: dict[int, int] = {}                      # of each outermost article element: the element named so around it
     parents, holds = [0], [True]                       # of each element: number of its container, whether it holds blocks
     text: list[str] = []
     links = 0
@@ -88,8 +147,8 @@ def lines(page: str) -> list[Line]:
         nonlocal links
         block = " ".join("".join(text).split())
         if block:
-            _, beside, inside, number = stack[-1] if stack else ("", False, False, 0)
-            out.append((block, beside, inside, min(links, len(block)), number))
+            _, beside, inside, number, name, article = stack[-1] if stack else outside
+            out.append((block, beside, inside, min(links, len(block)), number, name, article))
         text.clear()
         links = 0
 
@@ -149,13 +208,16 @@ def lines(page: str) -> list[Line]:
         while block and stack and tag in SELF_ENDING.get(stack[-1][0], ()):
             flush()
             stack.pop()
-        _, beside, inside, number = stack[-1] if stack else ("", False, False, 0)
+        _, beside, inside, number, within, article = stack[-1] if stack else outside
         if block:
             flush()
-        side = _is_side(tag, attributes, inside)
-        if tag not in VOID_ELEMENTS and not attributes.endswith("/") and (block or side):
-            if side and not block:
+        side, called = _is_side(tag, attributes, inside), _side_name(tag, attributes)
+        if tag not in VOID_ELEMENTS and not attributes.endswith("/") and (block or side or called):
+            if not block:
                 flush()
+            if called:
+                named.append(_Named(within, bool(_READERS.search(called))))
+                within = len(named) - 1
             # a section of an article is a part of it
             if tag in CONTAINER_ELEMENTS and not (inside and tag == "section"):
                 holds[number] = True
@@ -164,10 +226,15 @@ def lines(page: str) -> list[Line]:
                 number = len(parents) - 1
             elif block and tag not in CONTAINER_ELEMENTS:
                 holds[number] = True
-            stack.append((tag, beside or side, inside or tag in ARTICLE_ELEMENTS, number))
+            if tag in ARTICLE_ELEMENTS and not inside:
+                article = number
+                articles[article] = within
+            stack.append((tag, beside or side, inside or tag in ARTICLE_ELEMENTS, number, within, article))
     flush()
     # a container without blocks is a line of the container around it
-    return [Line(*line, number if holds[number] else parents[number]) for *line, number in out]
+    hidden = _hidden(named, out, articles)
+    return [Line(block, beside or name >= 0 and hidden[name], inside, links, number if holds[number] else parents[number])
+            for block, beside, inside, links, number, name, _ in out]
 
 
 def main_text(page: str | None) -> str:

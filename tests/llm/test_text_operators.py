@@ -43,6 +43,17 @@ def test_article_element_is_no_verdict():
     assert html_text.main_text(page) == "\n\n".join(["Head", long.strip(), "Short."])
 
 
+def test_names_of_wrappers_hide_no_article():
+    long, tail = "Words of a long paragraph. " * 40, "<div class='comments'><p>" + "A reader writes. " * 200 + "</p></div>"
+    for name in ("class='page no-sidebar'", "class='content with-sidebar'", "class='post comments-open'", "id='social-science'", "class=search"):
+        for inner in (f"<article><p>{long}</p></article>", f"<p>{long}</p>"):
+            page = f"<body><div class=ad>Buy this.</div><div {name}>{inner}<div class='related'><p>Other words.</p></div></div></body>"
+            assert html_text.main_text(page) == long.strip(), name
+        assert html_text.main_text(f"<div {name}><article><p>{long}</p></article></div>{tail}") == long.strip()
+    cards = "<article><p>A teaser of another page.</p></article>" * 3
+    assert html_text.main_text(f"<div><p>{long}</p></div><div class=related>{cards}</div>") == long.strip()
+
+
 def test_odd_pages(spark):
     pages = [(1, None), (2, ""), (3, "plain text only"), (4, "<p>unclosed <b>tag <"), (5, "<script>never closed"), (6, "<a href=\"x > y\">link</a><p>t</p>"),
              (7, "<article></article>"), (8, "<article>" + "<p>word word</p>" * 3000 + "</article>"), (None, "<article>Be.</article>"), (1, "</div></p>x")]
