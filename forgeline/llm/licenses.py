@@ -23,6 +23,11 @@ BASE_CONFIDENCE = 0.6
 # every keyword contains one of these; a text with none of them meets no rule
 ANCHORS = ("licen", "copyright", "copyleft", "public domain", "rights reserved", "creativecommons", "gpl", "cc by", "cc-by", "cc0", "unlicense",
            "without warranty", "redistribution and use", "permission is hereby granted", "permission to use")
+# a text with an anchor, however its words are parted, holds all words of one of these
+ANCHOR_WORDS = (("licen",), ("copyright",), ("copyleft",), ("domain",), ("reserved",), ("creativecommons",), ("gpl",), ("cc", "by"), ("cc0",),
+                ("warranty",), ("redistribution",), ("permission",))
+# what counts as one space: white space, and around a line end the marks of comments too
+GAP = r"""(?:\s+[*#|]+)?\s*[\r\n][\s*#/;:%>!|"'.\\<-]*(?:(?:dnl|@?rem)\b\s*)?|\s+"""
 
 
 class Rule(NamedTuple):
@@ -156,16 +161,19 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Words are maximal runs of a-z (A-Z lower-cased), digits and non-ASCII characters.  n_base counts
     all places of the base phrases, first_word and last_word are the smallest and largest of their
     starts (null if none).  ``labels`` joins the base labels and those of the detections that no
-    other suppresses; score is the confidence of the surest.  A null text counts as empty; a text
+    other suppresses; score is the confidence of the surest.  Rules meet the text with each run of
+    white space, and of comment marks around a line end, as one space.  A null text counts as empty; a text
     without words or detections has empty labels and score 0; null and repeated ids stay as they
     are, an empty table gives no rows, and other columns are not read.
     """
     low = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
     trimmed = F.trim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "  "))
+    some = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.contains(low, F.lit(w)) for w in ws]) for ws in ANCHOR_WORDS])
     gate = reduce(lambda a, b: a | b, [F.contains(F.col("low"), F.lit(a)) for a in ANCHORS])
-    rows = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), low.alias("low"),
+    rows = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.when(some, F.regexp_replace(low, GAP, " ")).alias("low"),
                         F.when(trimmed == "", F.lit("")).otherwise(F.concat(F.lit(" "), trimmed, F.lit(" "))).alias("spaced"))
-            .select("row", "id", "low", "spaced", _words_in(F.col("spaced")).alias("n_words"), gate.alias("gate")))
+            .select("row", "id", "low", "spaced", _words_in(F.col("spaced")).alias("n_words"),
+                    F.coalesce(gate, F.lit(False)).alias("gate")))
     counts, firsts, lasts, names = [], [], [], []
     for phrase, label in BASE_PHRASES:
         needle = F.lit(" " + phrase.replace(" ", "  ") + " ")
