@@ -162,3 +162,29 @@ def test_stream_emits_every_window(spark, tmp_path):
     a = out.select("window_start", "requests")
     b = twin.select("window_start", "requests")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_served_costs_follow_the_request(spark):
+    import json
+
+    from forgeline.constants import COST_FEATURE_COLUMNS, FETCHER_FALLBACK_PRICES, MODEL_COMPONENT_COLUMN, PROCESS_CLASSES
+    from forgeline.plans import ml, scoring
+    train = spark.range(80).selectExpr("'cnc_milling' AS process_code", *[
+        {"volume": "(1 + id % 4) * 10000D", "quantity": "(1 + id % 7) * 10D"}.get(c, "1D") + f" AS {c}" for c in COST_FEATURE_COLUMNS], *[f"(1 + id % 4) * 10D + (1 + id % 7) AS {c}" for c in MODEL_COMPONENT_COLUMN.values() if c not in COST_FEATURE_COLUMNS])
+    models = ml.train_cost_models(train, max_iter=3, max_depth=4)
+    assert models
+
+    def request(volume, quantity):
+        box = {"x": 50.0, "y": 40.0, "z": 30.0}
+        return json.dumps({"part_id": "p", "geometry": {"bounding_box": box, "volume_mm3": volume, "surface_area_mm2": 9000.0, "wall_thicknesses": [3.0]},
+                           "requirements": {"material_code": "AL6061", "quantity": quantity, "tolerance_band": "IT8"}, "top_k": 5})
+
+    asked = [("a", request(10000.0, 10)), ("b", request(40000.0, 10)), ("c", request(10000.0, 70)), ("d", request(10000.0, 10))]
+    proba = [0.5 if p == "cnc_milling" else 0.5 / (len(PROCESS_CLASSES) - 1) for p in PROCESS_CLASSES]
+    scores = spark.createDataFrame([(i, proba) for i, _ in asked], "row_id string, proba array<double>")
+    out, bad = scoring.serve(spark.createDataFrame(asked, "row_id string, json string"), scores, ml.costs_by_models(models), FETCHER_FALLBACK_PRICES)
+    assert [tuple(r) for r in bad.collect()] == []
+    got = {(r.row_id, r.process_code): r.total_cost for r in scoring.flat_recommendations(out).collect()}
+    a, b, c, d = [got[i, "cnc_milling"] for i in "abcd"]
+    assert a == d and a < c and a < b
+    assert len({got[k] for k in got if k[0] == "b" and k[1] != "cnc_milling"}) == 1      # no model: the rough estimate
