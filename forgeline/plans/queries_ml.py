@@ -12,6 +12,9 @@ from forgeline.plans.registry import register
 from forgeline.session import materialize
 from forgeline.sources.tables import Domain
 
+# fit settings of a process without overrides of its own
+COST_MODEL_SETTINGS = {"max_iter": 300, "max_depth": 5}
+
 _MD5 = "md5(CAST(order_id AS VARCHAR) || '42')"
 
 
@@ -104,9 +107,7 @@ def m6_cost_models_holdout(d: Domain):
     from forgeline.sources.readers import training_rows_without_estimated
     rows = cost_features(training_rows_without_estimated(_split_clean(d))
                          .withColumn("surface_finish_spec", F.col("surface_finish_ra")))
-    # the fit settings per process, with fewer trees than a production run
-    settings = {p: {**o, "maxIter": max(5, o["maxIter"] // 40)} for p, o in COST_MODEL_OVERRIDES.items()}
-    models = ml.train_cost_models(rows.where(F.col("split") == "train"), max_iter=10, max_depth=3, overrides=settings)
+    models = ml.train_cost_models(rows.where(F.col("split") == "train"), overrides=COST_MODEL_OVERRIDES, **COST_MODEL_SETTINGS)
     test = rows.where(F.col("split") == "test")
     lp = ml.log_predictions(models, test, "order_id")
     n = d.spark.createDataFrame([(m.process_code, m.n_training) for m in models],
@@ -139,8 +140,8 @@ def m4_platt_brier(d: Domain):
     the test split; Brier score there before and after (rows-only: model fits)."""
     s = ml.prepare_classifier_rows(_split_clean(d))
     train = s.where(F.col("split") != "test")
-    fitted = ml.fit_platt(ml.out_of_fold_probabilities(train, folds=3, num_trees=20, max_depth=6))
-    model = ml.classifier_pipeline(num_trees=20, max_depth=6).fit(train)
+    fitted = ml.fit_platt(ml.out_of_fold_probabilities(train, folds=3))
+    model = ml.classifier_pipeline().fit(train)
     scores = materialize(ml.probabilities(model, s.where(F.col("split") == "test"), "order_id"), "test-scores")
     before = ev.brier_score(scores).withColumnRenamed("brier", "brier_raw")
     after = ev.brier_score(ml.apply_platt(scores, fitted)).withColumnRenamed("brier", "brier_calibrated")
@@ -150,15 +151,15 @@ def m4_platt_brier(d: Domain):
 @register("m3_fold_scores", None)
 def m3_fold_scores(d: Domain):
     """M3: top-1 / top-3 accuracy of each of five stratified folds, their mean and population std."""
-    return ml.fold_scores(ml.prepare_classifier_rows(_split_clean(d)), num_trees=20, max_depth=6)
+    return ml.fold_scores(ml.prepare_classifier_rows(_split_clean(d)))
 
 
 @register("m16_permutation_importance", None)
 def m16_permutation_importance(d: Domain):
-    """Mean drop in top-3 accuracy on the test split when one feature is shuffled (3 repeats here)."""
+    """Mean drop in top-3 accuracy on the test split when one feature is shuffled (50 repeats)."""
     s = ml.prepare_classifier_rows(_split_clean(d))
-    model = ml.classifier_pipeline(num_trees=20, max_depth=6).fit(s.where(F.col("split") == "train"))
-    return ml.permutation_importance(model, s.where(F.col("split") == "test"), "order_id", repeats=3)
+    model = ml.classifier_pipeline().fit(s.where(F.col("split") == "train"))
+    return ml.permutation_importance(model, s.where(F.col("split") == "test"), "order_id")
 
 
 @register("m17_ablation", None)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+from unittest.mock import MagicMock
 
 import numpy as np
 import pytest
@@ -188,3 +189,40 @@ def test_served_costs_follow_the_request(spark):
     a, b, c, d = [got[i, "cnc_milling"] for i in "abcd"]
     assert a == d and a < c and a < b
     assert len({got[k] for k in got if k[0] == "b" and k[1] != "cnc_milling"}) == 1      # no model: the rough estimate
+
+
+def test_registered_fits_use_the_operators_settings(monkeypatch):
+    from forgeline.constants import COST_MODEL_OVERRIDES
+    from forgeline.plans.registry import load_all
+    load_all()
+    from forgeline.plans import queries_ml
+
+    class Stop(Exception):
+        pass
+
+    def seen(query, name):
+        def stop(*args, **kwargs):
+            calls.append(kwargs)
+            raise Stop
+        calls = []
+        with monkeypatch.context() as m:
+            m.setattr(queries_ml, "_split_clean", lambda d: MagicMock())
+            m.setattr(queries_ml, "F", MagicMock())
+            m.setattr(queries_ml, "cost_features", MagicMock())
+            m.setattr("forgeline.sources.readers.training_rows_without_estimated", MagicMock())
+            m.setattr(ml, "prepare_classifier_rows", MagicMock())
+            m.setattr(ml, "fit_platt", MagicMock())
+            for other in ("out_of_fold_probabilities", "classifier_pipeline"):
+                m.setattr(ml, other, MagicMock())
+            m.setattr(ml, name, stop)
+            with pytest.raises(Stop):
+                query(MagicMock())
+        return calls[0]
+
+    fit = seen(queries_ml.m6_cost_models_holdout, "train_cost_models")
+    assert fit == {"overrides": COST_MODEL_OVERRIDES, "max_iter": 300, "max_depth": 5}
+    assert seen(queries_ml.m3_fold_scores, "fold_scores") == {}
+    assert seen(queries_ml.m4_platt_brier, "out_of_fold_probabilities") == {"folds": 3}
+    for query in (queries_ml.m4_platt_brier, queries_ml.m16_permutation_importance):
+        assert seen(query, "classifier_pipeline") == {}
+    assert seen(queries_ml.m16_permutation_importance, "permutation_importance") == {}
