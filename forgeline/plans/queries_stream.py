@@ -60,13 +60,15 @@ FROM (SELECT time_bucket(INTERVAL 1 MINUTE, ts) - to_minutes(i) AS window_start,
       FROM events, (SELECT unnest(range(5)) AS i) m) w
 GROUP BY window_start""", ["error_pct"])
 def ts1_latency_stream(d: Domain):
-    """T-S1/T-S2 streaming: file stream of events in several triggers, watermark, 5-minute windows sliding
-    1 minute; every window up to the end of input, requests and error share of each."""
+    """T-S1/T-S2 streaming: file stream of events in several triggers in time order, watermark, 5-minute windows
+    sliding 1 minute; every window up to the end of input, requests and error share of each."""
     base = shared_path(d.spark, "streams", uuid.uuid4().hex)
-    d.table("events").repartitionByRange(3, "ts").write.parquet(base + "/in")
-    stream = mon.latency_stream(mon.read_event_stream(d.spark, base + "/in", "*.parquet", 1),
-                                "5 minutes", "1 minute", "100 days")
-    out = mon.run_to_upserts(stream, base + "/out", base + "/ckpt")
+
+    def run():
+        stream = mon.latency_stream(mon.read_event_stream(d.spark, base + "/in", "*.parquet"), "5 minutes", "1 minute", "10 minutes")
+        return mon.run_to_upserts(stream, base + "/out", base + "/ckpt")
+
+    out = mon.feed_in_time_order(d.table("events"), base + "/in", run)
     return _ntz(out.select("window_start", "requests", "error_pct"), "window_start")
 
 

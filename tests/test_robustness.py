@@ -226,3 +226,22 @@ def test_registered_fits_use_the_operators_settings(monkeypatch):
     for query in (queries_ml.m4_platt_brier, queries_ml.m16_permutation_importance):
         assert seen(query, "classifier_pipeline") == {}
     assert seen(queries_ml.m16_permutation_importance, "permutation_importance") == {}
+
+
+def test_stream_of_a_log_longer_than_any_watermark(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from forgeline.plans.registry import load_all
+    load_all()
+    from forgeline.plans import queries_stream
+    # 400 days, newest first and in files of mixed times
+    log = spark.range(2000).selectExpr("id AS event_id", "timestamp_ntz'2021-01-01 00:00:00' + make_dt_interval(0, 0, cast((1999 - id) * 288 AS int)) AS ts",
+                                       "id AS user_id", "if(id % 5 = 0, 'error', 'view') AS event_type", "cast(id AS double) AS value", "'' AS props")
+    delays = []
+    real = mon.latency_stream
+    monkeypatch.setattr(mon, "latency_stream", lambda e, w, s, watermark: delays.append(watermark) or real(e, w, s, watermark))
+    d = SimpleNamespace(spark=spark, table=lambda name: log.repartition(7, "event_type", "user_id"))
+    out = queries_stream.ts1_latency_stream(d)
+    assert out.agg(F.sum("requests")).first()[0] == 5 * 2000 and set(delays) == {"10 minutes"}
+    empty = SimpleNamespace(spark=spark, table=lambda name: log.limit(0))
+    assert queries_stream.ts1_latency_stream(empty).count() == 0
