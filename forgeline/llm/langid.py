@@ -20,9 +20,11 @@ from pyspark.sql import types as T
 from forgeline.llm.common import table
 
 # bounds of the training sample, however large the corpus
-LANGUAGES = 200               # the most common labels
 DOCS_PER_LANGUAGE = 400       # expected number, drawn by a hash of the id
+DOCS_IN_ALL = 80_000          # beyond 200 labels each has its part of these
+LEAST_DOCS = 20               # but so many at least, or all it has
 WORDS_PER_DOC = 60            # evenly spread over the whole text
+RUN_CHARS = 64                # longer runs without white space count as several words
 
 ROWS = 1 << 15                # hash buckets of the embedding table
 WIDTH = 16
@@ -74,6 +76,8 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> LanguageModel:
         if bag:
             data.append((np.array(bag), languages.index(lang)))
     held, fit = data[::CALIBRATION_SHARE], [d for i, d in enumerate(data) if i % CALIBRATION_SHARE] or data
+    taught = {c for _, c in fit}
+    fit, held = fit + [d for d in held if d[1] not in taught], [d for d in held if d[1] in taught]
     n = len(languages)
     table_ = rng.normal(0, 0.1, (ROWS, WIDTH))
     weights, bias = np.zeros((WIDTH, n)), np.zeros(n)
@@ -132,21 +136,24 @@ def _sample_words(batches):
         langs, words = [], []
         for lang, text in zip(batch.column("lang"), batch.column("text")):
             every = (text.as_py() or "").lower().split()
+            if any(len(w) > RUN_CHARS for w in every):
+                every = [w[i:i + RUN_CHARS] for w in every for i in range(0, len(w), RUN_CHARS)]
             picked = np.unique(np.linspace(0, len(every) - 1, min(WORDS_PER_DOC, len(every))).astype(int)) if every else []
             langs.append(lang.as_py())
-            words.append([every[i][:64] for i in picked])
+            words.append([every[i] for i in picked])
         yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.list_(pa.string()))], ["lang", "words"])
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Train on a bounded sample of labelled rows: about DOCS_PER_LANGUAGE of each of the LANGUAGES
-    most common labels, WORDS_PER_DOC words of each; rows without text or label teach nothing."""
+    """Train on a bounded sample of labelled rows: about DOCS_PER_LANGUAGE of every label, fewer if that
+    is more than DOCS_IN_ALL, WORDS_PER_DOC words of each; rows without text or label teach nothing."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
                            F.col(lang_col).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().orderBy("lang").collect()
     if not sizes:
         return train([])
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, DOCS_PER_LANGUAGE / r["count"])))])
+    docs = max(LEAST_DOCS, min(DOCS_PER_LANGUAGE, DOCS_IN_ALL // len(sizes)))
+    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, docs / r["count"])))])
     draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = (rows.where(draw < share[F.col("lang")]).select("lang", "text")
               .mapInArrow(_sample_words, "lang string, words array<string>"))

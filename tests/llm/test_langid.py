@@ -35,3 +35,24 @@ def test_edge_cases(spark):
 def test_same_words_same_result_whatever_the_batch():
     model = langid.train([("en", ["the", "and", "house"]), ("de", ["das", "und", "haus"])] * 20)
     assert model.languages == ["de", "en"] and 0 <= model.threshold <= langid.SURE
+
+
+def test_every_label_is_learnt(spark):
+    names = [f"l{i:03d}" for i in range(230)]
+    docs = spark.createDataFrame([(i * 10 + j, f"{n}a {n}b word".replace("0", "o").replace("1", "i").replace("2", "z"), n)
+                                  for i, n in enumerate(names) for j in range(2 if i % 3 else 1)], "doc_id long, text string, lang string")
+    assert langid.fit(docs).languages == names
+
+
+def test_a_rare_label_is_trained_on():
+    model = langid.train([("en", ["the", "and", "house"])] * 40 + [("de", ["das", "und", "haus"])] * 40 + [("xx", ["qqqq", "zzzz"])])
+    scores = langid.WordScores(model).total("qqqq zzzz")
+    assert model.languages[scores[:3].argmax()] == "xx"
+
+
+def test_long_runs_teach_all_their_parts():
+    import pyarrow as pa
+    run = "".join(chr(0x4E00 + i) for i in range(64 * 50))
+    batch = pa.RecordBatch.from_arrays([pa.array(["zh"]), pa.array([run])], ["lang", "text"])
+    words = next(iter(langid._sample_words([batch]))).column("words")[0].as_py()
+    assert "".join(words) == run
