@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from forgeline.llm import (byte_bpe, cover_tree, exact_dedup, html_text, langid, licenses, packing, simhash,
+from forgeline.llm import (byte_bpe, cover_tree, exact_dedup, filter_audit, html_text, langid, licenses, packing, simhash,
                            suffix_dedup, token_files)
 
 
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op8_packing": packing.op8_packing,
         "op9_simhash_dedup": simhash.op9_simhash_dedup,
         "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+        "op11_filter_audit": filter_audit.op11_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -27,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_cover_tree": cover_tree.OP2_SQL,
         "op5_exact_dedup": exact_dedup.OP5_SQL,
+        "op11_filter_audit": filter_audit.OP11_SQL,
     }
