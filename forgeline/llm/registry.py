@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from forgeline.llm import (byte_bpe, cover_tree, exact_dedup, filter_audit, html_text, langid, licenses, packing, simhash,
-                           suffix_dedup, token_files)
+from forgeline.llm import (byte_bpe, cover_tree, decontaminate, exact_dedup, filter_audit, html_text, langid, licenses, packing, simhash,
+                           suffix_dedup, token_files, whitening)
 
 
 def queries() -> dict:
@@ -20,6 +20,8 @@ def queries() -> dict:
         "op9_simhash_dedup": simhash.op9_simhash_dedup,
         "op10_byte_bpe": byte_bpe.op10_byte_bpe,
         "op11_filter_audit": filter_audit.op11_filter_audit,
+        "op12_decontaminate": decontaminate.op12_decontaminate,
+        "op13_whitening": whitening.op13_whitening,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -29,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_cover_tree": cover_tree.OP2_SQL,
         "op5_exact_dedup": exact_dedup.OP5_SQL,
         "op11_filter_audit": filter_audit.OP11_SQL,
+        "op12_decontaminate": decontaminate.OP12_SQL,
     }
