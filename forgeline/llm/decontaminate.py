@@ -225,7 +225,7 @@ lengths AS (SELECT DISTINCT l FROM windows),
 places AS (SELECT row, l, i, array_to_string(w[i : i + l - 1], ' ') AS words
   FROM (SELECT row, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d JOIN lengths ON len(w) >= l) x),
 hits AS (SELECT p.row, p.l, p.i, v.item_id FROM places p JOIN windows v ON p.l = v.l AND p.words = v.words),
-covered AS (SELECT row, count(DISTINCT at) AS n_hit FROM (SELECT row, unnest(range(i, i + l)) AS at FROM hits) x GROUP BY row),
+covered AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(i, i + l)) AS place FROM hits) x GROUP BY row),
 found AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) x GROUP BY row)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
