@@ -364,7 +364,7 @@ REQUEST_TOLERANCES = ["IT4", "IT5", "IT6", "IT7", "IT8", "IT9", "IT10", "IT11",
 COST_MODEL_OVERRIDES = {
     "cnc_milling": {"maxDepth": 6, "stepSize": 0.05, "maxIter": 400},
     "sheet_metal_bending": {"maxDepth": 4, "stepSize": 0.08, "maxIter": 250},
-    "injection_molding": {"maxDepth": 5, "stepSize": 0.04, "maxIter": 350},
+    "injection_molding": {"maxDepth": 5, "stepSize": 0.04, "maxIter": 350, "regLambda": 2.0},
     "additive_slm": {"maxDepth": 4, "stepSize": 0.05, "maxIter": 200},
     "sand_casting": {"maxDepth": 3, "stepSize": 0.05, "maxIter": 150, "minInstancesPerNode": 2},
 }
