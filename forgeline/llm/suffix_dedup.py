@@ -225,8 +225,8 @@ def _send_samples(length: int, owners: int):
     return run
 
 
-def _open_suffixes(length: int):
-    """Join a block with the answers on its sample: runs of open suffixes, and the texts that have any."""
+def _open_suffixes(length: int, whole: bool):
+    """Join a block with the answers on its sample: runs of open suffixes, and the texts that have any (``whole``: the others too)."""
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         cover = Cover(length)
         out = []
@@ -240,16 +240,46 @@ def _open_suffixes(length: int):
                         "runs": [[x for run in r for x in run] for r in runs],
                         "sha": [None if r else hashlib.sha256(d).hexdigest() for d, r in zip(docs, runs)],
                         "data": b"".join(d.tobytes() for d, r in zip(docs, runs) if r),
+                        "rest": b"".join(d.tobytes() for d, r in zip(docs, runs) if not r) if whole else b"",
                         "open": sum(b - a for r in runs for a, b in r)})
         return pa.Table.from_arrays([blocks["ids"], *(pa.array([r[c] for r in out], t) for c, t in OPEN_ARROW)], ["ids", *(c for c, _ in OPEN_ARROW)])
     return run
 
 
 OPEN_ARROW = [("block", pa.int64()), ("sizes", pa.list_(pa.int64())), ("runs", pa.list_(pa.list_(pa.int64()))),
-              ("sha", pa.list_(pa.string())), ("data", pa.binary()), ("open", pa.int64())]
+              ("sha", pa.list_(pa.string())), ("data", pa.binary()), ("rest", pa.binary()), ("open", pa.int64())]
 OPEN = [T.StructField("block", T.LongType()), T.StructField("sizes", T.ArrayType(T.LongType())),
         T.StructField("runs", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("sha", T.ArrayType(T.StringType())),
-        T.StructField("data", T.BinaryType()), T.StructField("open", T.LongType())]
+        T.StructField("data", T.BinaryType()), T.StructField("rest", T.BinaryType()), T.StructField("open", T.LongType())]
+
+
+def _settled(whole: bool):
+    """The documents of opened blocks that have no open suffix: nothing is removed."""
+    def run(batches):
+        for batch in batches:
+            for i, row in enumerate(_each(batch.drop_columns(["ids"]))):
+                ids, at, out = batch.column("ids").slice(i, 1).flatten(), 0, []
+                for k, (size, runs, sha) in enumerate(zip(row["sizes"], row["runs"], row["sha"])):
+                    if not runs:
+                        out.append((k, size, sha, row["rest"][at:at + size].decode() if whole else None))
+                        at += size
+                if out:
+                    k, size, sha, text = zip(*out)
+                    none = pa.array([0] * len(out), pa.int64())
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(k)), pa.array(size, pa.int64()), none, none, pa.array(sha, pa.string()),
+                                                      pa.array(text, pa.string())], CUT)
+    return run
+
+
+CUT = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+
+
+def _short_runs(data: np.ndarray, gone: np.ndarray, least_words: int) -> None:
+    """Take runs of removed bytes with fewer words (between white space) back."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0])).astype(np.int8)))
+    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        if len(data[a:b].tobytes().split()) < least_words:
+            gone[a:b] = False
 
 
 def _open_texts(row: dict) -> list[tuple[np.ndarray | None, list[tuple[int, int]]]]:
@@ -278,18 +308,17 @@ def _send_bucket(length: int, bucket: int, buckets: int, per_bucket: int):
     return run
 
 
-def _cut(length: int):
-    """Join a block with the answers of all buckets: each document without its repeated bytes."""
+def _cut(length: int, least_words: int, whole: bool):
+    """Join a block with the answers of all buckets: each document that has open suffixes, without its repeated bytes."""
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         tables = []
         for i, row in enumerate(_each(blocks.drop(["ids"]))):
             names = list(_open_names(row, length))
             _, inverse = np.unique(_concat(names), return_inverse=True)
             repeated = iter(np.split(_marks(answers)[inverse], np.cumsum([len(n) for n in names])[:-1]) if names else [])
-            removed, spans, sha, kept = [], [], [], []
-            for (data, runs), whole in zip(_open_texts(row), row["sha"]):
+            out = []
+            for k, (data, runs) in enumerate(_open_texts(row)):
                 if data is None:
-                    removed.append(0), spans.append(0), sha.append(whole), kept.append(None)
                     continue
                 cover = np.zeros(len(data) + 1, np.int64)
                 for a, _ in runs:
@@ -297,30 +326,39 @@ def _cut(length: int):
                     np.add.at(cover, starts, 1)
                     np.add.at(cover, starts + length, -1)
                 gone = np.cumsum(cover[:-1]) > 0
-                left = data[~gone].tobytes()
-                removed.append(int(gone.sum()))
-                spans.append(int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)))
-                sha.append(hashlib.sha256(left).hexdigest())
-                kept.append(left.decode("utf-8", "ignore") if removed[-1] else None)
-            tables.append(pa.table([blocks["ids"].slice(i, 1).combine_chunks().flatten(), pa.array(row["sizes"], pa.int64()),
-                                    pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())],
-                                   ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]))
+                if least_words:
+                    _short_runs(data, gone, least_words)
+                left, removed = data[~gone].tobytes(), int(gone.sum())
+                out.append((k, len(data), removed, int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)), hashlib.sha256(left).hexdigest(),
+                            left.decode("utf-8", "ignore") if removed or whole else None))
+            k, *columns = zip(*out) if out else [[]] * 6
+            tables.append(pa.table([blocks["ids"].slice(i, 1).combine_chunks().flatten().take(pa.array(k, pa.int64())),
+                                    *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())))], CUT))
         return pa.concat_tables(tables) if tables else None
     return run
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """An id's type as Arrow returns it: every field may be null."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind])
+    return T.ArrayType(_nullable(kind.elementType)) if isinstance(kind, T.ArrayType) else kind
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                 buckets: int = SUFFIX_BUCKETS) -> DataFrame:
+                 buckets: int = SUFFIX_BUCKETS, least_words: int = 0, whole: bool = False) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept_text.
 
     Every byte covered by a ``length``-byte string that also starts elsewhere, in the same or
-    another document, is removed; strings are judged on the input.  ``kept_text`` is null where the
-    text stays as it is, else the remaining bytes as text, without those of a character that was
+    another document, is removed; strings are judged on the input.  With ``least_words`` only runs of
+    removed bytes with so many words (between white space) go.  ``kept_text`` is null where the
+    text stays as it is (with ``whole``: the text itself), else the remaining bytes as text, without those of a character that was
     cut through (the digest covers all of them).  A null text counts as empty, ids may be null, repeated or structs and come back unchanged, rows with equal long
     texts lose them all, an empty table gives no rows, and other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    ids = T.ArrayType(rows.schema["id"].dataType)
+    id_type = _nullable(rows.schema["id"].dataType)
+    ids = T.ArrayType(id_type)
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("ids", ids),
                            T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("data", T.BinaryType())])
     blocks = materialize(rows.mapInArrow(_blocks, schema), "suffix-blocks")
@@ -330,7 +368,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     answers = _exchange(blocks.select("block", "sizes", "data").mapInArrow(_send_samples(length, owners), SENT))
     opened = materialize(blocks.groupBy("block").cogroup(answers.groupBy("block"))
-                         .applyInArrow(_open_suffixes(length), T.StructType([T.StructField("ids", ids), *OPEN])), "suffix-open")
+                         .applyInArrow(_open_suffixes(length, whole), T.StructType([T.StructField("ids", ids), *OPEN])), "suffix-open")
     release(blocks, answers)
     left = opened.select(F.sum("open")).first()[0] or 0
     per_bucket = max(16, -(-left // (buckets * NAMES_PER_TASK)))
@@ -339,12 +377,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     answers = sorted_buckets[0]
     for more in sorted_buckets[1:]:
         answers = answers.union(more)
-    result = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
+    result = T.StructType([T.StructField("id", id_type), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType())])
-    return opened.drop("open").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(length), result)
+    cut = (opened.where("open > 0").select("block", "ids", "sizes", "runs", "data").groupBy("block")
+           .cogroup(answers.groupBy("block")).applyInArrow(_cut(length, least_words, whole), result))
+    return cut.union(opened.select("ids", "sizes", "runs", "sha", "rest").mapInArrow(_settled(whole), result))
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated 400-byte strings removed from every row of ``documents``."""
-    return suffix_dedup(table(spark, sf_dir, "documents")).select(
-        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    """Repeated 400-byte strings removed from every row of ``documents``; ``kept_text`` is what is left of each."""
+    return suffix_dedup(table(spark, sf_dir, "documents"), whole=True).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")

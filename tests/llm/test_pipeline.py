@@ -1,6 +1,9 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
+import itertools
 import os
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +11,6 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 from forgeline.llm.langid import fit, held_out, predict
 from tests.llm.test_dedup import brute_components, slow_fingerprint
-from tests.llm.test_suffix_dedup import brute
 
 WORDS = "the of and to in is that with from for house garden water stone river winter under over again"
 
@@ -62,15 +64,53 @@ def test_simhash_stage(stages):
     assert set(after) <= set(before)
 
 
+def without_passages(texts, length=P.PASSAGE_BYTES, least_words=P.PASSAGE_WORDS):
+    """Each text without the runs of bytes, covered by repeated strings, that hold so many words."""
+    raw = [t.encode() for t in texts]
+    seen = Counter(r[i:i + length] for r in raw for i in range(len(r) - length + 1))
+    out = []
+    for r in raw:
+        gone = bytearray(len(r) + 1)
+        for i in range(len(r) - length + 1):
+            if seen[r[i:i + length]] > 1:
+                gone[i:i + length] = b"\x01" * length
+        at, left = 0, b""
+        for flag, run in itertools.groupby(gone[:-1]):
+            n = len(list(run))
+            if not flag or len(r[at:at + n].split()) < least_words:
+                left += r[at:at + n]
+            at += n
+        out.append(left.decode("utf-8", "ignore"))
+    return out
+
+
 def test_suffix_stage(stages):
     before, after = stages[1][3], {r[0]: r for r in stages[1][4]}
     assert len(after) == len(before) == len(stages[1][4])
-    for r, (_, removed, _, _, kept) in zip(before, brute([r[1] for r in before], 400)):
-        assert after[r[0]][1] == (r[1] if kept is None else kept)
-        assert after[r[0]][4] == (r[4] if kept is None else len(kept))
+    for r, kept in zip(before, without_passages([r[1] for r in before])):
+        assert after[r[0]][1] == kept
+        assert after[r[0]][4] == (r[4] if kept == r[1] else len(kept)) and after[r[0]][2:4] == r[2:4]
     assert any(after[100 + i][1] != r[1] for i in range(4) for r in before if r[0] == 100 + i)
 
 
+def test_suffix_stage_cuts_planted_passages_and_leaves_clean_texts(spark, tmp_path):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrst") for _ in range(rnd.randint(2, 7)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(n) for n in range(51, 61)]
+    lines = [text(20) for _ in range(5)]                         # repeated, but not over 50 words
+    rows = [(i, text(rnd.randint(30, 90)) + " " + passages[i % 10] + " " + text(20), "en", "s", 1) for i in range(60)]
+    rows += [(100 + i, text(rnd.randint(1, 200)) + "\n" + lines[i % 5] + "\n" + text(9), "en", "s", 7) for i in range(60)]
+    rows += [(300, None, None, None, None), (301, "", "en", None, 0), (302, "x " * 400, "en", "s", 800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    after = {r.doc_id: r for r in dict(P.STAGES)["suffix_dedup"](spark, docs, str(tmp_path)).collect()}
+    assert len(after) == len(rows)
+    caught = [passages[i % 10][5:-5] not in after[i].text for i in range(60)]
+    assert all(caught) and all(len(after[i].text.split()) >= 49 for i in range(60))
+    assert all(tuple(after[r[0]]) == r for r in rows if 100 <= r[0] <= 301)
+    assert after[302].text.strip() == "" and after[302].n_chars == len(after[302].text)
+
+
 def test_packing_stage(stages):
     before, pieces = stages[1][4], stages[1][5]
     assert {p[0] for p in pieces} == {r[0] for r in before}

@@ -62,6 +62,9 @@ def test_equals_brute_force(spark, monkeypatch, length, block, names):
     rows = sorted(S.suffix_dedup(df.repartition(3), length=length).collect(), key=lambda r: r.id)
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.kept_text) for r in rows] == brute(texts, length)
     assert any(0 < r.n_removed < r.n_bytes for r in rows)
+    whole = sorted(S.suffix_dedup(df.repartition(3), length=length, whole=True).collect(), key=lambda r: r.id)
+    assert [(r.n_removed, r.kept_sha256, r.kept_text) for r in whole] == \
+        [(b[1], b[3], (t or "") if b[4] is None else b[4]) for t, b in zip(texts, brute(texts, length))]
 
 
 def test_empty_null_and_repeated_rows(spark):
