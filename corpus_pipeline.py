@@ -44,17 +44,26 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash_dedup(docs).where("kept").select("src.*")
 
 
+# A passage that repeats is cut if it has over 50 words.  Repeats are searched by bytes, from a length that
+# 51 words hardly stay under, and runs of fewer words are left alone.
+PASSAGE_BYTES = 150
+PASSAGE_WORDS = 51
+
+
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut repeated strings out of the texts (n_chars follows); no row goes, a text may become empty."""
-    key = F.sha2("text", 256)
-    cut = suffix_dedup(docs.select(key.alias("key"), "text"), "key").where("kept_text IS NOT NULL")
-    cut = cut.groupBy(F.col("id").alias("_key")).agg(F.min("kept_text").alias("_kept"))    # equal texts are cut alike
-    cut = materialize(cut, "cut-texts")
-    changed = F.col("_kept").isNotNull()
-    return docs.join(cut, key == F.col("_key"), "left").select(
-        *[F.coalesce("_kept", "text").alias(c) if c == "text" else
-          F.when(changed, F.char_length("_kept").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars" else
-          F.col(f"`{c}`") for c in docs.columns])
+    """Cut passages of over 50 words that occur elsewhere out of the texts (n_chars follows); no row goes, a text may become empty.
+
+    A passage is a run of bytes covered by repeated strings of ``PASSAGE_BYTES``; all its occurrences
+    go.  A null text stays null, the other columns come back unchanged.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(F.struct(*others).alias("src"), F.col("text").isNull().alias("no_text")).alias("row"), "text")
+    cut = suffix_dedup(rows, "row", length=PASSAGE_BYTES, least_words=PASSAGE_WORDS, whole=True)
+    changed = F.col("n_removed") > 0
+    return cut.select(*[
+        F.when(~F.col("id.no_text"), F.col("kept_text")).alias(c) if c == "text" else
+        F.when(changed, F.char_length("kept_text").cast(docs.schema[c].dataType)).otherwise(F.col("id.src.n_chars")).alias(c) if c == "n_chars" else
+        F.col(f"id.src.`{c}`").alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
