@@ -7,31 +7,19 @@ plain words take a shorter way through the library.
 
 from __future__ import annotations
 
-import json
 import os
 import string
-import struct
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-CACHED_CHUNKS = 300_000       # entries a worker keeps (some 70 MB); the cache starts afresh beyond it
+CACHED_CHUNKS = 700_000       # entries a worker keeps (some 160 MB); beyond it only those of the texts at hand stay
 CACHED_CHARS = 64             # longer chunks are encoded each time
 
 
-class _Known(dict):
-    """Ids of chunks; a chunk that is not there is noted, so that one lookup per chunk is enough."""
-
-    def __init__(self):
-        super().__init__()
-        self.missed: set[str] = set()
-
-    def __missing__(self, chunk: str) -> None:
-        self.missed.add(chunk)
-
-
 class WordEncoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
 
@@ -43,61 +31,59 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        with open(path, encoding="utf-8") as f:
-            suffix = json.load(f)["model"].get("end_of_word_suffix")
-        vocab = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
-        if suffix:
-            self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-        self.cache = _Known()
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelled = {c: "".join(part for part, _ in spell(chr(c))) for c in range(0x80, 0x250) if chr(c).isalpha()}
+        self.cache: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: set[str]) -> None:
-        """Encode unseen chunks: ASCII words by the model alone, other Latin words as one run of words."""
-        cache, whole = self.cache, dict.get
+        """Encode unseen chunks: words of Latin letters by the model alone, others by the whole tokenizer."""
+        cache = self.cache
         # "word," is "word" and ",": marks after a word are a word of their own if nothing else follows
-        split = {}
+        split, new = {}, set()
         for c in chunks:
-            word = c.rstrip(string.punctuation)
-            if len(word) < len(c) and word.isalpha():
-                split[c] = (word, c[len(word):])
-        new = {w for pair in split.values() for w in pair} | (chunks - split.keys())
-        new = [w for w in new if whole(cache, w) is None]
-        ascii_words = [w for w in new if w.isascii() and w.isalpha()]
-        # the normalizer and the byte alphabet leave a lower-case ASCII word as it is
-        for w, tokens in zip(ascii_words, map(self.tokenizer.model.tokenize, map(str.lower, ascii_words))):
-            cache[w] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-        plain = [w for w in new if not w.isascii() and w.isalpha() and max(w) < "ɐ"]
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(cuts) == len(plain):                    # else some word is more than one to the tokenizer
-                data, at = ids.tobytes(), 0
-                for w, cut in zip(plain, (4 * cuts).tolist()):
-                    cache[w] = data[at:cut]
-                    at = cut
-        rest = [w for w in new if whole(cache, w) is None]
+            if not c.isalpha():
+                word = c.rstrip(string.punctuation)
+                if len(word) < len(c) and word.isalpha():
+                    split[c] = (word, c[len(word):])
+                    new.update(split[c])
+                    continue
+            new.add(c)
+        new.difference_update(cache)
+        # of a word of Latin letters the normalizer leaves the lower-case form, which the byte alphabet spells out
+        words, forms = [], []
+        for w in new:
+            if w.isalpha():
+                low = w.lower()
+                if not low.isascii():
+                    if max(low) >= "ɐ":
+                        continue
+                    low = low.translate(self.spelled)
+                words.append(w)
+                forms.append(low)
+        for w, tokens in zip(words, map(self.tokenizer.model.tokenize, forms)):
+            cache[w] = array("I", [t.id for t in tokens]).tobytes()
+        rest = list(new.difference(cache))
         cache.update(zip(rest, self._ids(rest)))
-        cache.update((c, cache[w] + cache[marks]) for c, (w, marks) in split.items())
-        cache.missed.clear()
+        for c, (w, marks) in split.items():
+            cache[c] = cache[w] + cache[marks]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHED_CHUNKS:
-            cache.clear()
         chunked = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(cache.__getitem__, chunks)) for chunks in chunked]
-        if cache.missed:
-            long = {c for c in cache.missed if len(c) > CACHED_CHARS}
-            missed = cache.missed - long
-            self._learn(missed)
-            once = dict(zip(long, self._ids(list(long))))
-            found = [ids if None not in ids else
-                     [i if i is not None else once[c] if c in once else cache[c] for i, c in zip(ids, chunks)]
-                     for ids, chunks in zip(found, chunked)]
-        return [b"".join(ids) for ids in found]
+        here = set().union(*chunked)
+        unseen = here.difference(self.cache)
+        if unseen:
+            if len(self.cache) + len(unseen) > CACHED_CHUNKS:  # what this run needs stays
+                self.cache = {c: self.cache[c] for c in here.difference(unseen)}
+            self._learn(unseen)
+        of = self.cache.__getitem__
+        out = [b"".join(map(of, chunks)) for chunks in chunked]
+        for c in unseen:
+            if len(c) > CACHED_CHARS:
+                del self.cache[c]
+        return out
 
 
 @lru_cache(maxsize=2)
