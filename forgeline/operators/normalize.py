@@ -74,11 +74,12 @@ def clean_codes(df: DataFrame) -> DataFrame:
     return out
 
 
-def impute_walls(df: DataFrame, group_col: str = "process_code") -> DataFrame:
+def impute_walls(df: DataFrame, group_col: str = "process_code", medians: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """G1: wall min/avg NULL -> own-process median -> overall median -> 1.5.
 
     Adds ``<col>_imputed`` flags taken before the fill.  NULL process codes
-    form their own group.  Medians are exact (see ``quantiles``).
+    form their own group.  Medians are exact (see ``quantiles``); ``medians`` (per group, overall)
+    are used in their place where they are kept elsewhere.
     """
     cols = [c for c in WALL_COLUMNS if c in df.columns]
     if not cols:
@@ -86,10 +87,10 @@ def impute_walls(df: DataFrame, group_col: str = "process_code") -> DataFrame:
     out = df
     for c in cols:
         out = out.withColumn(f"{c}_imputed", F.col(c).isNull().cast("int"))
-    overall = exact_medians(df.select(*cols), [], cols)
+    overall = exact_medians(df.select(*cols), [], cols) if medians is None else medians[1]
     overall = overall.select(*[F.col(c).alias(f"__all_{c}") for c in cols])
     if group_col in df.columns:
-        grp = exact_medians(df.select(group_col, *cols), [group_col], cols)
+        grp = exact_medians(df.select(group_col, *cols), [group_col], cols) if medians is None else medians[0]
         # a row per process: written, so that its size is known when the orders meet it
         grp = materialize(grp.select(group_col, *[F.col(c).alias(f"__grp_{c}") for c in cols]), "medians")
         out = join_null_safe(out, grp, [group_col], "left")
@@ -124,22 +125,26 @@ def fill_constants(df: DataFrame) -> DataFrame:
     return out
 
 
-def impute_hole_diameter(df: DataFrame) -> DataFrame:
-    """hole_diameter_min NULL -> column mean -> 5.0."""
+def impute_hole_diameter(df: DataFrame, mean: DataFrame | None = None) -> DataFrame:
+    """hole_diameter_min NULL -> column mean (or the one value of ``mean``) -> 5.0."""
     if "hole_diameter_min" not in df.columns:
         return df
-    mean = df.agg(F.avg("hole_diameter_min").alias("__mean_hd"))
+    mean = df.agg(F.avg("hole_diameter_min").alias("__mean_hd")) if mean is None else mean.toDF("__mean_hd")
     out = attach_row(df, mean)
     return out.withColumn("hole_diameter_min", F.coalesce(
         F.col("hole_diameter_min"), F.col("__mean_hd"), F.lit(HOLE_DIAMETER_FALLBACK))).drop("__mean_hd")
 
 
 def normalize(df: DataFrame, process_map: dict = PIPELINE_PROCESS_CODE,
-              material_map: dict = PIPELINE_MATERIAL_FAMILY) -> DataFrame:
-    """The ETL normalise stage, in the order its results depend on."""
+              material_map: dict = PIPELINE_MATERIAL_FAMILY, wall_medians: tuple[DataFrame, DataFrame] | None = None,
+              hole_mean: DataFrame | None = None) -> DataFrame:
+    """The ETL normalise stage, in the order its results depend on.
+
+    ``wall_medians`` and ``hole_mean`` stand for the statistics of all rows where these are kept elsewhere.
+    """
     out = clean_codes(df)
-    out = impute_walls(out)
-    out = fill_constants(impute_hole_diameter(out))
+    out = impute_walls(out, medians=wall_medians)
+    out = fill_constants(impute_hole_diameter(out, hole_mean))
     cols = out.columns
     if "process_code" in cols:
         out = out.withColumn("process_code_encoded", encode(process_map, F.col("process_code")))

@@ -67,7 +67,11 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str,
     Returns one row per group that has at least one non-null value.
     """
     d, gcols = df.select(*group_cols, value_col), list(group_cols)
-    vc = value_counts(d, gcols, value_col)
+    return _median_of_counts(value_counts(d, gcols, value_col), gcols, value_col, out_col)
+
+
+def _median_of_counts(vc: DataFrame, gcols: list[str], value_col: str, out_col: str) -> DataFrame:
+    """Exact median per group from distinct (group, value) rows with their multiplicity ``__n``."""
     cum = running_totals(vc, gcols, value_col, ["__n"])
     lo = F.floor((F.col("__n_total") - 1) / 2)
     hi = F.ceil((F.col("__n_total") - 1) / 2)
@@ -120,3 +124,11 @@ def exact_medians(df: DataFrame, group_cols: list[str], value_cols: list[str]) -
     med = exact_median(long, gcols + ["__col"], "__v", "__m")
     wide = med.groupBy(*gcols).pivot("__col", value_cols).agg(F.first("__m"))
     return wide
+
+
+def exact_medians_of_counts(counts: DataFrame, group_cols: list[str], name_col: str, value_col: str, n_col: str,
+                            value_cols: list[str]) -> DataFrame:
+    """``exact_medians`` from kept counts: one row per distinct (group, column name, value) with its multiplicity."""
+    gcols = list(group_cols)
+    med = _median_of_counts(counts.select(*gcols, name_col, value_col, F.col(n_col).alias("__n")), gcols + [name_col], value_col, "__m")
+    return med.groupBy(*gcols).pivot(name_col, value_cols).agg(F.first("__m"))

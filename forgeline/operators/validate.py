@@ -101,19 +101,22 @@ def flag_duplicates(df: DataFrame, key=DUPLICATE_KEY, order=("completion_date",
 
 
 def annotate(df: DataFrame, rules=VALIDATION_RULES, dedupe: bool = True,
-             dedupe_after_rules: bool = False) -> DataFrame:
+             dedupe_after_rules: bool = False, duplicate_col: str | None = None) -> DataFrame:
     """V2-V7: filled frame plus ``reject_bucket`` / ``reject_column`` / ``reject_reason``
     (NULL for clean rows) and ``reject_reasons`` (every failing rule's text).
 
     Order of work: fills, casts and every rule in one projection, written once with the failures
     and a number per row; the duplicate flag and the verdict columns are computed over that
-    table, so later filters on the verdict never meet the large rule expression.
+    table, so later filters on the verdict never meet the large rule expression.  ``duplicate_col``
+    names a column that tells the duplicates already (it is dropped).
     """
     check_required_columns(df, rules)
     filled, failures = apply_rules(df, rules)
     rows = materialize(filled.withColumn("__fails", F.array_compact(F.array(*failures)))
                        .withColumn("__row", F.monotonically_increasing_id()), "rules")
-    if dedupe and all(k in rows.columns for k in DUPLICATE_KEY):
+    if duplicate_col is not None:
+        rows = rows.withColumn("__dup", F.col(duplicate_col)).drop("__row", duplicate_col)
+    elif dedupe and all(k in rows.columns for k in DUPLICATE_KEY):
         if dedupe_after_rules:
             good = flag_duplicates(rows.where(F.size("__fails") == 0))
             rest = rows.where(F.size("__fails") > 0).drop("__row").withColumn("__dup", F.lit(False))

@@ -11,7 +11,7 @@ from forgeline.operators import validate
 from forgeline.plans.registry import register
 from forgeline.schemas import GEOMETRY_COLUMNS
 from forgeline.session import shared_path
-from forgeline.sources import readers, sinks
+from forgeline.sources import commits, readers, sinks
 from forgeline.sources.tables import Domain
 
 GEO_DOUBLES = ["bounding_box_x", "bounding_box_y", "bounding_box_z", "volume", "surface_area", "wall_thickness_min",
@@ -124,13 +124,12 @@ SELECT date, material_code, arg_min(price_usd_per_kg, seq) AS price_usd_per_kg F
 GROUP BY date, material_code""", ["price_usd_per_kg"], ["m_prices"])
 def ts5_price_feed_stream(d: Domain):
     """T-S5/S7: price rows streamed from files into a date-partitioned archive with idempotent upserts."""
-    from forgeline.streaming.monitors import price_feed_stream
+    from forgeline.streaming.monitors import price_feed_stream, read_price_archive
     src, arch, ck = _scratch(d, "prices_in"), _scratch(d, "price_archive"), _scratch(d, "prices_ck")
     d.prices.repartitionByRange(3, "date").write.mode("overwrite").parquet(src)
     stream = d.spark.readStream.schema(d.prices.schema).option("maxFilesPerTrigger", 1).parquet(src)
     price_feed_stream(stream, arch, ck)
-    return d.spark.read.parquet(arch).select(F.col("date").cast("date").alias("date"), "material_code",
-                                             "price_usd_per_kg")
+    return read_price_archive(d.spark, arch).select("date", "material_code", "price_usd_per_kg")
 
 
 @register("j9_model_routing", """
@@ -210,8 +209,8 @@ def s13_fan_out(d: Domain):
     a, b = _scratch(d, "copy_a"), _scratch(d, "copy_b")
     ok = sinks.fan_out(d.all_geometry, [a, b])
     assert all(ok.values())
-    return d.spark.read.parquet(a).agg(F.lit(1).alias("copy"), F.count(F.lit(1)).alias("row_count")).unionByName(
-        d.spark.read.parquet(b).agg(F.lit(2).alias("copy"), F.count(F.lit(1)).alias("row_count")))
+    return commits.read_published(d.spark, a).agg(F.lit(1).alias("copy"), F.count(F.lit(1)).alias("row_count")).unionByName(
+        commits.read_published(d.spark, b).agg(F.lit(2).alias("copy"), F.count(F.lit(1)).alias("row_count")))
 
 
 @register("s17_prediction_export", """

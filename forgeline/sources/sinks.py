@@ -1,20 +1,22 @@
-"""Sinks: versioned dataset writes, the catalog table, fan-out and exports.
+"""Sinks: versioned dataset writes, the catalog, fan-out and exports.
 
-A dataset version is a ``version=N`` partition under one base path; the
-catalog is a small append-only table with one row per written version.  The
-next version number is read from the catalog once and then passed along as a
-value (no second directory scan).
+A dataset version is data below a folder of its own and one catalog entry, which is also what commits it
+(``commits``): the entry is created under the next free version number, whole or not at
+all.  Two writers at once get two versions, and a crash before the entry leaves the versions as they were.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import logging
+import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgeline.session import materialize, path_exists
+from forgeline.sources import commits
 
 log = logging.getLogger(__name__)
 
@@ -23,36 +25,41 @@ CATALOG_SCHEMA = ("version int, dataset string, path string, row_count long, col
 
 
 def read_catalog(spark: SparkSession, catalog_path: str) -> DataFrame:
-    """The catalog table; empty where there is none yet, an error where it cannot be read."""
+    """The catalog's entries; empty where there are none yet, an error where they cannot be read."""
     if not path_exists(spark, catalog_path):
         return spark.createDataFrame([], CATALOG_SCHEMA)
-    return spark.read.schema(CATALOG_SCHEMA).parquet(catalog_path)
+    return spark.read.schema(CATALOG_SCHEMA).option("mode", "FAILFAST").json(catalog_path)
 
 
 def next_version(spark: SparkSession, catalog_path: str) -> int:
-    """Max existing version + 1 (1 for an empty catalog)."""
+    """The version after the newest (1 for an empty catalog); a writer may still lose it to another."""
     v = read_catalog(spark, catalog_path).agg(F.max("version")).first()[0]
     return int(v or 0) + 1
 
 
+class VersionTaken(PySparkException):
+    """The version asked for has been committed before."""
+
+
 def write_version(df: DataFrame, base_path: str, catalog_path: str, dataset: str = "training_data",
                   run_stats: dict | None = None, version: int | None = None,
                   created_at: _dt.datetime | None = None) -> int:
-    """Write ``df`` as version N and append its metadata row to the catalog.
+    """Write ``df`` as a version and commit it with its catalog entry; returns the version.
 
-    Row count is taken from the written files (one count over the output, no
-    second pass over the input plan).  A version that exists already is never written into.
+    Row count is taken from the written files (one count over the output, no second pass over the input
+    plan).  Without ``version`` it is the next free one, also with other writers at work; one
+    that exists already is never written into.
     """
     spark = df.sparkSession
-    v = version if version is not None else next_version(spark, catalog_path)
-    path = f"{base_path}/version={v}"
-    df.write.mode("errorifexists").parquet(path)
-    n = spark.read.parquet(path).count()
-    stats = spark.createDataFrame([(json_dumps(run_stats or {}),)], "s string").first()[0]
-    meta = spark.createDataFrame(
-        [(v, dataset, path, n, len(df.columns), list(df.columns), stats, created_at or _dt.datetime.now(_dt.timezone.utc))],
-        CATALOG_SCHEMA)
-    meta.write.mode("append").parquet(catalog_path)
+    path = f"{base_path}/data={uuid.uuid4().hex}"
+    df.write.parquet(path)
+    meta = {"dataset": dataset, "path": path, "row_count": spark.read.parquet(path).count(), "column_count": len(df.columns),
+            "columns": list(df.columns), "run_stats": json_dumps(run_stats or {}),
+            "created_at": (created_at or _dt.datetime.now(_dt.timezone.utc)).isoformat()}
+    v = commits.commit(spark, catalog_path, lambda n, _: meta, version)
+    if v is None:
+        commits.delete(spark, path)
+        raise VersionTaken(f"version {version} of {dataset} exists in {catalog_path}")
     return v
 
 
@@ -72,18 +79,23 @@ def catalog_entries(spark: SparkSession, catalog_path: str) -> DataFrame:
 
 
 def read_latest(spark: SparkSession, base_path: str, catalog_path: str) -> DataFrame:
-    """Partition-pruned read of the latest version."""
-    v = next_version(spark, catalog_path) - 1
-    return spark.read.parquet(base_path).where(F.col("version") == v)
+    """The rows of the newest version, with its number."""
+    newest = read_catalog(spark, catalog_path).agg(F.max_by(F.struct("version", "path"), "version").alias("r")).select("r.*").first()
+    if newest is None or newest["version"] is None:
+        raise FileNotFoundError(f"no version in {catalog_path}")
+    return spark.read.parquet(newest["path"]).withColumn("version", F.lit(newest["version"]))
 
 
 def fan_out(df: DataFrame, paths: list[str]) -> dict[str, bool]:
-    """Write one materialised frame to several consumer locations; failures only warn."""
+    """Publish one materialised frame at several consumer locations (``commits.read_published``).
+
+    A copy replaces the one before it in one step; one that fails leaves it, and only warns.
+    """
     ck = materialize(df, "fan-out")
     ok = {}
     for p in paths:
         try:
-            ck.write.mode("overwrite").parquet(p)
+            commits.publish(ck, p)
             ok[p] = True
         except Exception as e:  # noqa: BLE001
             log.warning("copy to %s failed: %s", p, e)

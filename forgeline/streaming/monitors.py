@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forgeline.operators.quantiles import exact_percentiles
+from forgeline.sources.commits import PartitionedTable
 
 P95_LIMIT_MS = 150.0
 ERROR_RATE_LIMIT_PCT = 1.0
@@ -151,31 +152,35 @@ def feed_in_time_order(events: DataFrame, directory: str, run, parts: int = 3):
     return out
 
 
+PRICE_ARCHIVE_SCHEMA = "date date, material_code string, price_usd_per_kg double, source string, seq long"
+
+
+def price_archive(spark: SparkSession, path: str) -> PartitionedTable:
+    """The archive of daily prices: one partition a date, replaced by commits."""
+    return PartitionedTable(spark, path, "date", PRICE_ARCHIVE_SCHEMA)
+
+
+def read_price_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the price archive."""
+    return price_archive(spark, path).read()
+
+
 def price_feed_stream(prices: DataFrame, archive_path: str, checkpoint: str,
                       timeout_s: float | None = None) -> StreamingQuery:
-    """T-S5: daily price batches appended idempotently to a date-partitioned archive.
+    """T-S5: daily price batches upserted into a date-partitioned archive (S7), a commit each.
 
-    Each micro-batch keeps the first row per (date, material) (lowest ``seq``)
-    and replaces those keys in the archive (S7 upsert) by overwriting only the
-    touched date partitions; replaying a batch gives the same archive.  An archive
-    that exists but cannot be read fails the batch; it is never taken for an empty one.
+    Each micro-batch keeps the first row per (date, material) (lowest ``seq``) and replaces those keys in
+    the partitions of its dates; readers see all of a batch or nothing of it, a replayed batch gives the
+    same archive and other writers' commits are merged with.  An archive that exists but cannot be
+    read fails the batch; it is never taken for an empty one.
     """
     from forgeline.operators.joins import upsert_prices
-    from forgeline.session import materialize, path_exists, release
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        merged = batch.groupBy("date", "material_code").agg(
+        first = batch.groupBy("date", "material_code").agg(
             F.min_by(F.struct("price_usd_per_kg", "source", "seq"), "seq").alias("r")) \
             .select("date", "material_code", "r.price_usd_per_kg", "r.source", "r.seq")
-        first = merged
-        if path_exists(spark, archive_path):
-            existing = spark.read.schema(first.schema).parquet(archive_path)
-            touched = existing.join(first.select("date").distinct(), "date", "left_semi")
-            merged = materialize(upsert_prices(touched.select(*first.columns), first), "price-merge")
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date").parquet(archive_path))
-        release(merged)
+        price_archive(batch.sparkSession, archive_path).upsert(first, upsert_prices)
 
     q = (prices.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
