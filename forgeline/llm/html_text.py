@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -40,19 +41,38 @@ VOID_ELEMENTS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "li
 # a start tag of the same kind (or of any block, for p) ends these without an end tag
 SELF_ENDING = {"p": BLOCK_ELEMENTS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}}
 
-_SIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|"
-    r"overlay|newsletter|subscri(?:be|ption)|paywall|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|site-header|page-header|"
-    r"topbar|toolbar|comments?|commentlist|respond|replies|disqus|share|sharing|social|related|recommended|trending|widgets?|pagination|pager|"
-    r"login|signin|signup|search|skip-link|copyright|hidden)(?=$|[\s_-])(?![_-](?:open|opened|closed|enabled|disabled|on|off|active|inactive|none)(?:$|[\s_-]))",
-    re.I)
+# words of class and id names by which an element lies beside an article
+SIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "cookie", "cookies",
+              "consent", "gdpr", "notice", "notices", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "paywall", "sidebar",
+              "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "toolbar", "comment", "comments",
+              "commentlist", "respond", "replies", "disqus", "pagination", "pager", "login", "signin", "signup", "copyright"}
+# words that may as well be what an article is about: believed only of short lines or links
+HINT_WORDS = {"alert", "alerts", "share", "sharing", "social", "related", "recommended", "trending", "widget", "widgets", "search", "hidden"}
+# words that may stand beside them in a name and say nothing of its subject
+FRAME_WORDS = {"article", "articles", "post", "posts", "blog", "story", "stories", "page", "site", "entry", "reader", "readers", "user", "header", "top",
+               "bottom", "left", "right", "main", "global", "primary", "secondary", "content", "form", "card", "cards", "leaderboard", "text", "link",
+               "links", "button", "buttons", "btn", "icon", "icons", "list", "item", "items", "box", "wrap", "wrapper", "container", "block", "area",
+               "section", "inner", "outer", "bar", "panel", "unit", "slot", "row", "col", "column", "columns", "group", "module", "region", "zone",
+               "strip", "title", "label", "thread", "count", "more", "tools", "message", "warning", "mobile", "desktop", "sticky", "fixed", "field"}
+# two words that make one
+SIDE_PAIRS = {("site", "header"), ("page", "header"), ("skip", "link"), ("side", "bar")}
+# the state of a part, not the part
+STATE_WORDS = {"open", "opened", "closed", "enabled", "disabled", "on", "off", "active", "inactive", "none"}
+READER_WORDS = {"comment", "comments", "commentlist", "respond", "replies", "disqus"}
 # what a container has or lacks says nothing of what it is
 _HAS_NAMES = re.compile(r"(?<![^\s_-])(?:no|non|has|with|without)[_-]\S*", re.I)
-_READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|respond|replies|disqus)(?:$|[\s_-])", re.I)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-hidden|hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _SIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form"}
 _TAG_REST = re.compile(r"""(?:[^>"']+|"[^"]*"|'[^']*')*+>""")
 _NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+_ANCHOR = re.compile(r"<(?:(/)a|a)(?=[\s/>])", re.I)
+_HREF = re.compile(r"(?:^|[\s\"'])href\s*=", re.I)
+_TARGET = re.compile(r"(?:^|[\s\"'])(?:name|id)\s*=", re.I)
+
+
+def _is_target(attributes: str) -> bool:
+    """Whether an anchor is a place to jump to, not a link."""
+    return attributes.endswith("/") or bool(_TARGET.search(attributes)) and not _HREF.search(attributes)
 
 
 def _is_side(tag: str, attributes: str, in_article: bool) -> bool:
@@ -70,55 +90,71 @@ def _is_side(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def _side_name(tag: str, attributes: str) -> str:
-    """The class or id, if any, by which an element seems to lie beside the article."""
+SIDE, HINT = 2, 1
+
+
+def _side_name(tag: str, attributes: str) -> int:
+    """How strongly the class or id says that an element lies beside the article: SIDE, HINT or 0.
+
+    A name counts if all its words (between dashes) do: "related-posts" is a hint, "related-work" is a subject.
+    """
     if not attributes or tag in ("html", "body", *ARTICLE_ELEMENTS):
-        return ""
+        return 0
+    said = 0
     for m in _ATTRIBUTE.finditer(attributes):
-        value = _HAS_NAMES.sub("", m[2] or m[3] or m[4] or "")
-        if m[1].lower() in ("class", "id") and _SIDE_NAMES.search(value):
-            return value
-    return ""
+        if m[1].lower() not in ("class", "id"):
+            continue
+        for name in _HAS_NAMES.sub("", m[2] or m[3] or m[4] or "").lower().split():
+            words = [w for w in re.split("[_-]+", name) if w and not w.isdigit()]
+            known = set(words)
+            if known & STATE_WORDS:
+                continue
+            if tuple(words[:2]) in SIDE_PAIRS:
+                said = SIDE
+            elif known <= SIDE_WORDS | HINT_WORDS | FRAME_WORDS:
+                said = max(said, SIDE if known & SIDE_WORDS else HINT if known & HINT_WORDS else 0)
+    return said
 
 
 class _Named(NamedTuple):
-    """An element that seems to lie beside the article by its name, and what it holds."""
+    """An element that seems to lie beside the article by its name."""
     outer: int         # such an element around it, or -1
-    readers: bool      # its name is that of readers' comments
+    said: int          # SIDE or HINT
 
 
 def _hidden(named: list[_Named], out: list[tuple], articles: dict[int, int]) -> list[bool]:
-    """Of each element named so, whether its name is believed: not if it holds the page's largest article
-    element or most of the page's text.  Comments may outgrow an article, so they hide beside any."""
+    """Of each element named so, whether its name is believed.
+
+    A hint is believed of links and short lines, not of text that would surge by itself.  No name is believed
+    that holds the page's largest article element, or outside of which the page has no text.
+    """
     if not named:
         return []
-    held, total, free = [0] * len(named), 0, 0
+    held, linked, longest, free = [0] * len(named), [0] * len(named), [0] * len(named), 0
     sizes: dict[int, int] = {}
     for block, beside, _, links, _, name, article in out:
         if beside:
             continue
         size = len(block) - links
-        total += size
         free += size if name < 0 else 0
         if article >= 0:
             sizes[article] = sizes.get(article, 0) + size
         while name >= 0:
-            held[name] += size
+            held[name] += len(block)
+            linked[name] += links
+            longest[name] = max(longest[name], size)
             name = named[name].outer
     largest = max(sizes, key=lambda a: sizes[a], default=-1)
     around, at = set(), articles.get(largest, -1)
     while at >= 0 and sizes[largest] > free:
         around.add(at)
         at = named[at].outer
-    # whether an element or one around it has the name of comments, and whether an article element lies in none such
-    readers: list[bool] = []
-    for n in named:
-        readers.append(n.readers or n.outer >= 0 and readers[n.outer])
-    elsewhere = any(size and (articles[a] < 0 or not readers[articles[a]]) for a, size in sizes.items())
     hidden: list[bool] = []
     for i, n in enumerate(named):
-        trusted = i not in around and (2 * held[i] <= total or n.readers and elsewhere)
-        hidden.append(trusted or n.outer >= 0 and hidden[n.outer])
+        believed = i not in around and (n.said == SIDE or longest[i] < SURGE_CHARS or 3 * linked[i] >= held[i])
+        hidden.append(believed or n.outer >= 0 and hidden[n.outer])
+    if not any(len(block) > links and not beside and (name < 0 or not hidden[name]) for block, beside, _, links, _, name, _ in out):
+        return [False] * len(named)
     return hidden
 
 
@@ -128,6 +164,7 @@ class Line(NamedTuple):
     inside: bool       # in an article element
     links: int         # characters of links
     place: int         # its container, as an element number
+    around: int        # the container of that, -1 for the page itself
 
 
 def lines(page: str) -> list[Line]:
@@ -139,12 +176,15 @@ def lines(page: str) -> list[Line]:
     named: list[_Named] = []
     articles: dict[int, int] = {}                      # of each outermost article element: the element named so around it
     parents, holds = [0], [True]                       # of each element: number of its container, whether it holds blocks
+    whole = {0}                                        # the page itself: the root, html and body
+    opened: Counter = Counter()                        # open elements by name
     text: list[str] = []
     links = 0
-    anchors = 0
+    anchor = 0                                         # 1: in a link, 2: in one without an end tag, which ends with its block
 
     def flush() -> None:
-        nonlocal links
+        nonlocal links, anchor
+        anchor = 0 if anchor == 2 else anchor
         block = " ".join("".join(text).split())
         if block:
             _, beside, inside, number, name, article = stack[-1] if stack else outside
@@ -162,7 +202,7 @@ def lines(page: str) -> list[Line]:
             if "&" in piece:
                 piece = entities.unescape(piece)
             text.append(piece)
-            links += len(piece) if anchors else 0
+            links += len(piece) if anchor else 0
         if lt == end:
             break
         follows = page[lt + 1:lt + 2]
@@ -185,20 +225,24 @@ def lines(page: str) -> list[Line]:
         at = close or end
         tag, ends = name[1].lower(), follows == "/"
         if tag == "a":
-            anchors = 0 if ends else 1
+            if ends or _is_target(attributes):
+                anchor = 0 if ends else anchor
+            else:
+                ahead = _ANCHOR.search(page, at)
+                anchor = 1 if ahead and ahead[1] else 2
             continue
         if tag == "br":
             text.append(" ")
             continue
         block = tag in BLOCK_ELEMENTS
         if ends:
-            at_depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if block:
+            if block or opened[tag]:
                 flush()
-            if at_depth is not None:
-                if not block:
-                    flush()
-                del stack[at_depth:]
+            while opened[tag]:                         # to the nearest of the name, and what lies in it
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == tag:
+                    break
             continue
         if tag in RAW_ELEMENTS:
             done = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -207,7 +251,7 @@ def lines(page: str) -> list[Line]:
             continue
         while block and stack and tag in SELF_ENDING.get(stack[-1][0], ()):
             flush()
-            stack.pop()
+            opened[stack.pop()[0]] -= 1
         _, beside, inside, number, within, article = stack[-1] if stack else outside
         if block:
             flush()
@@ -216,7 +260,7 @@ def lines(page: str) -> list[Line]:
             if not block:
                 flush()
             if called:
-                named.append(_Named(within, bool(_READERS.search(called))))
+                named.append(_Named(within, called))
                 within = len(named) - 1
             # a section of an article is a part of it
             if tag in CONTAINER_ELEMENTS and not (inside and tag == "section"):
@@ -224,17 +268,37 @@ def lines(page: str) -> list[Line]:
                 parents.append(number)
                 holds.append(False)
                 number = len(parents) - 1
+                if tag in ("html", "body"):
+                    whole.add(number)
             elif block and tag not in CONTAINER_ELEMENTS:
                 holds[number] = True
             if tag in ARTICLE_ELEMENTS and not inside:
                 article = number
                 articles[article] = within
             stack.append((tag, beside or side, inside or tag in ARTICLE_ELEMENTS, number, within, article))
+            opened[tag] += 1
     flush()
-    # a container without blocks is a line of the container around it
     hidden = _hidden(named, out, articles)
-    return [Line(block, beside or name >= 0 and hidden[name], inside, links, number if holds[number] else parents[number])
-            for block, beside, inside, links, number, name, _ in out]
+    found = []
+    for block, beside, inside, links, number, name, _ in out:
+        place = number if holds[number] else parents[number]      # a container without blocks is a line of the one around it
+        found.append(Line(block, beside or name >= 0 and hidden[name], inside, links, place, -1 if place in whole or parents[place] in whole else parents[place]))
+    return found
+
+
+def passages(weight: np.ndarray) -> list[bool]:
+    """Whether each line lies between a surge and the next dive of the sums over windows of lines that start there."""
+    sums, within, out = np.convolve(weight, np.ones(WINDOW_LINES, np.int64))[WINDOW_LINES - 1:], False, []
+    for total, own in zip(sums, weight):
+        within = total >= DIVE_CHARS if within else total >= SURGE_CHARS and own > 0
+        out.append(bool(within))
+    return out
+
+
+def _joins(line: Line, kept: Line) -> bool:
+    """Whether a short line belongs to a kept neighbour in another container: one within the other, or both in one below the page."""
+    return line.inside == kept.inside and 2 * line.links <= len(line.text) and (
+        line.around >= 0 and line.around in (kept.place, kept.around) or kept.around >= 0 and line.place == kept.around)
 
 
 def main_text(page: str | None) -> str:
@@ -247,17 +311,17 @@ def main_text(page: str | None) -> str:
     # an article element is evidence, no verdict: its lines count for more, the others must surge by themselves
     weight = plain + np.where(inside, np.minimum(plain, ARTICLE_BONUS), 0)
     edges = [0, *(np.flatnonzero(np.diff(inside)) + 1), len(rows)]
-    kept = []
-    for a, b in zip(edges, edges[1:]):
-        sums, within = np.convolve(weight[a:b], np.ones(WINDOW_LINES, np.int64))[WINDOW_LINES - 1:], False
-        for total, own in zip(sums, weight[a:b]):
-            within = total >= DIVE_CHARS if within else total >= SURGE_CHARS and own > 0
-            kept.append(bool(within))
+    kept = [k for a, b in zip(edges, edges[1:]) for k in passages(weight[a:b])]
     if not any(kept):                                  # nothing surges: a short page's text as it stands
         kept = (inside if plain[inside].any() else ~inside).tolist()
         return "\n\n".join(line.text for line, k in zip(rows, kept) if k)
     places = {line.place for line, k in zip(rows, kept) if k}
-    return "\n\n".join(line.text for line, k in zip(rows, kept) if k or line.place in places and 2 * line.links <= len(line.text))
+    kept = [k or line.place in places and 2 * line.links <= len(line.text) for line, k in zip(rows, kept)]
+    for step in (1, -1):                               # short lines next to a kept one, and next to those
+        order = range(len(rows))[::step]
+        for i, j in zip(order, order[1:]):
+            kept[j] = kept[j] or kept[i] and _joins(rows[j], rows[i])
+    return "\n\n".join(line.text for line, k in zip(rows, kept) if k)
 
 
 def _extract(batches):
