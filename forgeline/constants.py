@@ -224,7 +224,7 @@ DRIFT_NUMERIC_COLUMNS = [
 TOP1_CONFIDENCE_SPLIT = 0.15
 MAPE_MIN_TRUE = 1.0
 
-# Hard manufacturing constraints: (rule, excluded processes).
+# Hard process constraints: (rule, excluded processes).
 #   undercut_flag == 1          -> injection_molding, die_casting
 #   any box side > 600 mm       -> injection_molding
 #   wall_thickness_min < 2.0    -> sand_casting

@@ -11,6 +11,8 @@ from __future__ import annotations
 import datetime as _dt
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,8 +131,43 @@ def ks_pvalue(d: Column, en: Column) -> Column:
     return F.when(d <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), value)))
 
 
-def ks_two_sample(base: DataFrame, new: DataFrame, cols: list[str] = DRIFT_NUMERIC_COLUMNS) -> DataFrame:
-    """Two-sample KS statistic and asymptotic p-value per column.
+KS_EXACT_ROWS = 10_000         # rows of the larger sample up to which the exact distribution is worth its n x m steps
+
+
+def ks_exact_pvalue(n: int, m: int, d: float) -> float:
+    """P(D >= d) of the two-sample KS statistic for samples of n and m rows without ties, exact.
+
+    A random order of both samples is a lattice path from (0, 0) to (n, m).  With ``out(i, j)`` the probability that a path
+    to (i, j) has left the band |i/n - j/m| < d, the last step gives out(i, j) = (i out(i-1, j) + j out(i, j-1)) / (i + j),
+    and 1 beyond the band.  One array of n + 1 numbers goes through the diagonals i + j = 1 .. n + m.
+    """
+    limit = round(d * n * m)                                     # D is a whole multiple of 1 / (n m)
+    if limit <= 0:
+        return 1.0
+    i = np.arange(n + 1, dtype=np.int64)
+    out = np.zeros(n + 1)
+    for s in range(1, n + m + 1):
+        lo, hi = max(0, s - m), min(n, s)
+        at = i[lo:hi + 1]
+        j = s - at
+        from_left = np.where(at > 0, at * out[np.maximum(at - 1, 0)], 0.0)
+        from_below = np.where(j > 0, j * out[lo:hi + 1], 0.0)
+        out[lo:hi + 1] = np.where(np.abs(at * m - j * n) >= limit, 1.0, (from_left + from_below) / s)
+    return float(out[n])
+
+
+def _exact_pvalues(rows: int):
+    def run(batches):
+        for batch in batches:
+            n, m, d = (batch.column(c).to_pylist() for c in ("n_base", "n_new", "ks_stat"))
+            exact = [ks_exact_pvalue(a, b, x) if max(a, b) <= rows else None for a, b, x in zip(n, m, d)]
+            yield batch.append_column("exact", pa.array(exact, pa.float64()))
+    return run
+
+
+def ks_two_sample(base: DataFrame, new: DataFrame, cols: list[str] = DRIFT_NUMERIC_COLUMNS, exact_rows: int = 0) -> DataFrame:
+    """Two-sample KS statistic and p-value per column: asymptotic, or, for samples of up to ``exact_rows``
+    rows (``KS_EXACT_ROWS``), exact (a row a column goes through Python then).
 
     Counts per (column, value) first, then exact running totals per column
     (by value ranges, see ``running_totals``); D = max |F_base - F_new|.
@@ -144,7 +181,11 @@ def ks_two_sample(base: DataFrame, new: DataFrame, cols: list[str] = DRIFT_NUMER
                                    F.first("nn_total").alias("n_new"))
     ks = ks.where((F.col("n_base") >= DRIFT_MIN_ROWS) & (F.col("n_new") >= DRIFT_MIN_ROWS))
     en = F.col("n_base") * F.col("n_new") / (F.col("n_base") + F.col("n_new"))
-    return ks.withColumn("ks_pval", ks_pvalue(F.col("ks_stat"), en)) \
+    p = ks_pvalue(F.col("ks_stat"), en)
+    if exact_rows:
+        ks = ks.mapInArrow(_exact_pvalues(exact_rows), ks.schema.simpleString()[len("struct<"):-1].replace(":", " ") + ", exact double")
+        p = F.coalesce("exact", p)
+    return ks.withColumn("ks_pval", p).drop("exact") \
         .withColumn("ks_flag", F.col("ks_pval") < DRIFT_KS_P_LIMIT)
 
 

@@ -133,6 +133,29 @@ def m6_cost_models_holdout(d: Domain):
     return ev.per_component_table(long)
 
 
+@register("m14_served_by_models", None)
+def m14_served_by_models(d: Domain):
+    """JSON requests whose feasible routed processes are costed by the fitted models on each request's own
+    geometry, material and quantity (the rough estimate elsewhere); one row per recommendation."""
+    from forgeline.constants import FETCHER_FALLBACK_PRICES, ROUTED_PROCESSES
+    from forgeline.plans.queries_scoring import _json_requests
+    from forgeline.sources.readers import training_rows_without_estimated
+    clean = training_rows_without_estimated(etl.clean_training_rows(d)).where(F.col("process_code").isin(ROUTED_PROCESSES))
+    rows = cost_features(clean.withColumn("surface_finish_spec", F.col("surface_finish_ra")))
+    models = ml.train_cost_models(rows, overrides=COST_MODEL_OVERRIDES, **COST_MODEL_SETTINGS)
+    responses, _ = scoring.serve(_json_requests(d), d.scores, ml.costs_by_models(models), FETCHER_FALLBACK_PRICES)
+    return scoring.flat_recommendations(responses).select("row_id", "rank", "process_code", "probability", "total_cost", "setup_cost")
+
+
+@register("m19_reference_parts", None)
+def m19_reference_parts(d: Domain):
+    """Parts with an expected process (the test split) against the fitted classifier: top-1 / top-3 hits, invalid vectors."""
+    s = _split_clean(d)
+    model = ml.classifier_pipeline().fit(ml.prepare_classifier_rows(s.where(F.col("split") == "train")))
+    parts = s.where(F.col("split") == "test").select("part_id", F.col("process_code").alias("expected_process"), *FEATURE_COLUMNS)
+    return ml.reference_part_check(model, parts)
+
+
 @register("m21_unified_cost_model", None)
 def m21_unified_cost_model(d: Domain):
     """One random-forest regressor for total cost over all processes; test MAPE."""

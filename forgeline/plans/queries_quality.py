@@ -158,6 +158,13 @@ def g8_ks_drift(d: Domain):
     return quality.ks_two_sample(base, new)
 
 
+@register("g8_ks_exact", None)
+def g8_ks_exact(d: Domain):
+    """KS drift per numeric column with exact p-values for samples of up to KS_EXACT_ROWS rows, asymptotic beyond."""
+    base, new = _drift_halves(d)
+    return quality.ks_two_sample(base, new, exact_rows=quality.KS_EXACT_ROWS)
+
+
 @register("g9_process_share_drift", "SELECT * FROM shares", ["base_prop", "new_prop", "diff"], ["shares"])
 def g9_process_share_drift(d: Domain):
     """Process-share drift over the union of codes."""

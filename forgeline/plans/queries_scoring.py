@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from forgeline.constants import (
-    CONSTRAINT_DEFAULTS, FEATURE_COLUMNS, FEATURE_RANGES, FEATURE_REQUIRED, FETCHER_FALLBACK_PRICES,
+    CONSTRAINT_DEFAULTS, COST_FEATURE_COLUMNS, FEATURE_COLUMNS, FEATURE_RANGES, FEATURE_REQUIRED, FETCHER_FALLBACK_PRICES,
     MATERIAL_COMMODITY, PROCESS_CATALOG_BOUNDS, PROCESS_CLASSES, ROUTED_PROCESSES, COST_PROCESS_CODE, COST_MATERIAL_FAMILY, FEATURE_HISTORICAL_PRICES, TOLERANCE_IT_INDEX,
 )
 from forgeline.functions import features as fx
@@ -14,7 +16,8 @@ from forgeline.operators.common import lookup
 from forgeline.plans import scoring
 from forgeline.plans.oracle_sql import OID, _map_case, _q, cte, r2, values
 from forgeline.plans.registry import register
-from forgeline.session import materialize
+from forgeline.schemas import GEOMETRY_COLUMNS
+from forgeline.session import materialize, shared_path
 from forgeline.sources.tables import Domain
 
 ALL_LIST = "[" + ", ".join(_q(p) for p in PROCESS_CLASSES) + "]"
@@ -331,14 +334,17 @@ def a7_response_json(d: Domain):
                        F.col("r.recommendations")[0]["process_code"].alias("first_process"))
 
 
-@register("p18_catalog_feasible", f"""
+_P18_SQL = f"""
 SELECT part_id, array_to_string(list_sort(list(process)), ',') AS feasible, CAST(count(*) AS INTEGER) AS n_feasible
 FROM m_geometry_all, (SELECT * FROM (VALUES {", ".join(
     "(" + ", ".join([_q(p)] + ["NULL" if v is None else f"{float(v)!r}e0" for v in b]) + ")" for p, *b in PROCESS_CATALOG_BOUNDS)})
   AS t(process, wlo, whi, hlo, hhi, qlo)) c
 WHERE (wall_thickness_min IS NULL OR (COALESCE(wall_thickness_min >= wlo, true) AND COALESCE(wall_thickness_min <= whi, true)))
   AND (hole_diameter_min IS NULL OR (COALESCE(hole_diameter_min >= hlo, true) AND COALESCE(hole_diameter_min <= hhi, true)))
-GROUP BY part_id""", [], ["m_geometry_all"])
+GROUP BY part_id"""
+
+
+@register("p18_catalog_feasible", _P18_SQL, [], ["m_geometry_all"])
 def p18_catalog_feasible(d: Domain):
     """Processes of the catalog whose wall and hole bounds admit each part."""
     from forgeline.functions.catalog import catalog_feasible
@@ -347,6 +353,68 @@ def p18_catalog_feasible(d: Domain):
                     F.size("catalog_feasible").alias("n_feasible"))
 
 
+@register("s15_catalog_file_feasible", _P18_SQL, [], ["m_geometry_all"])
+def s15_catalog_file_feasible(d: Domain):
+    """The process catalog written as its ragged text file, parsed, and its bounds applied to every part."""
+    from forgeline.functions.catalog import CATALOG_FIELDS, catalog_feasible
+    from forgeline.sources.readers import read_process_catalog
+
+    def text(v, at_least=False):
+        return "any" if v is None else f"{'>=' if at_least else ''}{v:g}"
+    path = shared_path(d.spark, "process-catalog", uuid.uuid4().hex)
+    lines = [",".join(CATALOG_FIELDS)] + [
+        ",".join([p, p.replace("_", " "), "any", text(wlo), text(whi), text(hlo), text(hhi), text(q, True), *(["any"] if i % 3 == 0 else []), '"Bounds, in mm"'])
+        for i, (p, wlo, whi, hlo, hhi, q) in enumerate(PROCESS_CATALOG_BOUNDS)]
+    d.spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    catalog = read_process_catalog(d.spark, path)
+    # a reference table of a few dozen rows becomes literals
+    bounds = [tuple(r) for r in catalog.select("process_code", "wall_min_mm", "wall_max_mm", "hole_dia_min_mm", "hole_dia_max_mm", "min_quantity").collect()]
+    f = catalog_feasible(d.all_geometry, bounds)
+    return f.select("part_id", F.array_join(F.array_sort("catalog_feasible"), ",").alias("feasible"),
+                    F.size("catalog_feasible").alias("n_feasible"))
+
+
+@register("a4_feature_vectors", "SELECT part_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS v{i}" for i, c in enumerate(FEATURE_COLUMNS))
+          + ", array_to_string(list_filter([" + ", ".join(f"CASE WHEN {c} IS NULL THEN {i} END" for i, c in enumerate(FEATURE_COLUMNS))
+          + "], lambda x: x IS NOT NULL), ',') AS missing FROM m_geometry_all", [f"v{i}" for i in range(len(FEATURE_COLUMNS))], ["m_geometry_all"])
+def a4_feature_vectors(d: Domain):
+    """A4: ordered classifier vectors, NaN for a missing feature: the entries, and the places that hold NaN."""
+    v = fx.ordered_vector(d.all_geometry, FEATURE_COLUMNS)
+    at = F.filter(F.sequence(F.lit(0), F.lit(len(FEATURE_COLUMNS) - 1)), lambda i: F.isnan(F.get("features", i)))
+    return v.select("part_id", *[F.nanvl(F.get("features", F.lit(i)), F.lit(None).cast("double")).alias(f"v{i}") for i in range(len(FEATURE_COLUMNS))],
+                    F.array_join(at.cast("array<string>"), ",").alias("missing"))
+
+
+_A5_SQL = {"quantity": "CAST(o.quantity AS DOUBLE)", "log_quantity": "CASE WHEN o.quantity >= 0 THEN ln(o.quantity + 1.0e0) ELSE 0.0e0 END",
+           "batch_size": "CASE WHEN o.batch_size IS NULL OR o.batch_size = 0 THEN CAST(o.quantity AS DOUBLE) ELSE CAST(o.batch_size AS DOUBLE) END",
+           "material_code_encoded": _map_case("o.material_code", COST_MATERIAL_FAMILY, "0"),
+           "material_price_per_kg": _map_case("o.material_code", FEATURE_HISTORICAL_PRICES, "5.0e0"), "surface_finish_ra": "NULL",
+           "tolerance_index": _map_case("o.tolerance_band", TOLERANCE_IT_INDEX, "5"),
+           "volume_x_price": f"COALESCE(g.volume, 0.0e0) * {_map_case('o.material_code', FEATURE_HISTORICAL_PRICES, '5.0e0')} / 1e6"}
+
+
+@register("a5_cost_vectors", "SELECT o.order_id, " + ", ".join(
+    f"COALESCE(CAST({_A5_SQL.get(c, 'g.' + c)} AS DOUBLE), 0.0e0) AS v{i}" for i, c in enumerate(COST_FEATURE_COLUMNS))
+    + " FROM m_orders o LEFT JOIN m_geometry g ON g.part_id = o.part_id", [f"v{i}" for i in range(len(COST_FEATURE_COLUMNS))], ["m_orders", "m_geometry"])
+def a5_cost_vectors(d: Domain):
+    """A5: ordered cost-model vectors of every order, 0.0 for a missing feature (parts without geometry, no finish)."""
+    o = d.orders.drop("surface_finish_ra").join(d.geometry.select("part_id", *FEATURE_COLUMNS), "part_id", "left") \
+        .withColumn("surface_finish_spec", F.lit(None).cast("double"))
+    v = fx.ordered_vector(fx.cost_features(o), COST_FEATURE_COLUMNS, 0.0)
+    return v.select("order_id", *[F.get("features", F.lit(i)).alias(f"v{i}") for i in range(len(COST_FEATURE_COLUMNS))])
+
+
+@register("u3_column_differences", " UNION ALL ".join(
+    [f"SELECT '{c}' AS column_name, true AS expected, {'false' if c == 'symmetry_score' else 'true'} AS present, "
+     f"{'CAST(NULL AS BIGINT)' if c == 'symmetry_score' else f'CAST(count({c}) AS BIGINT)'} AS n_values FROM m_geometry_all" for c in GEOMETRY_COLUMNS]
+    + ["SELECT 'scanner', false, true, CAST(count(*) AS BIGINT) FROM m_geometry_all"]), [], ["m_geometry_all"])
+def u3_column_differences(d: Domain):
+    """Expected against actual columns of a geometry delivery that lacks one column and has another too many."""
+    from forgeline.sources.readers import column_differences
+    delivered = d.all_geometry.drop("symmetry_score").withColumn("scanner", F.lit("a"))
+    return column_differences(delivered, GEOMETRY_COLUMNS)
+
+
 @register("j11_commodity_prices", f"""
 SELECT CASE material_code {" ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in MATERIAL_COMMODITY.items())} END AS commodity_family,
   CAST(count(*) AS BIGINT) AS n_prices, avg(price_usd_per_kg) AS avg_price

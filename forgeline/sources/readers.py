@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgeline.constants import TRACKED_MATERIALS
 from forgeline.schemas import EQUIPMENT_LOG_SCHEMA, GEOMETRY_COLUMNS, PRICE_ARCHIVE_SCHEMA  # noqa: F401
+from forgeline.session import materialize
 
 ORDER_COLUMNS = ["order_id", "part_id", "process_code", "material_code", "quantity", "batch_size",
                  "surface_finish_ra", "tolerance_band", "order_date", "completion_date", "facility_id"]
@@ -92,35 +93,73 @@ def geometry_from_envelope(spark: SparkSession, path: str) -> tuple[DataFrame, l
     return rows, missing
 
 
+def column_differences(df: DataFrame, expected: list[str]) -> DataFrame:
+    """Expected against actual columns: column_name, expected, present and the rows with a value (null where absent).
+
+    One aggregation over the rows; columns are listed in the order expected, unexpected ones last.
+    """
+    counted = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    at = {c: i for i, c in enumerate(df.columns)}
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(c in expected).alias("expected"), F.lit(c in at).alias("present"),
+                              (F.col(f"n{at[c]}") if c in at else F.lit(None).cast("long")).alias("n_values"))
+                     for c in [*expected, *[c for c in df.columns if c not in expected]]])
+    return counted.select(F.inline(rows))
+
+
+def csv_records(lines: DataFrame) -> DataFrame:
+    """Lines (value, file, at = start of their file block, row) -> records (the same columns, those of its first line).
+
+    A line break inside quotes does not end a record.  Whether a line starts inside quotes follows from
+    the parity of the quotes before it: counted a block, summed over a file's blocks (a row each), and, only in
+    blocks with a line of odd parity or that begin inside quotes, along the block's lines.
+    The lines of a record that spans several are put together; all others pass through untouched.
+    """
+    odd = (F.char_length("value") - F.char_length(F.regexp_replace("value", '"', ""))) % 2
+    lines = lines.withColumn("odd", odd)
+    blocks = lines.groupBy("file", "at").agg(F.sum("odd").alias("odds"))
+    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = materialize(blocks.withColumn("inside", F.coalesce(F.sum("odds").over(before), F.lit(0)) % 2)
+                         .where("odds > 0 OR inside = 1").select("file", "at", "inside"), "quoted-blocks")
+    whole = lines.join(blocks, ["file", "at"], "left_anti").select("value", "file", "at", "row")
+    along = Window.partitionBy("file", "at").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    marked = lines.join(blocks, ["file", "at"]).withColumn("within", (F.col("inside") + F.coalesce(F.sum("odd").over(along), F.lit(0))) % 2)
+    marked = materialize(marked.select("value", "file", "at", "row", "odd", "within"), "quoted-lines")
+    alone = marked.where("within = 0 AND odd = 0").select("value", "file", "at", "row")
+    # lines of longer records: each belongs to the last one before it that starts outside of quotes
+    place = F.struct("at", "row")
+    spanning = marked.where("within = 1 OR odd = 1")
+    first = F.max(F.when(F.col("within") == 0, place)).over(Window.partitionBy("file", "at").orderBy("row"))
+    last = spanning.where("within = 0").groupBy("file", "at").agg(F.max(place).alias("last"))
+    running = F.max("last").over(Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    carried = blocks.select("file", "at").join(last, ["file", "at"], "left").withColumn("carried", running).select("file", "at", "carried")
+    joined = (spanning.withColumn("first", first).join(carried, ["file", "at"], "left")
+              .groupBy("file", F.coalesce("first", "carried").alias("start")).agg(F.sort_array(F.collect_list(F.struct("at", "row", "value"))).alias("parts"))
+              .select(F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"), "file", "start.at", "start.row"))
+    return whole.unionByName(alone).unionByName(joined)
+
+
 def _csv_by_header(spark: SparkSession, path: str, schema: str, file_glob: str = "*") -> DataFrame:
     """CSV files read by the column names of their own headers, whatever their order; absent columns are NULL.
 
-    ``seq`` numbers the rows by file name and then by place in the file.
+    ``seq`` numbers the rows by file name and then by place in the file.  All files are parsed in one
+    pass, however many headers there are: a record becomes an array of fields, and a column is taken
+    at its position in the header of the record's file.  Quoted fields may hold line breaks.
     """
     from pyspark.sql.types import StructType
     wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     lines = (spark.read.option("pathGlobFilter", file_glob).option("ignoreCorruptFiles", True).text(path)
              .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
                      F.monotonically_increasing_id().alias("row")))
-    # one header per file; files grouped by equal headers (few), each parsed with its own column order
     first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "row").alias("header"))
-    headers = [r["header"] for r in first.select("header").distinct().collect()]
-    out = None
-    for header in headers:
-        names = [c.strip().strip('"') for c in header.lstrip("\ufeff").split(",")]
-        fields = ", ".join(f"`{n}` string" for n in names)
-        mine = first.where(F.col("header") == F.lit(header)).select("file")
-        rows = (lines.join(mine, "file").where((F.col("value") != F.lit(header)) & (F.trim("value") != ""))
-                .select("file", "at", "row", F.from_csv("value", fields).alias("r")))
-        typed = rows.select("file", "at", "row", *[
-            (F.col(f"r.`{f.name}`").try_cast(f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in wanted.fields])
-        out = typed if out is None else out.unionByName(typed)
-    if out is None:
-        out = spark.createDataFrame([], StructType.fromDDL("file string, at long, row long")).select("file", "at", "row", *[
-            F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields])
-    order = F.struct("file", "at", "row")
-    return out.withColumn("seq", order).drop("file", "at", "row")
+    headers = materialize(first.withColumn("names", F.transform(
+        F.split(F.ltrim(F.col("header"), F.lit("\ufeff")), ","), lambda c: F.btrim(F.trim(c), F.lit('"')))), "headers")
+    width = headers.agg(F.max(F.size("names"))).first()[0] or 1
+    fields = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), {"escape": '"'})     # a quote in quotes is doubled
+    rows = (csv_records(lines).join(headers, "file").where((F.col("value") != F.col("header")) & (F.trim("value") != ""))
+            .select("file", "at", "row", "names", fields.alias("r")).select("file", "at", "row", "names", F.array(*[f"r.c{i}" for i in range(width)]).alias("v")))
+    at = {f.name: F.array_position("names", f.name) for f in wanted.fields}
+    return rows.select(*[F.when(at[f.name] > 0, F.try_element_at("v", at[f.name].cast("int"))).try_cast(f.dataType).alias(f.name) for f in wanted.fields],
+                       F.struct("file", "at", "row").alias("seq"))
 
 
 def scan_equipment_logs(spark: SparkSession, directory: str, facility_ids: list[str] | None = None) -> DataFrame:

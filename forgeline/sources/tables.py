@@ -244,7 +244,7 @@ def request_log_view(events: DataFrame) -> DataFrame:
 
 
 class Domain:
-    """Lazily built manufacturing views over one driver data directory."""
+    """Lazily built order and part views over one driver data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark

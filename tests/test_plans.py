@@ -7,7 +7,8 @@ from conftest import SMALL
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
              "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"]
 SLOW = {"m2_classifier_holdout", "m20_feature_importance", "m6_cost_models_holdout", "m21_unified_cost_model",
-        "ts6_incremental_intake", "g26_vif", "m4_platt_brier", "m17_ablation", "m3_fold_scores", "m16_permutation_importance"}
+        "ts6_incremental_intake", "g26_vif", "m4_platt_brier", "m17_ablation", "m3_fold_scores", "m16_permutation_importance",
+        "m2_boosted_holdout", "m14_served_by_models", "m19_reference_parts"}
 
 
 def _names():
