@@ -128,9 +128,18 @@ def _each(rows):
         yield rows.slice(i, 1).to_pylist()[0]
 
 
+def _packed(parts: list[bytes]) -> bytes:
+    """Text as it is stored and shuffled."""
+    return pa.compress(b"".join(parts), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, size, codec="zstd", asbytes=True) if size else b""
+
+
 def _split(block: dict) -> list[np.ndarray]:
     """The documents of a block as byte arrays."""
-    data = np.frombuffer(block["data"], np.uint8)
+    data = np.frombuffer(_unpacked(block["data"], sum(block["sizes"])), np.uint8)
     ends = np.cumsum(block["sizes"], dtype=np.int64)
     return [data[e - s:e] for s, e in zip(block["sizes"], ends.tolist())]
 
@@ -197,7 +206,7 @@ def _blocks(batches):
         return pa.RecordBatch.from_arrays(
             [pa.array([(part << 32) + count], pa.int64()),
              pa.ListArray.from_arrays(pa.array([0, sum(map(len, ids))], pa.int32()), pa.concat_arrays(ids)),
-             pa.array([sizes], pa.list_(pa.int64())), pa.array([b"".join(data)], pa.binary())], ["block", "ids", "sizes", "data"])
+             pa.array([sizes], pa.list_(pa.int64())), pa.array([_packed(data)], pa.binary())], ["block", "ids", "sizes", "data"])
 
     for batch in batches:
         texts, start = batch.column("text"), 0
@@ -239,8 +248,8 @@ def _open_suffixes(length: int, whole: bool):
             out.append({"block": block["block"], "sizes": block["sizes"],
                         "runs": [[x for run in r for x in run] for r in runs],
                         "sha": [None if r else hashlib.sha256(d).hexdigest() for d, r in zip(docs, runs)],
-                        "data": b"".join(d.tobytes() for d, r in zip(docs, runs) if r),
-                        "rest": b"".join(d.tobytes() for d, r in zip(docs, runs) if not r) if whole else b"",
+                        "data": _packed([d.tobytes() for d, r in zip(docs, runs) if r]),
+                        "rest": _packed([d.tobytes() for d, r in zip(docs, runs) if not r] if whole else []),
                         "open": sum(b - a for r in runs for a, b in r)})
         return pa.Table.from_arrays([blocks["ids"], *(pa.array([r[c] for r in out], t) for c, t in OPEN_ARROW)], ["ids", *(c for c, _ in OPEN_ARROW)])
     return run
@@ -259,9 +268,10 @@ def _settled(whole: bool):
         for batch in batches:
             for i, row in enumerate(_each(batch.drop_columns(["ids"]))):
                 ids, at, out = batch.column("ids").slice(i, 1).flatten(), 0, []
+                rest = _unpacked(row["rest"], sum(n for n, runs in zip(row["sizes"], row["runs"]) if not runs)) if whole else b""
                 for k, (size, runs, sha) in enumerate(zip(row["sizes"], row["runs"], row["sha"])):
                     if not runs:
-                        out.append((k, size, sha, row["rest"][at:at + size].decode() if whole else None))
+                        out.append((k, size, sha, rest[at:at + size].decode() if whole else None))
                         at += size
                 if out:
                     k, size, sha, text = zip(*out)
@@ -284,7 +294,8 @@ def _short_runs(data: np.ndarray, gone: np.ndarray, least_words: int) -> None:
 
 def _open_texts(row: dict) -> list[tuple[np.ndarray | None, list[tuple[int, int]]]]:
     """(bytes, open runs) of a row's documents; settled ones have neither."""
-    data, at, out = np.frombuffer(row["data"], np.uint8), 0, []
+    data = np.frombuffer(_unpacked(row["data"], sum(n for n, flat in zip(row["sizes"], row["runs"]) if flat)), np.uint8)
+    at, out = 0, []
     for size, flat in zip(row["sizes"], row["runs"]):
         if flat:
             out.append((data[at:at + size], list(zip(flat[::2], flat[1::2]))))
