@@ -406,7 +406,7 @@ def a5_cost_vectors(d: Domain):
 
 @register("u3_column_differences", " UNION ALL ".join(
     [f"SELECT '{c}' AS column_name, true AS expected, {'false' if c == 'symmetry_score' else 'true'} AS present, "
-     f"{'CAST(NULL AS BIGINT)' if c == 'symmetry_score' else f'CAST(count({c}) AS BIGINT)'} AS n_values FROM m_geometry_all" for c in GEOMETRY_COLUMNS]
+     f"{'CAST(NULL AS BIGINT) AS n_values' if c == 'symmetry_score' else f'CAST(count({c}) AS BIGINT) AS n_values FROM m_geometry_all'}" for c in GEOMETRY_COLUMNS]
     + ["SELECT 'scanner', false, true, CAST(count(*) AS BIGINT) FROM m_geometry_all"]), [], ["m_geometry_all"])
 def u3_column_differences(d: Domain):
     """Expected against actual columns of a geometry delivery that lacks one column and has another too many."""
