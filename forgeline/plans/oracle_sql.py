@@ -72,7 +72,8 @@ FROM lineitem{{where}}"""
 
 
 cte("m_invoices_all", _INVOICES.format(where=""))
-cte("m_invoices", _INVOICES.format(where=" WHERE l_tax < 0.075e0"))
+cte("m_invoices", _INVOICES.format(where=""))
+cte("m_invoices_partial", _INVOICES.format(where=" WHERE l_tax < 0.075e0"))
 _GEOMETRY = """
 SELECT 'PART-' || CAST(p_partkey AS VARCHAR) AS part_id,
   CASE WHEN p_partkey % 41 <> 0 THEN p_size * 13.0e0 END AS bounding_box_x,
@@ -91,7 +92,8 @@ SELECT 'PART-' || CAST(p_partkey AS VARCHAR) AS part_id,
   CASE WHEN p_partkey % 31 <> 0 THEN (p_partkey % 89) / 88.0e0 END AS symmetry_score
 FROM part"""
 cte("m_geometry_all", _GEOMETRY)
-cte("m_geometry", _GEOMETRY + " WHERE p_partkey % 10 <> 9")
+cte("m_geometry", _GEOMETRY)
+cte("m_geometry_partial", _GEOMETRY + " WHERE p_partkey % 10 <> 9")
 cte("m_prices", """
 SELECT CAST(ts AS DATE) - CAST((datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) + midx) % (midx + 1) AS INTEGER) AS date,
   mcode AS material_code, 1.0e0 + value AS price_usd_per_kg, 'live' AS source, event_id AS seq

@@ -93,20 +93,20 @@ def j1_orders_geometry(d: Domain):
 
 @register("j1_missing_geometry", """
 SELECT part_id, CAST(count(*) AS BIGINT) AS dropped_rows FROM m_orders o
-WHERE NOT EXISTS (SELECT 1 FROM m_geometry g WHERE g.part_id = o.part_id AND g.bounding_box_x IS NOT NULL)
-GROUP BY part_id""", [], ["m_orders", "m_geometry"])
+WHERE NOT EXISTS (SELECT 1 FROM m_geometry_partial g WHERE g.part_id = o.part_id AND g.bounding_box_x IS NOT NULL)
+GROUP BY part_id""", [], ["m_orders", "m_geometry_partial"])
 def j1_missing_geometry(d: Domain):
     """J1 report: order rows lost per part (no geometry or null bounding box)."""
-    return joins.missing_geometry(d.orders, d.geometry)
+    return joins.missing_geometry(d.orders, d.partial_geometry)
 
 
 @register("w8_first_missing_parts", """
 SELECT DISTINCT part_id FROM m_orders o
-WHERE NOT EXISTS (SELECT 1 FROM m_geometry g WHERE g.part_id = o.part_id AND g.bounding_box_x IS NOT NULL)
-ORDER BY part_id LIMIT 10""", [], ["m_orders", "m_geometry"])
+WHERE NOT EXISTS (SELECT 1 FROM m_geometry_partial g WHERE g.part_id = o.part_id AND g.bounding_box_x IS NOT NULL)
+ORDER BY part_id LIMIT 10""", [], ["m_orders", "m_geometry_partial"])
 def w8_first_missing_parts(d: Domain):
     """The first 10 missing part ids (the log sample; a top-n report)."""
-    return joins.first_missing_parts(d.orders, d.geometry, 10)
+    return joins.first_missing_parts(d.orders, d.partial_geometry, 10)
 
 
 @register("j2_price_at_order_date", "SELECT order_id, material_code, order_date, material_price_per_kg FROM "
@@ -168,21 +168,21 @@ SELECT CAST(count(*) AS BIGINT) AS requested,
   CAST(count(g.part_id) AS BIGINT) AS covered,
   CAST(count(*) - count(g.part_id) AS BIGINT) AS missing,
   round(count(g.part_id) * 100.0e0 / greatest(count(*), 1), 1) AS coverage_pct
-FROM req LEFT JOIN (SELECT DISTINCT part_id FROM m_geometry) g ON req.part_id = g.part_id""",
-          ["coverage_pct"], ["m_orders", "m_geometry"])
+FROM req LEFT JOIN (SELECT DISTINCT part_id FROM m_geometry_partial) g ON req.part_id = g.part_id""",
+          ["coverage_pct"], ["m_orders", "m_geometry_partial"])
 def j4_geometry_coverage(d: Domain):
     """Requested / covered / missing part ids and coverage percent."""
-    return joins.geometry_coverage(d.orders, d.geometry)
+    return joins.geometry_coverage(d.orders, d.partial_geometry)
 
 
 @register("u2_part_set_ops", """
-SELECT part_id, 'covered' AS status FROM (SELECT part_id FROM m_orders INTERSECT SELECT part_id FROM m_geometry)
+SELECT part_id, 'covered' AS status FROM (SELECT part_id FROM m_orders INTERSECT SELECT part_id FROM m_geometry_partial)
 UNION ALL
-SELECT part_id, 'missing' AS status FROM (SELECT DISTINCT part_id FROM m_orders EXCEPT SELECT part_id FROM m_geometry)""",
-          [], ["m_orders", "m_geometry"])
+SELECT part_id, 'missing' AS status FROM (SELECT DISTINCT part_id FROM m_orders EXCEPT SELECT part_id FROM m_geometry_partial)""",
+          [], ["m_orders", "m_geometry_partial"])
 def u2_part_set_ops(d: Domain):
     """Requested ∩ loaded and requested − loaded part ids."""
-    return joins.part_set_ops(d.orders, d.geometry)
+    return joins.part_set_ops(d.orders, d.partial_geometry)
 
 
 @register("s7_price_upsert", """
@@ -279,8 +279,8 @@ def l3_components_sum_check(d: Domain):
 
 @register("j12_enrich_extra_source", """
 SELECT o.order_id, o.part_id, o.facility_id, i.label_source, i.cost_total AS invoice_total
-FROM m_orders o LEFT JOIN m_invoices i ON i.order_id = o.order_id""", ["invoice_total"], ["m_orders", "m_invoices"])
+FROM m_orders o LEFT JOIN m_invoices_partial i ON i.order_id = o.order_id""", ["invoice_total"], ["m_orders", "m_invoices_partial"])
 def j12_enrich_extra_source(d: Domain):
     """The documented extension recipe: attach an extra source to the orders by order_id (left)."""
-    extra = d.invoices.select("order_id", "label_source", F.col("cost_total").alias("invoice_total"))
+    extra = d.partial_invoices.select("order_id", "label_source", F.col("cost_total").alias("invoice_total"))
     return joins.enrich(d.orders.select("order_id", "part_id", "facility_id"), extra, ["order_id"])

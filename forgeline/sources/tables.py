@@ -263,7 +263,11 @@ class Domain:
 
     @property
     def invoices(self) -> DataFrame:
-        """Some orders have no invoice (S1 / L1 look for those)."""
+        return self.all_invoices
+
+    @property
+    def partial_invoices(self) -> DataFrame:
+        """A second source that lacks some orders, for the operator that enriches what it finds."""
         return invoices_view(self.table("lineitem").where(F.col("l_tax") < 0.075))
 
     @property
@@ -272,7 +276,12 @@ class Domain:
 
     @property
     def geometry(self) -> DataFrame:
-        """Every tenth part has no geometry (J1 / J3 / J4 / W8 / U2 look for those)."""
+        """Every part; some without a bounding box."""
+        return self.all_geometry
+
+    @property
+    def partial_geometry(self) -> DataFrame:
+        """A delivery without every tenth part, for the operators that report missing parts (J1 report, J4, W8, U2)."""
         return geometry_view(self.table("part").where(F.col("p_partkey") % 10 != 9))
 
     @property
