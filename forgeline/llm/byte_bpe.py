@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a two-tier lookup.
 
 A minimal perfect hash over the vocabulary resolves pre-tokens that are tokens as they
-stand; the others are merged with a heap over their linked bytes.  Both results are
+stand; the others are merged with a heap over their linked bytes.  Results are
 remembered, within a bound, for the pre-tokens that come again.
 """
 
@@ -13,6 +13,7 @@ import heapq
 import itertools
 import re
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import public_tokenizers
@@ -27,90 +28,88 @@ from forgeline.llm.common import table
 from forgeline.llm.word_tokens import slices
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-CACHED_CHUNKS = 1_000_000
-CACHED_CHARS = 64
-KEYS_PER_BUCKET = 4
-_MASK = (1 << 64) - 1
+CACHED_WORDS = 900_000        # pre-tokens a worker remembers (some 300 MB); beyond it only those of the texts at hand stay
+CACHED_CHARS = 64             # longer ones are encoded each time
 _UNEVEN = re.compile(r"(?:^|\s) | (?:\s|$)")     # a space that is not between two other characters
+_EVEN_SPACE = re.compile(r"(?<=\S) (?=\S)")
+SLOTS_PER_KEY = 2             # of a level of the perfect hash
+_MASK = (1 << 64) - 1
 
 
 class PerfectHash:
-    """Minimal perfect hash of byte strings to their ids (hash and displace).
+    """Minimal perfect hash of byte strings to their ids, by levels.
 
-    Buckets are placed from the largest to the smallest; each tries displacements until all
-    its keys fall on free slots, and a bucket of one key names its slot outright.  A slot
-    holds one key, so a lookup is two array reads and one comparison.
+    A level has ``SLOTS_PER_KEY`` slots for each key that is left.  Keys that have a slot to themselves take it, the
+    others go on to the next level.  A taken slot holds the key's place among all keys, so the places are
+    0 .. n-1, and a lookup is one hash, one or two slots and one comparison.
     """
 
     def __init__(self, ids: dict[bytes, int]):
-        self.size, self.buckets = len(ids), max(1, len(ids) // KEYS_PER_BUCKET)
-        self.keys: list[bytes | None] = [None] * self.size
-        self.ids = np.zeros(self.size, np.int64).tolist()
-        self.shift = [0] * self.buckets
-        members: list[list[tuple[int, bytes]]] = [[] for _ in range(self.buckets)]
-        for key in ids:
-            h = xxhash.xxh64_intdigest(key)
-            members[h % self.buckets].append((h, key))
-        free = set(range(self.size))
-        for b in sorted(range(self.buckets), key=lambda b: -len(members[b])):
-            if not members[b]:
-                break
-            if len(members[b]) == 1:
-                slots, shift = [free.pop()], 0
-                self.shift[b] = -slots[0] - 1
-            else:
-                shift = 0
-                while True:
-                    shift += 1
-                    slots = [self._slot(h, shift) for h, _ in members[b]]
-                    if len(set(slots)) == len(slots) and free.issuperset(slots):
-                        break
-                self.shift[b] = shift
-                free.difference_update(slots)
-            for slot, (_, key) in zip(slots, members[b]):
-                self.keys[slot], self.ids[slot] = key, ids[key]
-
-    def _slot(self, h: int, shift: int) -> int:
-        x = (h ^ (shift * 0x9E3779B97F4A7C15)) & _MASK
-        x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & _MASK
-        return (x ^ (x >> 32)) % self.size
+        hashes = np.array([xxhash.xxh64_intdigest(key) for key in ids], np.uint64)
+        if len(np.unique(hashes)) < len(hashes):
+            raise ValueError("two tokens share a 64-bit hash")
+        left, order = np.arange(len(hashes)), []
+        self.levels: list[tuple[int, int, list[int]]] = []      # (factor, number of slots, place of the key of each slot or -1)
+        while len(left):
+            factor, size = 2 * len(self.levels) * 0x9E3779B97F4A7C15 % (1 << 64) | 1, SLOTS_PER_KEY * len(left) + 1
+            with np.errstate(over="ignore"):
+                slot = ((hashes[left] * np.uint64(factor)) >> np.uint64(32)) % np.uint64(size)
+            alone = np.bincount(slot.astype(np.int64), minlength=size)[slot.astype(np.int64)] == 1
+            places = np.full(size, -1)
+            places[slot[alone].astype(np.int64)] = np.arange(len(order), len(order) + int(alone.sum()))
+            order += left[alone].tolist()
+            self.levels.append((factor, size, places.tolist()))
+            left = left[~alone]
+        keys, values = list(ids), list(ids.values())
+        self.keys, self.ids = [keys[i] for i in order], [values[i] for i in order]
 
     def get(self, key: bytes) -> int | None:
         h = xxhash.xxh64_intdigest(key)
-        shift = self.shift[h % self.buckets]
-        slot = -shift - 1 if shift < 0 else self._slot(h, shift)
-        return self.ids[slot] if self.keys[slot] == key else None
+        for factor, size, places in self.levels:
+            place = places[((h * factor & _MASK) >> 32) % size]
+            if place >= 0:
+                return self.ids[place] if self.keys[place] == key else None
+        return None
 
 
-def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a pre-token: the lowest-ranked neighbouring pair merges first, leftmost on ties."""
-    n = len(piece)
-    end = list(range(1, n + 1))                   # end[i]: where the part that starts at i ends
-    before = list(range(-1, n - 1))               # start of the part before the one at i
-    alive = [True] * n
-    heap = []
+def byte_pairs(ranks: dict[bytes, int]) -> list[int]:
+    """Rank of every two bytes (first * 256 + second), -1 for none."""
+    return [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
 
-    def push(i: int) -> None:
-        j = end[i]
-        if j < n and (rank := ranks.get(piece[i:end[j]])) is not None:
-            heap.append((rank, i, j, end[j])) if not ready else heapq.heappush(heap, (rank, i, j, end[j]))
 
-    ready = False
-    for i in range(n):
-        push(i)
+def merge_bytes(piece: bytes, ranks: dict[bytes, int], pairs: list[int] | None = None) -> list[int]:
+    """Ids of a pre-token: the lowest-ranked neighbouring pair merges first, leftmost on ties.
+
+    The heap holds (rank, start, end) of pairs as one number each.  A pair is out of date if no part starts
+    there any more or the two parts at its start end elsewhere.
+    """
+    pairs = pairs or byte_pairs(ranks)
+    n, rank = len(piece), ranks.get
+    wide = n.bit_length()
+    low, two = (1 << wide) - 1, 2 * wide
+    end = list(range(1, n + 1))                   # end[i]: where the part that starts at i ends, 0 if none does
+    before = list(range(-1, n - 1))               # start of the part before the one at i
+    heap = [r << two | i << wide | i + 2 for i, (a, b) in enumerate(zip(piece, piece[1:])) if (r := pairs[a << 8 | b]) >= 0]
     heapq.heapify(heap)
-    ready = True
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, i, j, stop = heapq.heappop(heap)
-        if not (alive[i] and end[i] == j and alive[j] and end[j] == stop):
-            continue                              # one of the two parts has merged since
-        end[i], alive[j] = stop, False
+        top = pop(heap)
+        i, stop = top >> wide & low, top & low
+        j = end[i]
+        if not j or j >= n or end[j] != stop:
+            continue
+        end[i], end[j] = stop, 0
         if stop < n:
             before[stop] = i
-        push(i)
-        if before[i] >= 0:
-            push(before[i])
-    return [ranks[piece[i:end[i]]] for i in range(n) if alive[i]]
+            r = rank(piece[i:end[stop]])
+            if r is not None:
+                push(heap, r << two | i << wide | end[stop])
+        i = before[i]
+        if i >= 0:
+            r = rank(piece[i:stop])
+            if r is not None:
+                push(heap, r << two | i << wide | stop)
+    return [ranks[piece[i:stop]] for i, stop in enumerate(end) if stop]
 
 
 class ByteBPE:
@@ -120,66 +119,56 @@ class ByteBPE:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.hash = PerfectHash(self.ranks)
+        self.pairs = byte_pairs(self.ranks)
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, i in self.ranks.items():
             self.tokens[i] = token
         self.decimal = [str(i).encode() for i in range(len(self.tokens))]
         self.split = regex.compile(pattern).findall
-        self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, list[int]] = {}
-
-    def pretoken(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
-            piece = word.encode()
-            whole = self.hash.get(piece)
-            ids = [whole] if whole is not None else merge_bytes(piece, self.ranks)
-            if len(word) <= CACHED_CHARS:
-                if len(self.words) >= CACHED_CHUNKS:
-                    self.words.clear()
-                self.words[word] = ids
-        return ids
-
-    def _run(self, text: str) -> list[int]:
-        return [i for word in self.split(text) for i in self.pretoken(word)]
+        # (ids, their decimals joined by commas, decoded bytes) of pre-tokens
+        self.words: dict[str, tuple[list[int], bytes, bytes]] = {}
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text.
+    def pretoken(self, word: str) -> tuple[list[int], bytes, bytes]:
+        piece = word.encode()
+        whole = self.hash.get(piece)
+        ids = [whole] if whole is not None else merge_bytes(piece, self.ranks, self.pairs)
+        return ids, b",".join(map(self.decimal.__getitem__, ids)), self.decode(ids)
+
+    def _pretokens(self, text: str) -> list[str]:
+        """The matches of the pattern.
 
-        A single space between two other characters always starts a new match of the pattern,
-        so texts are cut there and the chunks, which come again and again, are remembered.  Where
-        a space stands next to other white space, the run around it is matched as one.
+        A single space between two other characters always starts a match, so a text is cut there; a space
+        and letters are one match as they stand, and only the other chunks go through the pattern.
         """
-        chunks = text.split(" ")
-        out: list[int] = []
-        if _UNEVEN.search(text):
-            run = chunks[0]
-            for chunk in chunks[1:]:
-                if run and chunk and not run[-1].isspace() and not chunk[0].isspace():
-                    out += self._run(run)
-                    run = " " + chunk
-                else:
-                    run += " " + chunk
-            return out + self._run(run)
-        found = list(map(self.chunks.get, chunks))
-        found[0] = self._run(chunks[0])
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = self._chunk(chunks[i])
-        return list(itertools.chain.from_iterable(found))
-
-    def _chunk(self, chunk: str) -> list[int]:
-        """Ids of a chunk with the space before it, remembered unless it is long."""
-        known = self.chunks
-        ids = known.get(chunk)
-        if ids is None:
-            ids = self._run(" " + chunk)
-            if len(chunk) <= CACHED_CHARS:
-                if len(known) >= CACHED_CHUNKS:
-                    known.clear()
-                known[chunk] = ids
-        return ids
+        chunks = _EVEN_SPACE.split(text) if _UNEVEN.search(text) else text.split(" ")
+        out = self.split(chunks[0])
+        add, more, split = out.append, out.extend, self.split
+        for c in chunks[1:]:
+            if c.isalpha():
+                add(" " + c)
+            else:
+                more(split(" " + c))
+        return out
+
+    def encode_texts(self, texts: list[str | None]) -> list[list[tuple[list[int], bytes, bytes]]]:
+        """The pre-tokens of each text in a row, each as its ids, decimals and decoded bytes."""
+        split = [self._pretokens(t) if t else [] for t in texts]
+        here = set().union(*split)
+        unseen = here.difference(self.words)
+        if len(self.words) + len(unseen) > CACHED_WORDS:
+            self.words = {w: self.words[w] for w in here.difference(unseen)}
+        for w in unseen:
+            self.words[w] = self.pretoken(w)
+        of = self.words.__getitem__
+        out = [list(map(of, words)) for words in split]
+        for w in unseen:
+            if len(w) > CACHED_CHARS:
+                del self.words[w]
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        return list(itertools.chain.from_iterable(map(itemgetter(0), self.encode_texts([text])[0])))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -198,11 +187,10 @@ def _round_trip(path: str, pattern: str):
             done = 0
             for texts in slices(batch.column("text")):
                 n, ids_sha, decoded_sha = [], [], []
-                for text in texts:
-                    ids = bpe.encode(text or "")
-                    n.append(len(ids))
-                    ids_sha.append(hashlib.sha256(b",".join(map(bpe.decimal.__getitem__, ids))).hexdigest())
-                    decoded_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                for words in bpe.encode_texts(texts):
+                    n.append(sum(map(len, map(itemgetter(0), words))))
+                    ids_sha.append(hashlib.sha256(b",".join(map(itemgetter(1), words))).hexdigest())
+                    decoded_sha.append(hashlib.sha256(b"".join(map(itemgetter(2), words))).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(done, len(texts)), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
                      pa.array(decoded_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
