@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -83,11 +82,10 @@ def test_windows_of_sketched_panes(spark, tmp_path):
     assert not got[T0 + dt.timedelta(minutes=7)].p95_alert and got[T0 + dt.timedelta(minutes=7)].error_alert
 
 
-@pytest.mark.parametrize("compact", [20, 2])
-def test_intake_equals_the_batch_run_after_each_trigger(spark, tmp_path, monkeypatch, compact):
-    monkeypatch.setattr("forgeline.streaming.intake.COMPACT_EVERY", compact)
+def test_intake_equals_the_batch_run_after_each_trigger(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("forgeline.streaming.intake.COMPACT_EVERY", 2)
     d = Domain(spark, SMALL)
-    orders = d.orders.orderBy(F.desc("order_id")).limit(1500).repartition(3, "order_id") if compact == 2 else d.orders.repartition(3, "order_id")
+    orders = d.orders.orderBy(F.desc("order_id")).limit(1500).repartition(3, "order_id")
     parts = [orders.where(F.pmod(F.hash("order_id"), F.lit(3)) == k) for k in range(3)]
     read = []
 
@@ -102,14 +100,12 @@ def test_intake_equals_the_batch_run_after_each_trigger(spark, tmp_path, monkeyp
         stream = spark.readStream.schema(d.orders.schema).parquet(str(tmp_path / "in"))
         order_intake(stream, enrich, path, str(tmp_path / "ck"))
         so_far = part if so_far is None else so_far.unionByName(part)
-        if compact == 20 and part is not parts[-1]:
-            continue
         got = rounded(Intake(spark, path).training_rows())
         want = rounded(etl.annotate_enriched(etl.enrich_order_batch(d, so_far)))
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert read == [p.count() for p in parts]                    # a trigger reads its new orders only
     manifests = Intake(spark, path).manifests()
-    assert [m["compacted"] for m in manifests] == ([False, True, False] if compact == 2 else [False] * 3)
+    assert [m["compacted"] for m in manifests] == [False, True, False]
     assert spark.read.parquet(f"{path}/{manifests[-1]['demoted']}").count() > 0
     Intake(spark, path).take(parts[0], 0, enrich)                # a replayed trigger
     assert len(read) == 3 and Intake(spark, path).training_rows().count() == got.count()
