@@ -34,7 +34,7 @@ from forgeline.llm.common import materialize, release, table
 
 LENGTH = 400                  # bytes a string must have to count as repeated
 SUFFIX_BUCKETS = 4            # open suffixes are sorted one bucket after another
-BLOCK_BYTES = 2 << 20         # text of a block (a longer document is a block of its own)
+BLOCK_BYTES = 1 << 20         # text of a block (a longer document is a block of its own)
 NAMES_PER_TASK = 1 << 20      # names that one task sorts, on average
 _RUN = 1 << 18                # windows hashed at a time
 _BASE = 0x9E3779B97F4A7C15

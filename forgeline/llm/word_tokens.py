@@ -16,7 +16,7 @@ import numpy as np
 import public_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-CACHED_CHUNKS = 700_000       # entries a worker keeps (some 160 MB); beyond it only those of the texts at hand stay
+CACHED_CHUNKS = 400_000       # entries a worker keeps (some 80 MB); beyond it only those of the texts at hand stay
 CACHED_CHARS = 64             # longer chunks are encoded each time
 
 
