@@ -22,6 +22,7 @@ from forgeline.llm.word_tokens import WORD_BPE, slices, word_encoder
 from forgeline.session import shared_path
 
 END_ID = 1
+RUN_CHARS = 4_000_000         # texts encoded together
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.create.index": "true",
@@ -35,21 +36,23 @@ ORC_OPTIONS = {
 def _encoder(tokenizer: str, end_id: int):
     def encode(batches):
         part, before = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             done = 0
-            for texts in slices(batch.column("text")):
-                rows = [ids + end for ids in word_encoder(tokenizer).encode(texts)]
-                ends = np.cumsum([len(r) // 4 for r in rows])
+            for texts in slices(batch.column("text"), RUN_CHARS):
+                ids, ends = word_encoder(tokenizer).encode_flat(texts)
+                ends = ends + np.arange(1, len(texts) + 1)             # with an end id a text
+                values = np.empty(ends[-1], "<i4")
+                last = np.zeros(len(values), bool)
+                last[ends - 1] = True
+                values[last], values[~last] = end_id, ids
                 offsets = np.concatenate(([0], ends))
-                values = pa.array(np.frombuffer(b"".join(rows), "<i4"))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(done, len(rows)),
-                     pa.array(np.full(len(rows), part, np.int32)), pa.array(before + offsets[:-1].astype(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)],
+                    [batch.column("doc_id").slice(done, len(texts)),
+                     pa.array(np.full(len(texts), part, np.int32)), pa.array(before + offsets[:-1].astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))],
                     ["doc_id", "part", "part_start", "ids"])
                 before += int(ends[-1])
-                done += len(rows)
+                done += len(texts)
     return encode
 
 

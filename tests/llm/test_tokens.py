@@ -39,6 +39,17 @@ def test_word_encoder_matches_library(monkeypatch):
     assert [small.encode([t])[0] for t in TEXTS * 2] == got * 2
 
 
+def test_word_encoder_keeps_words_without_their_marks():
+    texts = ["one, two. one. two!? one", "Straße, straße; Ñandú... ñandú", "слово, 12, a1, (one) one) e.g., 日本, ,, $$$"] + TEXTS
+    encoder = word_tokens.WordEncoder(word_tokens.WORD_BPE)
+    ids, ends = encoder.encode_flat(texts)
+    want = library_ids(texts)
+    assert ids.tolist() == [i for ids in want for i in ids] and ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
+    assert {"one", "two", ".", "!?", "12,"} <= set(encoder.cache)
+    assert not {"one,", "one.", "two.", "two!?", "Straße,"} & set(encoder.cache)
+    assert encoder.encode([]) == [] and encoder.encode([None, ""]) == [b"", b""]
+
+
 def test_token_files(spark, docs, tmp_path):
     path = str(tmp_path / "orc")
     token_files.write_token_files(docs, path)
