@@ -180,3 +180,23 @@ def test_dedupe_with_hot_key_and_identical_copies(spark):
     kept = [(r.part_id, r.order_id) for r in flagged.where("NOT __dup").collect()]
     assert sorted(kept) == [("HOT", "O00000"), ("P1", "X1"), ("P2", "X2")]
     assert flagged.count() == len(rows)
+
+
+def test_label_methods_stay_short_enough_to_compile(spark, tmp_path):
+    """The JVM compiles no method over 8,000 bytes, and the ETL adds more to the same loop: decomposing is kept out of it."""
+    from forgeline.constants import COST_COMPONENT_COLUMNS, DECOMPOSITION_RATIOS, DEFAULT_RATIOS
+    from forgeline.operators.labels import build_labels
+    kinds = ", ".join(f"{c} double" for c in COST_COMPONENT_COLUMNS)
+    rows = [("cnc_milling", 101.35, "x", 1.0, 2.0, None, 1.0, 1.0), (None, 7.77, "x", *[None] * 5), ("weaving", 10.0, "x", *[1.0] * 5),
+            ("cnc_milling", -1.0, "x", 3.0, *[None] * 4), ("cnc_milling", None, "x", 4.0, *[None] * 4), ("other", 3.333, "x", -1.0, *[1.0] * 4)]
+    spark.createDataFrame(rows, f"process_code string, cost_total double, cost_label_source string, {kinds}").coalesce(1).write.parquet(str(tmp_path / "t"))
+    out = build_labels(spark.read.parquet(str(tmp_path / "t")))
+    stages = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$").__getattr__("MODULE$").codegenStringSeq(
+        out._jdf.queryExecution().executedPlan())
+    assert max([stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())], default=0) < 2000
+    got = [tuple(r[c] for c in COST_COMPONENT_COLUMNS) for r in out.collect()]
+
+    def parts(process, total):
+        return tuple(spark.sql(f"SELECT round({total}D * {r}D, 2)").first()[0] for r in DECOMPOSITION_RATIOS.get(process, DEFAULT_RATIOS))
+    assert got == [parts("cnc_milling", 101.35), parts(None, 7.77), (1.0,) * 5, (3.0, *[None] * 4), (4.0, *[None] * 4), parts("other", 3.333)]
+    assert [r.cost_label_source for r in out.collect()] == ["estimated", "estimated", "exact", "x", "x", "estimated"]
