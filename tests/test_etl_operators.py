@@ -200,3 +200,15 @@ def test_label_methods_stay_short_enough_to_compile(spark, tmp_path):
         return tuple(spark.sql(f"SELECT round({total}D * {r}D, 2)").first()[0] for r in DECOMPOSITION_RATIOS.get(process, DEFAULT_RATIOS))
     assert got == [parts("cnc_milling", 101.35), parts(None, 7.77), (1.0,) * 5, (3.0, *[None] * 4), (4.0, *[None] * 4), parts("other", 3.333)]
     assert [r.cost_label_source for r in out.collect()] == ["estimated", "estimated", "exact", "x", "x", "estimated"]
+
+
+def test_failures_are_compiled_and_keep_rule_order(spark):
+    from pyspark.sql import functions as F
+    from forgeline.operators import validate
+    fails = [validate._failure(F.concat(F.lit(f"over {i}: "), F.col("v").cast("string")), f"b{i}", f"c{i}" if i else None, F.col("v") > i) for i in range(4)]
+    df = spark.createDataFrame([(v,) for v in (None, 0, 1, 2, 3, 4)], "v int")
+    rows = df.select("v", validate.failing(fails).alias("got"), F.array_compact(F.array(*fails)).alias("want")).collect()
+    assert all(r.got == r.want for r in rows) and [len(r.got) for r in rows] == [0, 0, 1, 2, 3, 4]
+    assert df.select(validate.failing([]).alias("got")).first().got == []
+    interpreted = df.select(validate.failing(fails).alias("got"))._jdf.queryExecution().optimizedPlan().toString().split("filter(")[1:]
+    assert len(interpreted) == 1 and "over 0" not in interpreted[0]
