@@ -6,7 +6,7 @@ from urllib.parse import urlparse
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from forgeline.operators import validate
+from forgeline.operators import marks, validate
 from forgeline.plans import etl
 from forgeline.session import ensure_checkpoint_dir, materialize
 from forgeline.sources.tables import Domain
@@ -46,7 +46,7 @@ def test_duplicates_are_marked_without_shuffling_the_rows(spark, monkeypatch):
     for r in sorted(rows, key=lambda r: (r[2], r[3])):
         first.setdefault(r[:2], r)
     for at_once in (1024, 1):                                         # in one go, and a task's rows at a time
-        monkeypatch.setattr(validate, "BUCKETS_AT_ONCE", at_once)
+        monkeypatch.setattr(marks, "BUCKETS_AT_ONCE", at_once)
         out = validate.flag_duplicates(numbered)
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
